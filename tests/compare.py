@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 from pathlib import Path
 
@@ -38,3 +40,10 @@ def sql_rows(con, sql):
     cursor = con.execute(sql)
     columns = [d[0] for d in cursor.description]
     return sorted(columns), normal(cursor.fetchall(), columns)
+
+
+def plan_text(frame):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        frame.explain()
+    return out.getvalue()

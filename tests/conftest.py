@@ -1,12 +1,14 @@
 import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
-os.environ["TZ"] = "America/New_York"  # results must not depend on the machine's zone
+os.environ["TZ"] = "UTC"  # Python renders collected timestamps in the process zone
+time.tzset()
 
 from usageledger.session import build_session  # noqa: E402
 

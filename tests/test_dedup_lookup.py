@@ -1,0 +1,109 @@
+from pyspark.sql import functions as F
+from pyspark.testing import assertDataFrameEqual
+
+from compare import plan_text
+from usageledger.operators.dedup import duplicated, keep_latest
+from usageledger.operators.lookup import hot_keys, lookup, orphan_keys
+
+
+def test_latest_wins_and_null_time_loses(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "old"), ("a", 3, "new"), ("a", None, "never"), ("b", None, "only")], "k string, t int, v string"
+    )
+    got = {r.k: r.v for r in keep_latest(rows, ["k"], ["t"]).collect()}
+    assert got == {"a": "new", "b": "only"}
+
+
+def test_ties_do_not_depend_on_order(spark):
+    rows = [("a", 1, "x", 2), ("a", 1, "y", 1), ("a", 1, "x", 9)]
+    shape = "k string, t int, v string, n int"
+    picks = {
+        tuple(keep_latest(spark.createDataFrame(order, shape).repartition(3), ["k"], ["t"]).first())
+        for order in (rows, rows[::-1], rows[1:] + rows[:1])
+    }
+    assert picks == {("a", 1, "y", 1)}
+
+
+def test_dedup_is_idempotent(spark):
+    rows = spark.range(1000).select((F.col("id") % 100).alias("k"), F.col("id").alias("t"))
+    once = keep_latest(rows, ["k"], ["t"])
+    assertDataFrameEqual(once, keep_latest(once, ["k"], ["t"]))
+    assert once.count() == 100
+
+
+def test_copies_are_trimmed_before_the_shuffle(spark):
+    rows = spark.range(10).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"))
+    plan = plan_text(keep_latest(rows, ["k"], ["t"]))
+    after, before = plan.split("Exchange hashpartitioning", 1)
+    assert "WindowGroupLimit" in after and "WindowGroupLimit" in before
+
+
+def skewed(spark):
+    """A third of the rows on one key, some without a key, the rest spread."""
+    return spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot")
+        .when(F.col("id") % 50 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 700).cast("string")))
+        .alias("k"),
+        F.col("id").alias("n"),
+    )
+
+
+def dimension(spark):
+    names = spark.range(600).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), (F.col("id") * 2).alias("v")
+    )
+    return names.unionByName(spark.createDataFrame([("hot", -1)], "k string, v bigint"))
+
+
+def test_hot_keys_need_share_and_size(spark):
+    rows = skewed(spark)
+    assert [r.k for r in hot_keys(rows, "k", floor=100, parts=10).collect()] == ["hot"]
+    assert hot_keys(rows, "k", floor=5000, parts=10).isEmpty()
+    # never more than `parts` keys, so the list is safe to broadcast
+    assert hot_keys(rows, "k", floor=0, parts=20).count() <= 20
+
+
+def test_lookup_equals_plain_left_join(spark):
+    rows, dim = skewed(spark), dimension(spark)
+    plain = rows.join(dim, "k", "left")
+    assertDataFrameEqual(lookup(rows, dim, "k", ["n"]), plain)
+    hot = hot_keys(rows, "k", floor=100, parts=10)
+    assertDataFrameEqual(lookup(rows, dim, "k", ["n"], hot, slices=16), plain)
+
+
+def test_lookup_without_broadcast_spreads_the_hot_key(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows, dim = skewed(spark), dimension(spark)
+
+        def largest(joined):
+            sizes = joined.groupBy(F.spark_partition_id().alias("p")).count()
+            return sizes.agg(F.max("count")).first()[0]
+
+        hot = hot_keys(rows, "k", floor=100, parts=10)
+        plain = largest(lookup(rows, dim, "k", ["n"]))
+        split = largest(lookup(rows, dim, "k", ["n"], hot, slices=64))
+        assert plain >= 3000
+        assert split < 1200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+
+
+def test_orphans_count_child_rows(spark):
+    child = spark.createDataFrame([("p1",), ("p2",), ("p2",), (None,), ("p3",)], "fk string")
+    parent = spark.createDataFrame([("p1",), ("p1",), ("p3",)], "pk string")
+    assert [tuple(r) for r in orphan_keys(child, "fk", parent, "pk").collect()] == [("p2", 2)]
+
+
+def test_duplicated(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "a"), (None, "a")], "n int, t string")
+    got = {(r.n, r.t): r.row_count for r in duplicated(rows, ["n", "t"]).collect()}
+    assert got == {(1, "a"): 2, (None, "a"): 2}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,17 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def moment(value: datetime | Column | None = None) -> Column:
+    """A point in time: now, a column, or a datetime, which without a zone means UTC."""
+    if value is None:
+        return F.current_timestamp()
+    if isinstance(value, Column):
+        return value
+    if value.tzinfo is None:
+        value = value.replace(tzinfo=timezone.utc)
+    return F.lit(value)
+
+
 def tidy(value: Column | str, upper: bool = False, any_whitespace: bool = False) -> Column:
     """Strip the ends and fold case; `any_whitespace` also strips tabs and newlines."""
     text = _col(value)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usageledger.functions.columns import version_key
+from usageledger.functions.columns import moment, version_key
 from usageledger.operators.dedup import keep_latest
 
 PERIOD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
@@ -62,7 +62,6 @@ def apply_snapshot(
             for c in names
         ])
 
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
     held = current_versions(history).select(F.struct("*").alias("held"))
     seen = source.select(F.struct("*").alias("seen"))
     paired = held.join(seen, F.col(f"held.{key}") == F.col(f"seen.{key}"), "full_outer")
@@ -72,8 +71,8 @@ def apply_snapshot(
         "seen", source.columns, _opened(F.col(f"seen.{key}"), F.col(f"seen.{updated_at}"))
     )
     replaced = as_row("held", history.columns, {"dbt_valid_to": F.col(f"seen.{updated_at}")})
-    ended = as_row("held", history.columns, {"dbt_valid_to": now}) if close_missing else keep
-    is_newer = F.col(f"held.dbt_valid_from") < F.col(f"seen.{updated_at}")
+    ended = as_row("held", history.columns, {"dbt_valid_to": moment(as_of)}) if close_missing else keep
+    is_newer = F.col("held.dbt_valid_from") < F.col(f"seen.{updated_at}")
     versions = (
         F.when(F.col("held").isNull(), F.array(opened))
         .when(F.col("seen").isNull(), F.array(ended))

@@ -72,12 +72,13 @@ def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, parent_ke
     """Foreign keys without a parent and how many child rows carry each.
 
     The child is counted per key first, so the join sees one row per key however the
-    rows are spread; NULL keys are not references.
+    rows are spread; NULL keys are not references. Repeated parent keys are folded for
+    the same reason.
     """
     used = (
         child.where(F.col(foreign_key).isNotNull())
         .groupBy(foreign_key)
         .agg(F.count("*").alias("row_count"))
     )
-    known = parent.select(F.col(parent_key).alias(foreign_key))
+    known = parent.select(F.col(parent_key).alias(foreign_key)).distinct()
     return used.join(known, foreign_key, "left_anti")

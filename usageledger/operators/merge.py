@@ -28,8 +28,8 @@ def newer_rows(
     """
     if target is None or full_refresh:
         return staged
-    mark = target.agg(F.max(column)).first()[0]
-    return staged if mark is None else staged.where(F.col(column) > F.lit(mark))
+    mark = target.agg(F.unix_micros(F.max(column))).first()[0]
+    return staged if mark is None else staged.where(F.col(column) > F.timestamp_micros(F.lit(mark)))
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:

@@ -8,10 +8,11 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from usageledger.functions.columns import last_segment
+from usageledger.functions.columns import last_segment, moment
 from usageledger.functions.nested import flatten
 from usageledger.schemas import SOURCE_TABLES
-from usageledger.sources.landed import read_csv, read_records
+from usageledger.sinks.files import append
+from usageledger.sources.landed import read_csv, read_records, read_run_results
 from usageledger.sources.tables import parse_day
 
 
@@ -19,11 +20,8 @@ def flatten_payload(
     records: DataFrame, run_date: str | date, loaded_at: datetime | Column | None = None
 ) -> DataFrame:
     """Nested API records as flat columns, with the columns that tell where they came from."""
-    stamp = F.current_timestamp() if loaded_at is None else loaded_at
-    if not isinstance(stamp, Column):
-        stamp = F.lit(stamp).cast("timestamp")
     return flatten(records).withColumns({
-        "_loaded_at": stamp,
+        "_loaded_at": moment(loaded_at),
         "_source_system": F.lit("stripe"),
         "_pipeline_run_date": F.lit(parse_day(run_date)),
     })
@@ -39,7 +37,7 @@ def ingest_subscriptions(
     """
     loaded = Observation()
     rows = flatten_payload(read_records(spark, landed_path), run_date)
-    rows.observe(loaded, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(raw_path)
+    append(rows.observe(loaded, F.count(F.lit(1)).alias("rows")), raw_path)
     if loaded.get["rows"] == 0:
         raise ValueError("no rows were written")
     return loaded.get["rows"]
@@ -49,13 +47,10 @@ def run_result_rows(
     documents: DataFrame, run_date: str | date, run_at: datetime | Column | None = None
 ) -> DataFrame:
     """One monitoring row per node of every run document."""
-    at = F.current_timestamp() if run_at is None else run_at
-    if not isinstance(at, Column):
-        at = F.lit(at).cast("timestamp")
     nodes = documents.select("metadata", F.explode("results").alias("node"))
     return nodes.select(
         F.lit(parse_day(run_date)).alias("run_date"),
-        at.alias("pipeline_run_at"),
+        moment(run_at).alias("pipeline_run_at"),
         F.col("node.unique_id").alias("node_id"),
         F.coalesce(last_segment("node.unique_id"), F.lit("")).alias("node_name"),
         F.col("node.status").alias("status"),
@@ -67,6 +62,14 @@ def run_result_rows(
     )
 
 
+def record_run_results(spark: SparkSession, documents_path: str, monitoring_path: str, run_date: str | date) -> int:
+    """Append the nodes of landed run documents to the monitoring table."""
+    stored = Observation()
+    rows = run_result_rows(read_run_results(spark, documents_path), run_date)
+    append(rows.observe(stored, F.count(F.lit(1)).alias("rows")), monitoring_path)
+    return stored.get["rows"]
+
+
 def read_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The source tables from `raw_<table>.csv` files."""
     return {
@@ -91,10 +94,9 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def expensive_jobs(jobs: DataFrame, since: datetime | Column, top: int = 10) -> DataFrame:
     """The finished queries that read the most, created at or after `since`."""
-    start = since if isinstance(since, Column) else F.lit(since).cast("timestamp")
     return (
         jobs.where(
-            (F.col("creation_time") >= start)
+            (F.col("creation_time") >= moment(since))
             & (F.col("job_type") == "QUERY")
             & (F.col("state") == "DONE")
         )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usageledger import fixed_values as fv
-from usageledger.functions.columns import relative_gap, whole_units_between
+from usageledger.functions.columns import moment, relative_gap, whole_units_between
 from usageledger.operators.checks import (
     Check,
     accepted,
@@ -152,11 +152,8 @@ def freshness(
     limit_hours: int = fv.FRESHNESS_LIMIT_HOURS,
 ) -> DataFrame:
     """Whole hours since the newest row."""
-    now = F.current_timestamp() if as_of is None else as_of
-    if not isinstance(now, Column):
-        now = F.lit(now).cast("timestamp")
     newest = rows.agg(F.max(column).alias("newest"))
-    hours = whole_units_between("HOUR", "newest", now)
+    hours = whole_units_between("HOUR", "newest", moment(as_of))
     return newest.select(
         "newest", hours.alias("hours_old"), _judged(hours, limit_hours).alias("status")
     )
@@ -209,7 +206,6 @@ def lag_status(offsets: DataFrame) -> DataFrame:
 
 def layer_age(rows: DataFrame, column: str, limits: tuple[int, int], as_of: datetime | Column) -> DataFrame:
     """Minutes since a layer last received rows, graded."""
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-    minutes = whole_units_between("MINUTE", F.max(column), now)
+    minutes = whole_units_between("MINUTE", F.max(column), moment(as_of))
     aged = rows.agg(minutes.alias("minutes_old"))
     return aged.withColumn("status", graded(F.col("minutes_old"), limits))

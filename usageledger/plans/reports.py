@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usageledger import fixed_values as fv
-from usageledger.functions.columns import banded, capped, labelled, month_of, whole_units_between
+from usageledger.functions.columns import (
+    banded,
+    capped,
+    labelled,
+    moment,
+    month_of,
+    whole_units_between,
+)
 from usageledger.operators.history import current_versions
 from usageledger.operators.lookup import lookup
 
@@ -56,9 +63,7 @@ def account_overview(
     several account versions has several metric rows and so several report rows; check
     `duplicated(metrics, ["account_id"])` before publishing.
     """
-    now = F.current_timestamp() if as_of is None else as_of
-    if not isinstance(now, Column):
-        now = F.lit(now).cast("timestamp")
+    now = moment(as_of)
     named = {
         "total_subscriptions": ("total_subscriptions", 0),
         "active_subscriptions": ("active_subscriptions", 0),

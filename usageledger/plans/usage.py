@@ -54,22 +54,16 @@ def clean_events(events: DataFrame) -> DataFrame:
 def daily_metrics(events: DataFrame, *within: str) -> DataFrame:
     """Counts per day, account, type and feature.
 
-    Users and sessions are first reduced to one row per grain, user and session. That
-    step spreads a hot account over its sessions, and the exact distinct counts then
-    expand the sessions instead of the events.
+    Spark computes the two exact distinct counts by first shuffling on the grain plus
+    the user or session, so a hot account is spread over its users and sessions, and
+    aggregates before each of its shuffles.
     """
-    grain = [*within, *GRAIN]
-    sessions = events.groupBy(*grain, "user_id", "session_id").agg(
-        F.count(F.lit(1)).alias("_events"),
-        F.min("event_timestamp").alias("_first"),
-        F.max("event_timestamp").alias("_last"),
-    )
-    return sessions.groupBy(*grain).agg(
-        F.sum("_events").alias("event_count"),
+    return events.groupBy(*within, *GRAIN).agg(
+        F.count(F.lit(1)).alias("event_count"),
         F.count_distinct("user_id").alias("unique_users"),
         F.count_distinct("session_id").alias("unique_sessions"),
-        F.min("_first").alias("first_event_ts"),
-        F.max("_last").alias("last_event_ts"),
+        F.min("event_timestamp").alias("first_event_ts"),
+        F.max("event_timestamp").alias("last_event_ts"),
     )
 
 
@@ -128,14 +122,15 @@ def recompute_days(
     """
     narrow = _needed(events)
     arrived = loaded_between(events, load_day, load_day).select("event_id").distinct()
-    affected = (
-        narrow.join(arrived, "event_id", "left_semi")
-        .select(millis_to_date("event_timestamp").alias("event_date"))
-        .distinct()
+    # One row per event and day first: copies of one event must not meet in one task.
+    days_of = narrow.select("event_id", millis_to_date("event_timestamp").alias("event_date"))
+    # One row per calendar day, so it is small enough to broadcast at any table size.
+    affected = F.broadcast(
+        days_of.distinct().join(arrived, "event_id", "left_semi").select("event_date").distinct()
     )
     if timestamps_final:
-        days = narrow.withColumn("event_date", millis_to_date("event_timestamp"))
-        narrow = days.join(affected, "event_date", "left_semi").drop("event_date")
+        dated = narrow.withColumn("event_date", millis_to_date("event_timestamp"))
+        narrow = dated.join(affected, "event_date", "left_semi").drop("event_date")
     cleaned = clean_events(latest_events(narrow)).join(affected, "event_date", "left_semi")
     return _stamped(daily_metrics(cleaned), fv.BATCH_SOURCE)
 

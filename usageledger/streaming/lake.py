@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +15,11 @@ LAKE_COLUMNS = [*EVENT_COLUMNS, "_kafka_offset", "_kafka_partition", "_kafka_tim
 RAW_COLUMNS = [c for c in LAKE_COLUMNS if c != "_kafka_timestamp"]
 QUARANTINE_COLUMNS = ["_undecoded", "_kafka_offset", "_kafka_partition", "_kafka_timestamp", "_loaded_at"]
 
+MANIFEST = (
+    "batch bigint, record_count bigint, min_event_timestamp bigint, max_event_timestamp bigint, "
+    "uploaded_at bigint"
+)
+
 
 def _write_batch(rows: DataFrame, path: str, folders: list[str]) -> None:
     """Replace exactly the folders of this batch, so a repeated batch leaves no copies."""
@@ -31,25 +36,22 @@ def _land(path: str, columns: list[str], quarantine: bool, manifest: bool, by_ho
         try:
             seen = Observation()
             good = held.where("_decoded").select(*columns)
-            folders = ["batch"]
-            if by_hour:
-                good = good.withColumns(hour_parts("_loaded_at"))
-                folders = ["year", "month", "day", "hour", "batch"]
+            parts = hour_parts("_loaded_at") if by_hour else {"load_date": F.to_date("_loaded_at")}
+            folders = [*parts, "batch"]
+            good = good.withColumns(parts)
             good = good.withColumn("batch", F.lit(batch_id)).observe(
                 seen,
                 F.count(F.lit(1)).alias("record_count"),
                 F.min("event_timestamp").alias("min_event_timestamp"),
                 F.max("event_timestamp").alias("max_event_timestamp"),
-                F.max("_loaded_at").alias("uploaded_at"),
+                F.unix_micros(F.max("_loaded_at")).alias("uploaded_at"),
             )
             _write_batch(good, f"{path}/events", folders)
             if manifest and seen.get["record_count"]:
-                line = [(batch_id, *[seen.get[c] for c in (
-                    "record_count", "min_event_timestamp", "max_event_timestamp", "uploaded_at"
-                )])]
-                shape = ("batch bigint, record_count bigint, min_event_timestamp bigint, "
-                         "max_event_timestamp bigint, uploaded_at timestamp")
-                _write_batch(spark.createDataFrame(line, shape), f"{path}/_batches", ["batch"])
+                line = spark.createDataFrame([(batch_id, *seen.get.values())], MANIFEST).withColumn(
+                    "uploaded_at", F.timestamp_micros("uploaded_at")
+                )
+                _write_batch(line, f"{path}/_batches", ["batch"])
             if quarantine:
                 bad = held.where("NOT _decoded").select(*QUARANTINE_COLUMNS)
                 _write_batch(bad.withColumn("batch", F.lit(batch_id)), f"{path}/_undecoded", ["batch"])
@@ -83,11 +85,20 @@ def events_to_lake(
 def events_to_raw(
     decoded: DataFrame, path: str, checkpoint: str, seconds: int | None = fv.FLUSH_SECONDS
 ) -> StreamingQuery:
-    """Write decoded events to the raw table, without the broker's timestamp."""
+    """Write decoded events to `path/events/load_date=/batch=`, without the broker's timestamp."""
     land = _land(path, RAW_COLUMNS, quarantine=True, manifest=False, by_hour=False)
     return _start(decoded, land, checkpoint, seconds)
 
 
+def read_lake(spark: SparkSession, path: str) -> DataFrame:
+    """The lake's events with a `load_date` made of the folder names alone.
+
+    A filter on it is answered from the folders, so other days are not opened.
+    """
+    events = spark.read.parquet(f"{path}/events")
+    return events.withColumn("load_date", F.make_date("year", "month", "day"))
+
+
 def drop_redelivered(decoded: DataFrame, delay: str = "1 day") -> DataFrame:
     """Drop copies of an event that arrive within `delay` of each other's event time."""
     timed = decoded.withColumn("event_time", F.timestamp_millis("event_timestamp"))

@@ -15,6 +15,7 @@ from usageledger.functions.columns import (
     blank_to_null,
     hour_path,
     last_segment,
+    moment,
     surrogate_key,
     tidy,
     whole_units_between,
@@ -213,7 +214,7 @@ def text_cleanup(spark, sf_dir):
 @query
 def incremental_new_rows(spark, sf_dir):
     staged = _staged(spark, sf_dir)
-    loaded = staged.where(F.col("_loaded_at") <= F.lit(LOADED_SPLIT).cast("timestamp"))
+    loaded = staged.where(F.col("_loaded_at") <= moment(LOADED_SPLIT))
     return newer_rows(staged, loaded).select("subscription_id", "_loaded_at")
 
 
@@ -223,7 +224,7 @@ def _merge_sides(spark, sf_dir):
     Updates move cancelled subscriptions a year back, so they change their month.
     """
     facts = _facts(spark, sf_dir).withColumn("started_month", F.trunc("started_at", "month"))
-    target = facts.where(F.col("_loaded_at") <= F.lit(LOADED_SPLIT).cast("timestamp"))
+    target = facts.where(F.col("_loaded_at") <= moment(LOADED_SPLIT))
     moved = F.when(
         F.col("subscription_status") == "cancelled", F.col("started_at") - F.make_dt_interval(F.lit(365))
     ).otherwise(F.col("started_at"))
@@ -455,7 +456,7 @@ def top10_expensive(spark, sf_dir):
         F.when(F.col("o_orderpriority") == "5-LOW", "LOAD").otherwise("QUERY").alias("job_type"),
         F.when(F.col("o_orderstatus") == "P", "RUNNING").otherwise("DONE").alias("state"),
     )
-    return ingest.expensive_jobs(jobs, F.lit(AS_OF).cast("timestamp") - F.make_dt_interval(F.lit(365)))
+    return ingest.expensive_jobs(jobs, moment(AS_OF) - F.make_dt_interval(F.lit(365)))
 
 
 @query
@@ -473,7 +474,7 @@ def lag_status(spark, sf_dir):
 
 @query
 def age_bands(spark, sf_dir):
-    age = whole_units_between("DAY", F.col("o_orderdate").cast("timestamp"), F.lit(AS_OF).cast("timestamp"))
+    age = whole_units_between("DAY", F.col("o_orderdate").cast("timestamp"), moment(AS_OF))
     band = banded(age, [(1500, "old"), (365, "settled")], "recent")
     return table(spark, sf_dir, "orders").groupBy(band.alias("band")).agg(
         F.count(F.lit(1)).alias("order_count"), F.max(age).alias("oldest_days")
