@@ -1,0 +1,27 @@
+"""Every registered query against its SQL, on the smallest test tables."""
+
+import pytest
+
+import __spark_entry__ as entry_point
+from compare import connect, spark_rows, sql_rows
+
+TABLES = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(TABLES)
+
+
+def test_every_query_has_sql():
+    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+def test_query_equals_sql(spark, con, name):
+    frame = entry_point.queries()[name](spark, TABLES)
+    assert spark_rows(frame) == sql_rows(con, entry_point.oracle_sql()[name])
+
+
+def test_entry(spark):
+    assert not entry_point.entry(spark).isEmpty()
