@@ -42,6 +42,9 @@ def test_extracts_and_row_counts(spark, tmp_path):
         (tmp_path / f"raw_{name}.csv").write_text("\n".join(f"x{line}" if line.startswith(",") else line for line in lines) + "\n")
     counts = ingest.row_counts(ingest.read_extracts(spark, str(tmp_path))).collect()
     assert [(r.table_name, r.row_count) for r in counts] == sorted((n, len(n)) for n in schemas.SOURCE_TABLES)
+    ingest.land_extracts(spark, str(tmp_path), str(tmp_path / "raw"))
+    landed = spark.read.parquet(str(tmp_path / "raw" / "raw_accounts"))
+    assert landed.schema.simpleString() == schemas.ACCOUNTS.simpleString() and landed.count() == len("accounts")
 
 
 PAYLOAD = {

@@ -6,7 +6,7 @@ from pyspark.testing import assertDataFrameEqual
 
 from compare import plan_text
 from usageledger import schemas
-from usageledger.plans import usage
+from usageledger.plans import quality, usage
 from usageledger.sources.tables import loaded_between
 from usageledger.streaming import decode, lake
 
@@ -137,3 +137,11 @@ def test_avro_schema_marks_required_fields():
     assert fields["event_timestamp"] == "long" and fields["account_id"] == "string"
     assert fields["metadata"] == ["null", "string"]
     assert list(fields) == schemas.USAGE_EVENT.fieldNames()
+
+
+def test_lag_from_query_progress(spark):
+    progress = {"sources": [{
+        "endOffset": '{"usage": {"0": 100, "1": 50}}', "latestOffset": {"usage": {"0": 700, "1": 650, "2": 5}},
+    }]}
+    row, = quality.lag_status(decode.progress_offsets(spark, progress)).collect()
+    assert (row.topic, row.total_lag, row.status) == ("usage", 1205, "warning")

@@ -194,9 +194,12 @@ def test_refresh_of_recent_days(spark, tmp_path):
     raw_path, target = str(tmp_path / "raw"), str(tmp_path / "daily")
     raw = random_events(spark)
     raw.write.parquet(raw_path)
-    usage.refresh_recent_days(spark, raw_path, target, "2024-01-20", days=3)
+    usage.run_recent_days(spark, raw_path, target, "2024-01-20", days=3)
     expected = {k: v for k, v in brute_force(raw.collect()).items() if k[0] >= date(2024, 1, 17)}
     assert as_dict(spark.read.parquet(target)) == expected
+    # these events are never loaded before they happen, so older loads do not matter
+    usage.run_recent_days(spark, raw_path, target, "2024-01-20", days=3, loaded_since="2024-01-17")
+    assert as_dict(spark.read.parquet(target)) == expected
 
 
 def test_metadata_fields(spark):

@@ -14,6 +14,7 @@ from usageledger.operators.history import apply_snapshot, open_history
 from usageledger.operators.lookup import hot_keys
 from usageledger.operators.merge import newer_rows, publish_merge, stage_merge
 from usageledger.plans import billing, quality, reports
+from usageledger.session import scratch_path
 from usageledger.sinks.files import rebuild, write_partitioned
 
 FACT_CLUSTER = ["account_id", "subscription_status"]
@@ -94,7 +95,10 @@ def run_billing(
 
     history = run_snapshot(spark, raw_accounts, f"{base}/transform/snap_accounts", run_at)
     facts = run_facts(spark, staged, history, f"{base}/transform/fct_subscriptions", full_refresh)
-    per_account, per_plan = billing.account_metrics(facts), billing.plan_metrics(facts)
+    # Tested and then read by the report, so built once.
+    kept = scratch_path(spark, "account-metrics")
+    rebuild(billing.account_metrics(facts), kept)
+    per_account, per_plan = spark.read.parquet(kept), billing.plan_metrics(facts)
     require_passing(quality.check_models({
         "snap_accounts": history,
         "fct_subscriptions": facts,

@@ -7,11 +7,12 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from usageledger.functions.columns import last_segment, moment
 from usageledger.functions.nested import flatten
 from usageledger.schemas import SOURCE_TABLES
-from usageledger.sinks.files import append
+from usageledger.sinks.files import append, rebuild
 from usageledger.sources.landed import read_csv, read_records, read_run_results
 from usageledger.sources.tables import parse_day
 
@@ -28,15 +29,20 @@ def flatten_payload(
 
 
 def ingest_subscriptions(
-    spark: SparkSession, landed_path: str, raw_path: str, run_date: str | date
+    spark: SparkSession,
+    landed_path: str,
+    raw_path: str,
+    run_date: str | date,
+    schema: StructType | str | None = None,
 ) -> int:
     """Append landed records to the raw table; an empty load is an error.
 
-    Rows are counted while they are written. New fields become new columns: readers of
-    the raw table merge the file schemas.
+    Rows are counted while they are written. Without a `schema` Spark reads the extract
+    once more to find its fields; new ones become new columns, and readers of the raw
+    table merge the file schemas.
     """
     loaded = Observation()
-    rows = flatten_payload(read_records(spark, landed_path), run_date)
+    rows = flatten_payload(read_records(spark, landed_path, schema), run_date)
     append(rows.observe(loaded, F.count(F.lit(1)).alias("rows")), raw_path)
     if loaded.get["rows"] == 0:
         raise ValueError("no rows were written")
@@ -78,6 +84,12 @@ def read_extracts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def land_extracts(spark: SparkSession, folder: str, base: str) -> None:
+    """Load the CSV extracts as the typed raw tables below `base`, replacing them."""
+    for name, rows in read_extracts(spark, folder).items():
+        rebuild(rows, f"{base.rstrip('/')}/raw_{name}")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row count per table, by name."""
     parts = [

@@ -150,12 +150,25 @@ def read_metadata(events: DataFrame, schema: Any = EVENT_METADATA) -> DataFrame:
     return events.select("*", fields.alias("_meta")).select(*events.columns, "_meta.*")
 
 
+def _raw_events(spark: SparkSession, path: str, loaded_since: str | date | None) -> DataFrame:
+    """The raw table, or only what was loaded from a day on.
+
+    A bound prunes load-date folders. It is right only if no older load holds copies of
+    the events in question, for example because events are never loaded before they
+    happen; without one, all of the raw table counts.
+    """
+    events = spark.read.parquet(path)
+    return events if loaded_since is None else loaded_between(events, loaded_since, date.max - timedelta(days=1))
+
+
 def run_usage_daily(
     spark: SparkSession,
     raw_path: str,
     target_path: str,
     processing_date: str | date | None = None,
     recompute: bool = True,
+    timestamps_final: bool = False,
+    loaded_since: str | date | None = None,
 ) -> int:
     """The daily job: yesterday by default, one write, rows counted while writing.
 
@@ -163,8 +176,8 @@ def run_usage_daily(
     the load day alone, which forgets earlier loads of the same event days.
     """
     day = parse_day(processing_date) if processing_date else date.today() - timedelta(days=1)
-    events = spark.read.parquet(raw_path)
-    metrics = recompute_days(events, day) if recompute else usage_daily(events, day)
+    events = _raw_events(spark, raw_path, loaded_since)
+    metrics = recompute_days(events, day, timestamps_final) if recompute else usage_daily(events, day)
     return write_partitioned(metrics, target_path, "event_date", CLUSTER)
 
 
@@ -185,17 +198,21 @@ def run_usage_backfill(
     return {"rows": write_partitioned(metrics, target_path, "event_date", CLUSTER, append)}
 
 
-def refresh_recent_days(
+def recent_days(events: DataFrame, as_of: str | date, days: int = fv.LOOKBACK_DAYS) -> DataFrame:
+    """Metrics of the event days from `days` days before `as_of` on."""
+    oldest = parse_day(as_of) - timedelta(days=days)
+    cleaned = clean_events(latest_events(_needed(events)))
+    return _stamped(daily_metrics(cleaned.where(F.col("event_date") >= F.lit(oldest))), fv.BATCH_SOURCE)
+
+
+def run_recent_days(
     spark: SparkSession,
     raw_path: str,
     target_path: str,
     as_of: str | date,
     days: int = fv.LOOKBACK_DAYS,
+    loaded_since: str | date | None = None,
 ) -> int:
-    """Recompute the event days of the last `days` days and replace them."""
-    oldest = parse_day(as_of) - timedelta(days=days)
-    cleaned = clean_events(latest_events(_needed(spark.read.parquet(raw_path))))
-    metrics = _stamped(
-        daily_metrics(cleaned.where(F.col("event_date") >= F.lit(oldest))), fv.BATCH_SOURCE
-    )
+    """Compute the recent event days again and replace them."""
+    metrics = recent_days(_raw_events(spark, raw_path, loaded_since), as_of, days)
     return write_partitioned(metrics, target_path, "event_date", CLUSTER)

@@ -16,6 +16,8 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column costs more than planning it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -25,7 +25,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return conform(text, schema)
 
 
-def read_records(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_records(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Landed JSON records, one per line; an empty extract is an error."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     records = reader.json(path)

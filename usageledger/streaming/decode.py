@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from usageledger import schemas
 
@@ -105,3 +106,35 @@ def keyed_messages(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("account_id").cast("binary").alias("key"), record_body().alias("value")
     )
+
+
+def publish_messages(events: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
+    """Send an event stream to the broker, keyed by account; needs the Kafka package."""
+    return (
+        keyed_messages(events).writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
+def progress_offsets(spark: SparkSession, progress: dict) -> DataFrame:
+    """Offsets per topic and partition from a broker query's `lastProgress`.
+
+    One row per partition of the subscribed topics, in the columns `quality.lag_status`
+    expects.
+    """
+    rows = []
+    for source in progress["sources"]:
+        done, newest = (_offsets(source.get(name)) for name in ("endOffset", "latestOffset"))
+        for topic, partitions in newest.items():
+            for partition, offset in partitions.items():
+                rows.append((topic, int(partition), offset, done.get(topic, {}).get(partition, 0)))
+    return spark.createDataFrame(
+        rows, "topic string, partition int, log_end_offset bigint, current_offset bigint"
+    )
+
+
+def _offsets(reported: str | dict | None) -> dict:
+    return json.loads(reported) if isinstance(reported, str) else reported or {}

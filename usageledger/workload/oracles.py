@@ -328,6 +328,8 @@ SQL: dict[str, str] = {
     SELECT CAST(make_timestamp(event_timestamp * 1000) AS DATE) FROM usage_events WHERE event_id IN (
       SELECT event_id FROM usage_events WHERE CAST(_loaded_at AS DATE) = DATE '2024-01-15'))
   GROUP BY {GRAIN}""",
+    "usage_recent_days": f"""WITH {LATEST_EVENTS} SELECT {GRAIN}, {METRICS}, 'spark_batch' AS _source
+  FROM clean_events WHERE event_date >= DATE '2024-01-27' GROUP BY {GRAIN}""",
     "usage_event_type_mix": f"""WITH {LATEST_EVENTS} SELECT event_type, count(*) AS event_count,
   count(DISTINCT account_id) AS unique_accounts FROM clean_events GROUP BY 1""",
     "usage_metadata_json": f"""WITH {EVENTS} SELECT CAST(json_extract(metadata, '$.k') AS INTEGER) AS k, count(*) AS event_count,

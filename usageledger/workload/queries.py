@@ -94,6 +94,11 @@ def usage_recompute_days(spark, sf_dir):
     return usage.recompute_days(domain.usage_events(spark, sf_dir), USAGE_DAY).drop(*VOLATILE)
 
 
+@query
+def usage_recent_days(spark, sf_dir):
+    return usage.recent_days(domain.usage_events(spark, sf_dir), "2024-01-30").drop(*VOLATILE)
+
+
 @query
 def usage_daily_table(spark, sf_dir):
     """The metrics as the partitioned table a reader would see."""
@@ -400,25 +405,27 @@ def dq_duplicates(spark, sf_dir):
 
 @query
 def dq_declared_tests(spark, sf_dir):
-    """Every declared test of every model, over facts that are written once and reused."""
+    """Every declared test of every model; each model is built once, written, and tested."""
     path = scratch_path(spark, "declared-tests")
-    rebuild(_staged(spark, sf_dir), f"{path}/stg")
-    staged = spark.read.parquet(f"{path}/stg")
-    history = domain.account_history(spark, sf_dir)
-    hot = domain.hot_accounts(spark, sf_dir)
-    rebuild(billing.fct_subscriptions(staged, history, hot), f"{path}/fct")
-    facts = spark.read.parquet(f"{path}/fct")
-    per_account = billing.account_metrics(facts)
+
+    def built(rows: DataFrame, name: str) -> DataFrame:
+        rebuild(rows, f"{path}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{path}/{name}")
+
+    history, hot = domain.account_history(spark, sf_dir), domain.hot_accounts(spark, sf_dir)
+    staged = built(_staged(spark, sf_dir), "stg")
+    facts = built(billing.fct_subscriptions(staged, history, hot), "fct")
+    per_account = built(billing.account_metrics(facts), "accounts")
     return quality.check_models({
         "raw_accounts": domain.accounts(spark, sf_dir),
         "raw_subscriptions": domain.raw_subscriptions(spark, sf_dir),
         "stg_subscriptions": staged,
         "snap_accounts": history,
         "int_account_metrics": per_account,
-        "int_plan_metrics": billing.plan_metrics(facts),
+        "int_plan_metrics": built(billing.plan_metrics(facts), "plans"),
         "fct_subscriptions": facts,
-        "rpt_subscription_monthly": reports.subscription_monthly(facts, history, hot),
-        "rpt_account_overview": reports.account_overview(history, per_account, AS_OF),
+        "rpt_subscription_monthly": built(reports.subscription_monthly(facts, history, hot), "monthly"),
+        "rpt_account_overview": built(reports.account_overview(history, per_account, AS_OF), "overview"),
     })
 
 
