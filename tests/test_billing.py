@@ -1,6 +1,6 @@
 """Subscriptions of a small reference book, with the totals they must give."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -161,62 +161,69 @@ def test_facts_use_the_current_version(spark):
     assert {r.account_sk for r in facts.collect()} <= current
 
 
-def metrics_row(spark, **values):
+def overviews(spark, cases, as_of=datetime(2024, 1, 1)):
+    """One report row per case; a case overrides the metrics, `is_active` or `known`."""
     base = {
-        "account_id": "a", "total_subscriptions": 1, "active_subscriptions": 1, "cancelled_subscriptions": 0,
+        "total_subscriptions": 1, "active_subscriptions": 1, "cancelled_subscriptions": 0,
         "trialing_subscriptions": 0, "total_active_mrr": 100.0, "total_active_arr": 1200.0,
         "first_subscription_at": datetime(2024, 1, 1), "latest_subscription_at": datetime(2024, 1, 1),
-        "unique_plans": 1, "unique_currencies": 1, **values,
+        "unique_plans": 1, "unique_currencies": 1,
     }
-    return spark.createDataFrame([tuple(base.values())], (
+    held, metrics = [], []
+    for n, case in enumerate(cases):
+        case = dict(case)
+        active, known = case.pop("is_active", True), case.pop("known", True)
+        held.append((f"a{n:03}", "n", "i", "s", "r", "t", "c", active, datetime(2023, 12, 30, 12),
+                     datetime(2023, 12, 30), "crm", LOADED))
+        if known:
+            metrics.append((f"a{n:03}", *{**base, **case}.values()))
+    shape = (
         "account_id string, total_subscriptions int, active_subscriptions int, cancelled_subscriptions int, "
         "trialing_subscriptions int, total_active_mrr double, total_active_arr double, "
         "first_subscription_at timestamp, latest_subscription_at timestamp, unique_plans int, unique_currencies int"
-    ))
-
-
-def overview_of(spark, is_active=True, as_of=datetime(2024, 1, 1), **values):
-    account = spark.createDataFrame(
-        [("a", "n", "i", "s", "r", "t", "c", is_active, datetime(2023, 12, 30, 12), datetime(2023, 12, 30), "crm", LOADED)], ACCOUNTS
     )
-    metrics = metrics_row(spark, **values)
-    return reports.account_overview(open_history(account, "account_id"), metrics, as_of).first()
+    history = open_history(spark.createDataFrame(held, ACCOUNTS), "account_id")
+    report = reports.account_overview(history, spark.createDataFrame(metrics, shape), as_of)
+    return report.orderBy("account_id").collect()
 
 
 def test_segments_branch_by_branch(spark):
-    def segment(is_active=True, **values):
-        return overview_of(spark, is_active, **values).account_health_segment
-
     none = {"active_subscriptions": 0, "total_active_mrr": 0.0}
-    assert segment(False, total_active_mrr=5000.0) == "Inactive"
-    assert segment(None, total_active_mrr=5000.0) == "Enterprise"
-    assert segment(cancelled_subscriptions=1, **none) == "Churned"
-    assert segment(**none) == "No Subscription"
-    assert [segment(total_active_mrr=m) for m in (1000.0, 999.99, 500.0, 499.99, 0.01, 0.0, -5.0)] == [
-        "Enterprise", "Growth", "Growth", "Starter", "Starter", "Free", "Free",
+    expected = [
+        ({"is_active": False, "total_active_mrr": 5000.0}, "Inactive"),
+        ({"is_active": None, "total_active_mrr": 5000.0}, "Enterprise"),
+        ({"cancelled_subscriptions": 1, **none}, "Churned"),
+        (none, "No Subscription"),
+        *[({"total_active_mrr": m}, name) for m, name in (
+            (1000.0, "Enterprise"), (999.99, "Growth"), (500.0, "Growth"), (499.99, "Starter"),
+            (0.01, "Starter"), (0.0, "Free"), (-5.0, "Free"),
+        )],
     ]
+    got = overviews(spark, [case for case, _ in expected])
+    assert [r.account_health_segment for r in got] == [name for _, name in expected]
 
 
-def test_adoption_and_engagement(spark):
-    def row(**values):
-        return overview_of(spark, **values)
-
-    assert [row(active_subscriptions=n).product_adoption for n in (4, 3, 2, 1, 0)] == [
+def test_adoption_and_age(spark):
+    rows = overviews(spark, [{"active_subscriptions": n} for n in (4, 3, 2, 1, 0)])
+    assert [r.product_adoption for r in rows] == [
         "Multi-Product", "Multi-Product", "Dual-Product", "Single-Product", "No Active Products",
     ]
-    first = datetime(2024, 1, 1)
-    at = {30: datetime(2024, 1, 31), 31: datetime(2024, 2, 1), 90: datetime(2024, 3, 31),
-          91: datetime(2024, 4, 1), 180: datetime(2024, 6, 29), 181: datetime(2024, 6, 30)}
-    assert [row(as_of=moment, first_subscription_at=first).engagement_status for moment in at.values()] == [
-        "New", "Active", "Active", "Engaged", "Engaged", "Dormant",
-    ]
-    assert row(total_active_mrr=0.0).engagement_status is None
     # a day and a half is one whole day
-    assert row().account_age_days == 1
+    assert {r.account_age_days for r in rows} == {1}
+
+
+def test_engagement(spark):
+    as_of = datetime(2024, 12, 1)
+    cases = [
+        {"first_subscription_at": as_of - timedelta(days=n), "latest_subscription_at": as_of - timedelta(days=n)}
+        for n in (30, 31, 90, 91, 180, 181)
+    ]
+    got = [r.engagement_status for r in overviews(spark, [*cases, {"total_active_mrr": 0.0}], as_of)]
+    assert got == ["New", "Active", "Active", "Engaged", "Engaged", "Dormant", None]
 
 
 def test_accounts_without_metrics_get_defaults(spark):
-    row = overview_of(spark, account_id="someone else")
+    row = overviews(spark, [{}, {"known": False}])[1]
     assert (row.total_subscriptions, row.total_mrr, row.unique_plans_subscribed, row.currencies_used) == (0, 0, 0, 1)
     assert (row.account_health_segment, row.product_adoption, row.engagement_status) == (
         "No Subscription", "No Active Products", None,

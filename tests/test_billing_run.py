@@ -2,9 +2,11 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.testing import assertDataFrameEqual
 
 from test_billing import accounts, raw_book, raw_subscription
 from usageledger.operators.checks import ChecksFailed
+from usageledger.operators.history import apply_snapshot, open_history
 from usageledger.plans.billing_run import run_billing, run_snapshot
 from usageledger.schemas import RAW_SUBSCRIPTIONS
 
@@ -48,9 +50,23 @@ def test_failed_tests_stop_the_run(spark, tmp_path):
 def test_snapshots_version_the_history(spark, tmp_path):
     path = str(tmp_path / "snap")
     first = run_snapshot(spark, accounts(spark), path, datetime(2024, 9, 2))
-    second = run_snapshot(spark, accounts(spark, datetime(2024, 10, 1), skip={3}), path, datetime(2024, 10, 2))
-    assert (first.count(), second.count()) == (20, 39)
-    assert second.where("dbt_valid_to is null").count() == 19
-    assert second.where("account_id = 'acc_3'").first().dbt_valid_to == datetime(2024, 10, 2)
-    with pytest.raises(ValueError):
-        run_snapshot(spark, accounts(spark).union(accounts(spark)), path, datetime(2024, 10, 3))
+    assert first.count() == 20
+    later = accounts(spark, datetime(2024, 10, 1), skip={3})
+    for _ in range(2):  # a repeated run gives the same history
+        second = run_snapshot(spark, later, path, datetime(2024, 10, 2))
+        assert second.count() == 39
+        assert second.where("dbt_valid_to is null").count() == 19
+        assert second.where("account_id = 'acc_3'").first().dbt_valid_to == datetime(2024, 10, 2)
+    third = run_snapshot(spark, accounts(spark, datetime(2024, 10, 5)), path, datetime(2024, 10, 6))
+    assert third.count() == 39 + 20  # 19 moved on, one came back
+    assert sorted(p.name for p in (tmp_path / "snap" / "current").glob("run=*")) == [
+        "run=20241002000000", "run=20241006000000",
+    ]
+    expected = open_history(accounts(spark), "account_id")
+    for extract, at in ((later, datetime(2024, 10, 2)), (accounts(spark, datetime(2024, 10, 5)), datetime(2024, 10, 6))):
+        expected = apply_snapshot(expected, extract, "account_id", at)
+    assertDataFrameEqual(third, expected.select(*third.columns))
+    with pytest.raises(ValueError, match="twice"):
+        run_snapshot(spark, accounts(spark).union(accounts(spark)), path, datetime(2024, 10, 7))
+    with pytest.raises(ValueError, match="after"):
+        run_snapshot(spark, accounts(spark), path, datetime(2024, 9, 9))

@@ -32,25 +32,23 @@ def open_history(source: DataFrame, key: str, updated_at: str = "updated_at") ->
     return source.withColumns(_opened(key, updated_at))
 
 
-def apply_snapshot(
-    history: DataFrame,
+def snapshot_moves(
+    current: DataFrame,
     source: DataFrame,
     key: str,
     as_of: datetime | Column,
     updated_at: str = "updated_at",
     close_missing: bool = True,
 ) -> DataFrame:
-    """Bring a history up to date with a new extract of its source.
+    """What the current versions become after a new extract of their source.
 
     A key seen for the first time, or again after it was closed, opens a version. A
     later `updated_at` closes the current version at that moment and opens the next. A
     key the extract lacks is closed at `as_of`. Anything else stays. Columns that only
-    one side has are kept and NULL on the other. `source` must hold one row per key.
-
-    Closed versions never enter the join; they pass straight to the result.
+    one side has are kept and NULL on the other. Both sides hold one row per key.
     """
     kinds = {f.name: f.dataType for f in source.schema.fields}
-    kinds.update({f.name: f.dataType for f in history.schema.fields})
+    kinds.update({f.name: f.dataType for f in current.schema.fields})
     names = [c for c in kinds if c not in PERIOD_COLUMNS] + PERIOD_COLUMNS
 
     def as_row(side: str, present: list[str], replaced: dict[str, Column]) -> Column:
@@ -62,16 +60,16 @@ def apply_snapshot(
             for c in names
         ])
 
-    held = current_versions(history).select(F.struct("*").alias("held"))
+    held = current.select(F.struct("*").alias("held"))
     seen = source.select(F.struct("*").alias("seen"))
     paired = held.join(seen, F.col(f"held.{key}") == F.col(f"seen.{key}"), "full_outer")
 
-    keep = as_row("held", history.columns, {})
+    keep = as_row("held", current.columns, {})
     opened = as_row(
         "seen", source.columns, _opened(F.col(f"seen.{key}"), F.col(f"seen.{updated_at}"))
     )
-    replaced = as_row("held", history.columns, {"dbt_valid_to": F.col(f"seen.{updated_at}")})
-    ended = as_row("held", history.columns, {"dbt_valid_to": moment(as_of)}) if close_missing else keep
+    replaced = as_row("held", current.columns, {"dbt_valid_to": F.col(f"seen.{updated_at}")})
+    ended = as_row("held", current.columns, {"dbt_valid_to": moment(as_of)}) if close_missing else keep
     is_newer = F.col("held.dbt_valid_from") < F.col(f"seen.{updated_at}")
     versions = (
         F.when(F.col("held").isNull(), F.array(opened))
@@ -79,9 +77,23 @@ def apply_snapshot(
         .when(is_newer, F.array(replaced, opened))
         .otherwise(F.array(keep))
     )
-    moved = paired.select(F.inline(versions))
+    return paired.select(F.inline(versions))
+
+
+def apply_snapshot(
+    history: DataFrame,
+    source: DataFrame,
+    key: str,
+    as_of: datetime | Column,
+    updated_at: str = "updated_at",
+    close_missing: bool = True,
+) -> DataFrame:
+    """A whole history after a new extract; closed versions pass without entering the join."""
+    moves = snapshot_moves(
+        current_versions(history), source, key, as_of, updated_at, close_missing
+    )
     closed = history.where(F.col("dbt_valid_to").isNotNull())
-    return moved.unionByName(closed, allowMissingColumns=True)
+    return moves.unionByName(closed, allowMissingColumns=True)
 
 
 def history_from_log(

@@ -10,12 +10,13 @@ from pyspark.errors import AnalysisException
 
 from usageledger.operators.checks import require_passing
 from usageledger.operators.dedup import duplicated
-from usageledger.operators.history import apply_snapshot, open_history
+from usageledger.operators.evolve import append_evolving
+from usageledger.operators.history import current_versions, open_history, snapshot_moves
 from usageledger.operators.lookup import hot_keys
 from usageledger.operators.merge import newer_rows, publish_merge, stage_merge
 from usageledger.plans import billing, quality, reports
-from usageledger.session import scratch_path
-from usageledger.sinks.files import rebuild, write_partitioned
+from usageledger.session import pin_utc, scratch_path
+from usageledger.sinks.files import drop_partitions, rebuild, write_partitioned
 
 FACT_CLUSTER = ["account_id", "subscription_status"]
 FACT_MONTH = "started_month"
@@ -30,28 +31,58 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def latest_run(table: DataFrame) -> DataFrame:
-    """The newest version of a table kept as `run=` folders; a folder value, so it prunes."""
-    newest = table.agg(F.max("run")).first()[0]
-    return table.where(F.col("run") == F.lit(newest)).drop("run")
+def read_history(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The account history as of its newest run, or its newest run before a given one.
 
+    `current/run=` holds the open versions after a run, `closed/run=` those the run
+    closed. A run counts once its current versions are there; they are written last.
+    """
+    versions = read_if_there(spark, f"{path}/current")
+    if versions is None:
+        return None
+    if before is not None:
+        versions = versions.where(F.col("run") < F.lit(before))
+    newest = versions.agg(F.max("run")).first()[0]
+    if newest is None:
+        return None
+    closed = spark.read.option("mergeSchema", True).parquet(f"{path}/closed")
+    open_now = versions.where(F.col("run") == F.lit(newest))
+    return append_evolving(open_now, closed.where(F.col("run") <= F.lit(newest))).drop("run")
+
+
+def run_snapshot(
+    spark: SparkSession, source: DataFrame, path: str, run_at: datetime, keep_runs: int = 2
+) -> DataFrame:
+    """Bring the stored account history up to date and return it.
 
-def run_snapshot(spark: SparkSession, source: DataFrame, path: str, run_at: datetime) -> DataFrame:
-    """Write the next version of the account history beside the last one and return it.
-
-    The version being read is never overwritten, and a run that fails halfway leaves no
-    version behind, so it can simply be started again.
+    Closed versions are written once and never again; each run writes only the open
+    ones and what it closed. Repeating a run starts from the run before it and replaces
+    its own folders, so it may die at any point. Open versions of the last `keep_runs`
+    runs are kept.
     """
     if not duplicated(source, ["account_id"]).isEmpty():
         raise ValueError("the account extract holds an account twice")
-    versions = read_if_there(spark, path)
-    if versions is None:
-        history = open_history(source, "account_id")
+    run = int(f"{run_at:%Y%m%d%H%M%S}")
+    stored = read_if_there(spark, f"{path}/current")
+    # One row per kept run.
+    runs = [] if stored is None else [r[0] for r in stored.select("run").distinct().collect()]
+    if any(other > run for other in runs):
+        raise ValueError(f"the history already has a run after {run_at}")
+
+    history = read_history(spark, path, before=run)
+    if history is None:
+        moves = open_history(source, "account_id")
     else:
-        history = apply_snapshot(latest_run(versions), source, "account_id", run_at)
-    folder = f"{path}/run={run_at:%Y%m%d%H%M%S}"
-    history.write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder)
+        moves = snapshot_moves(current_versions(history), source, "account_id", run_at)
+    staged = scratch_path(spark, "account-moves")
+    moves.write.parquet(staged)
+    moves = spark.read.parquet(staged)
+    is_open = F.col("dbt_valid_to").isNull()
+    rebuild(moves.where(~is_open), f"{path}/closed/run={run}")
+    rebuild(moves.where(is_open), f"{path}/current/run={run}")
+    outdated = sorted({*runs, run})[:-keep_runs]
+    drop_partitions(spark, f"{path}/current", "run", outdated)
+    return read_history(spark, path)
 
 
 def run_facts(
@@ -85,6 +116,7 @@ def run_billing(
     The history is taken before the facts, so they point to today's account versions. A
     stage whose tests fail stops the run before the next one reads it.
     """
+    pin_utc(spark)
     raw_accounts = spark.read.parquet(f"{base}/raw/raw_accounts")
     raw = spark.read.option("mergeSchema", True).parquet(f"{base}/raw/raw_subscriptions")
     rebuild(billing.stg_subscriptions(raw), f"{base}/staging/stg_subscriptions")

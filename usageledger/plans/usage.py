@@ -12,6 +12,7 @@ from usageledger import fixed_values as fv
 from usageledger.functions.columns import millis_to_date, tidy
 from usageledger.operators.dedup import keep_latest
 from usageledger.schemas import EVENT_METADATA
+from usageledger.session import pin_utc
 from usageledger.sinks.files import dry_run as preview_write
 from usageledger.sinks.files import write_partitioned
 from usageledger.sources.tables import day_range, loaded_between, parse_day
@@ -150,13 +151,14 @@ def read_metadata(events: DataFrame, schema: Any = EVENT_METADATA) -> DataFrame:
     return events.select("*", fields.alias("_meta")).select(*events.columns, "_meta.*")
 
 
-def _raw_events(spark: SparkSession, path: str, loaded_since: str | date | None) -> DataFrame:
+def _raw_events(spark: SparkSession, path: str, loaded_since: str | date | None = None) -> DataFrame:
     """The raw table, or only what was loaded from a day on.
 
     A bound prunes load-date folders. It is right only if no older load holds copies of
     the events in question, for example because events are never loaded before they
     happen; without one, all of the raw table counts.
     """
+    pin_utc(spark)
     events = spark.read.parquet(path)
     return events if loaded_since is None else loaded_between(events, loaded_since, date.max - timedelta(days=1))
 
@@ -192,7 +194,7 @@ def run_usage_backfill(
     append: bool = False,
 ) -> dict[str, Any]:
     """The range job. A repeat replaces its event days unless `append` is asked for."""
-    metrics = usage_backfill(spark.read.parquet(raw_path), first, last, batch_days)
+    metrics = usage_backfill(_raw_events(spark, raw_path), first, last, batch_days)
     if dry_run:
         return preview_write(metrics)
     return {"rows": write_partitioned(metrics, target_path, "event_date", CLUSTER, append)}

@@ -9,17 +9,19 @@ from usageledger.operators.evolve import conform
 from usageledger.schemas import RUN_RESULTS
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """Declared columns of a CSV with a header; '' is NULL, quotes are doubled.
 
     Columns are matched by name, so extra or reordered file columns do no harm and a
     missing one is NULL. Values are cast afterwards: a malformed one fails the job.
+    `multi_line` allows line breaks inside quotes, but a file is then read by one task.
     """
     text = (
         spark.read.option("header", True)
         .option("nullValue", "")
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
     return conform(text, schema)

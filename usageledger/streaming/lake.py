@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from usageledger import fixed_values as fv
 from usageledger.functions.columns import hour_parts
 from usageledger.schemas import USAGE_EVENT
+from usageledger.session import pin_utc
 
 EVENT_COLUMNS = USAGE_EVENT.fieldNames()
 LAKE_COLUMNS = [*EVENT_COLUMNS, "_kafka_offset", "_kafka_partition", "_kafka_timestamp", "_loaded_at"]
@@ -62,6 +63,7 @@ def _land(path: str, columns: list[str], quarantine: bool, manifest: bool, by_ho
 
 
 def _start(decoded: DataFrame, land, checkpoint: str, seconds: int | None) -> StreamingQuery:
+    pin_utc(decoded.sparkSession)
     writer = decoded.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     if seconds is None:
         return writer.trigger(availableNow=True).start()
