@@ -53,4 +53,3 @@ LAKE_AGE_MINUTES = (15, 60)
 STAGING_AGE_MINUTES = (60, 240)
 LOOKBACK_DAYS = 3
 FLUSH_SECONDS = 30
-FLUSH_ROWS = 500

@@ -15,7 +15,7 @@ from usageledger.schemas import EVENT_METADATA
 from usageledger.session import pin_utc
 from usageledger.sinks.files import dry_run as preview_write
 from usageledger.sinks.files import write_partitioned
-from usageledger.sources.tables import day_range, loaded_between, parse_day
+from usageledger.sources.tables import day_range, loaded_between, parse_day, read_events
 
 GRAIN = ["event_date", "account_id", "event_type", "feature_name"]
 CLUSTER = ["account_id", "event_type"]
@@ -82,11 +82,14 @@ def usage_daily(events: DataFrame, processing_date: str | date | None = None) ->
     return _stamped(daily_metrics(cleaned), fv.BATCH_SOURCE)
 
 
-def batch_bounds(day: Column, first: date, last: date, batch_days: int) -> dict[str, Column]:
-    """First and last day, as text, of the run of `batch_days` days a load day falls in."""
-    start = F.lit(first)
-    number = F.floor(F.datediff(day, start) / F.lit(batch_days)).cast("int")
-    opens = F.date_add(start, number * F.lit(batch_days))
+def batch_number(day: Column, first: date, batch_days: int) -> Column:
+    """Which run of `batch_days` days, counted from `first`, a day falls in."""
+    return F.floor(F.datediff(day, F.lit(first)) / F.lit(batch_days)).cast("int")
+
+
+def batch_bounds(number: Column, first: date, last: date, batch_days: int) -> dict[str, Column]:
+    """First and last day of a batch as text; the last batch may be shorter."""
+    opens = F.date_add(F.lit(first), number * F.lit(batch_days))
     closes = F.least(F.date_add(opens, batch_days - 1), F.lit(last))
     return {"_batch_start": opens.cast("string"), "_batch_end": closes.cast("string")}
 
@@ -96,18 +99,18 @@ def usage_backfill(
 ) -> DataFrame:
     """Metrics per batch of load days, every batch deduplicated on its own.
 
-    All batches run in one plan: the batch is one more grouping column, so a long range
-    is one shuffle over the cluster, not a sequence of small jobs.
+    All batches run in one plan: the batch number is one more grouping column, so a long
+    range is one shuffle over the cluster, not a sequence of small jobs.
     """
     if batch_days < 1:
         raise ValueError("batch_days must be at least 1")
     start, end = day_range(first, last)
-    bounds = batch_bounds(F.to_date("_loaded_at"), start, end, batch_days)
-    ranged = _needed(loaded_between(events, start, end)).withColumns(bounds)
-    labels = ["_batch_start", "_batch_end"]
-    cleaned = clean_events(latest_events(ranged, *labels))
-    metrics = _stamped(daily_metrics(cleaned, *labels), fv.BACKFILL_SOURCE)
-    return metrics.select(*[c for c in metrics.columns if c not in labels], *labels)
+    ranged = _needed(loaded_between(events, start, end)).withColumn(
+        "_batch", batch_number(F.to_date("_loaded_at"), start, batch_days)
+    )
+    cleaned = clean_events(latest_events(ranged, "_batch"))
+    metrics = _stamped(daily_metrics(cleaned, "_batch"), fv.BACKFILL_SOURCE)
+    return metrics.withColumns(batch_bounds(F.col("_batch"), start, end, batch_days)).drop("_batch")
 
 
 def recompute_days(
@@ -159,7 +162,7 @@ def _raw_events(spark: SparkSession, path: str, loaded_since: str | date | None
     happen; without one, all of the raw table counts.
     """
     pin_utc(spark)
-    events = spark.read.parquet(path)
+    events = read_events(spark, path)
     return events if loaded_since is None else loaded_between(events, loaded_since, date.max - timedelta(days=1))
 
 

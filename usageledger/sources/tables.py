@@ -25,6 +25,18 @@ def day_range(first: str | date, last: str | date) -> tuple[date, date]:
     return start, end
 
 
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """A raw event table, whether foldered by `load_date` or by year, month, day and hour.
+
+    The latter gets its `load_date` from the folder names alone, so a filter on it is
+    answered without opening the files of other days.
+    """
+    events = spark.read.parquet(path)
+    if "load_date" not in events.columns and {"year", "month", "day"} <= set(events.columns):
+        events = events.withColumn("load_date", F.make_date("year", "month", "day"))
+    return events
+
+
 def loaded_between(
     rows: DataFrame,
     first: str | date,
