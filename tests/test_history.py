@@ -10,6 +10,7 @@ from usageledger.operators.history import (
     history_from_log,
     open_history,
 )
+from usageledger.operators.lookup import hot_keys
 
 SHAPE = "account_id string, tier string, updated_at timestamp"
 DAY = datetime(2024, 1, 1)
@@ -93,8 +94,11 @@ def test_log_equals_repeated_snapshots(spark):
         else:
             history = apply_snapshot(history, source, "account_id", datetime(2030, 1, 1))
         history = spark.createDataFrame(history.collect(), history.schema)
-    bulk = history_from_log(spark.createDataFrame(log + log[:5], SHAPE), "account_id")
-    assertDataFrameEqual(bulk.select(*history.columns), history)
+    table = spark.createDataFrame(log + log[:5], SHAPE)
+    some = spark.createDataFrame([("k1",), ("k4",)], "account_id string")
+    for hot in (None, some, table.select("account_id").distinct()):
+        bulk = history_from_log(table, "account_id", hot=hot)
+        assertDataFrameEqual(bulk.select(*history.columns), history)
 
 
 def test_log_of_one_hot_key_links_across_buckets(spark):
@@ -103,7 +107,9 @@ def test_log_of_one_hot_key_links_across_buckets(spark):
         F.col("id").cast("string").alias("tier"),
         (F.lit(DAY).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), (F.col("id") * 7).cast("int"))).alias("updated_at"),
     )
-    history = history_from_log(log, "account_id")
+    hot = hot_keys(log, "account_id", floor=1000)
+    assert hot.count() == 1
+    history = history_from_log(log, "account_id", hot=hot)
     assert current_versions(history).count() == 1
     gaps = history.where(F.col("dbt_valid_to") != F.col("dbt_valid_from") + F.expr("interval 7 minutes"))
     assert history.count() == 5000 and gaps.isEmpty()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from usageledger.functions.columns import moment, version_key
 from usageledger.operators.dedup import keep_latest
+from usageledger.operators.lookup import hot_keys
 
 PERIOD_COLUMNS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
@@ -100,23 +101,33 @@ def history_from_log(
     log: DataFrame,
     key: str,
     updated_at: str = "updated_at",
+    hot: DataFrame | None = None,
     bucket: str = "hour",
 ) -> DataFrame:
     """Build the whole history from a change log at once.
 
     Equal to applying the log's states one after another when nothing is deleted. Each
-    version ends where the next of its key begins. That successor is looked up inside a
+    version ends where the next of its key begins. For a hot key (see
+    `lookup.hot_keys`, used unless a list is given) that successor is looked up inside a
     time bucket of the key; only the last version of a bucket needs the start of the
-    key's next bucket, which comes from one row per key and bucket. So a key with very
-    many versions is spread over its buckets and never sorted in one task.
+    key's next bucket, which comes from one row per bucket. So a key with very many
+    versions is spread over its buckets and never sorted in one task.
     """
-    states = keep_latest(
-        log.withColumn("_bucket", F.date_trunc(bucket, updated_at)), [key, "_bucket", updated_at], []
+    if hot is None:
+        hot = hot_keys(log.select(key), key)
+    marks = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+    bucketed = (
+        log.join(marks, key, "left")
+        .withColumn("_bucket", F.when(F.col("_hot"), F.date_trunc(bucket, updated_at)))
+        .drop("_hot")
     )
+    states = keep_latest(bucketed, [key, "_bucket", updated_at], [])
     inside = Window.partitionBy(key, "_bucket").orderBy(updated_at)
     linked = states.withColumn("_next", F.lead(updated_at).over(inside))
-    firsts = log.groupBy(key, F.date_trunc(bucket, updated_at).alias("_bucket")).agg(
-        F.min(updated_at).alias("_first")
+    firsts = (
+        bucketed.where(F.col("_bucket").isNotNull())
+        .groupBy(key, "_bucket")
+        .agg(F.min(updated_at).alias("_first"))
     )
     along = Window.partitionBy(key).orderBy("_bucket")
     following = firsts.select(
