@@ -1,0 +1,68 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from test_billing import accounts, raw_book
+from test_usage import random_events
+from usageledger.__main__ import main
+from usageledger.sinks.files import as_view
+
+
+@pytest.fixture
+def job(spark, capsys):
+    def call(*argv):
+        code = main([str(a) for a in argv], spark)
+        out = capsys.readouterr()
+        return code, json.loads((out.out or out.err).strip().splitlines()[-1])
+
+    return call
+
+
+def test_usage_jobs(spark, tmp_path, job):
+    raw, target = tmp_path / "raw", tmp_path / "daily"
+    random_events(spark).withColumn("load_date", F.to_date("_loaded_at")).write.partitionBy("load_date").parquet(str(raw))
+    code, dry = job("usage-backfill", raw, target, "--start-date", "2024-01-01", "--end-date", "2024-01-31", "--dry-run")
+    assert code == 0 and not target.exists()
+    code, done = job("usage-backfill", raw, target, "--start-date", "2024-01-01", "--end-date", "2024-01-31")
+    assert (code, done["result"]["rows"]) == (0, dry["result"]["rows"])
+    before = spark.read.parquet(str(target)).select("event_date").distinct().count()
+    code, daily = job("usage-daily", raw, tmp_path / "d2", "--date", "2024-01-10")
+    assert code == 0 and daily["result"] == spark.read.parquet(str(tmp_path / "d2")).count() > 0
+    assert job("usage-daily", raw, tmp_path / "d3", "--date", "2024-01-10", "--single-load")[0] == 0
+    assert job("usage-recent", raw, target, "--as-of", "2024-01-20")[0] == 0
+    assert spark.read.parquet(str(target)).select("event_date").distinct().count() == before
+    code, gone = job("expire", raw, "--as-of", "2024-01-31", "--days", "20")
+    assert code == 0 and gone["result"][-1] == "2024-01-10"
+
+
+def test_bad_parameters_are_reported(tmp_path, job):
+    code, answer = job("usage-backfill", tmp_path, tmp_path, "--start-date", "2024-02-01", "--end-date", "2024-01-01")
+    assert code == 1 and "after its end" in answer["error"]
+
+
+def test_billing_and_quality_jobs(spark, tmp_path, job):
+    accounts(spark).write.parquet(str(tmp_path / "raw" / "raw_accounts"))
+    book = raw_book(spark)
+    earlier = book.withColumn("_loaded_at", F.col("_loaded_at") - F.expr("interval 1 day")).where("id = 'sub_0'")
+    book.union(earlier).write.parquet(str(tmp_path / "raw" / "raw_subscriptions"))
+    code, done = job("billing", tmp_path, "--run-at", "2024-11-01T04:00:00")
+    assert code == 0 and "rpt_account_overview" in done["result"]
+    # 24 rows after days of one or two is an anomaly, and the gate says so
+    code, failed = job("quality", tmp_path, "--date", "2024-11-01", "--as-of", "2024-11-01T05:00:00")
+    assert code == 1 and "row_volume" in failed["error"] and "freshness" not in failed["error"]
+    code, passed = job("quality", tmp_path, "--date", "2024-12-01", "--as-of", "2024-11-01T05:00:00")
+    assert code == 0 and {r["status"] for r in passed["result"]} == {"no_data", "pass"}
+
+
+def test_views_take_plain_sql(spark):
+    as_view(random_events(spark), "usage_events")
+    row = spark.sql(
+        "select count(*) filter (where account_id is null) as missing, count(*) as n from usage_events"
+    ).first()
+    assert 0 < row.missing < row.n
+
+
+def test_run_results_job(tmp_path, job):
+    (tmp_path / "run.json").write_text(json.dumps({"metadata": {}, "results": [{"unique_id": "a.b", "status": "ok"}]}))
+    assert job("run-results", tmp_path / "run.json", tmp_path / "monitoring", "--date", "2024-11-01")[1]["result"] == 1

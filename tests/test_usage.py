@@ -157,6 +157,13 @@ def test_recomputed_days_are_whole_and_notice_moved_events(spark):
     assert as_dict(usage.recompute_days(raw, day)) == expected
 
 
+def test_many_affected_days_are_joined(spark, monkeypatch):
+    raw = random_events(spark)
+    listed = as_dict(usage.recompute_days(raw, "2024-01-12"))
+    monkeypatch.setattr(usage, "LISTED_DAYS", 1)
+    assert as_dict(usage.recompute_days(raw, "2024-01-12")) == listed
+
+
 def test_final_timestamps_give_the_same_result_when_they_are_final(spark):
     raw = random_events(spark).withColumn(
         "event_timestamp", F.lit(UTC_MS[1]) + F.pmod(F.xxhash64("event_id"), F.lit(20)) * 86_400_000

@@ -113,6 +113,18 @@ def usage_backfill(
     return metrics.withColumns(batch_bounds(F.col("_batch"), start, end, batch_days)).drop("_batch")
 
 
+# More affected days than this are joined instead of listed.
+LISTED_DAYS = 4000
+
+
+def _on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows whose `event_date` is among the days: as a filter if they are few, else a join."""
+    listed = [r[0] for r in days.limit(LISTED_DAYS + 1).collect()]
+    if len(listed) > LISTED_DAYS:
+        return rows.join(days, "event_date", "left_semi")
+    return rows.where(F.col("event_date").isin(listed))
+
+
 def recompute_days(
     events: DataFrame, load_day: str | date, timestamps_final: bool = False
 ) -> DataFrame:
@@ -128,14 +140,14 @@ def recompute_days(
     arrived = loaded_between(events, load_day, load_day).select("event_id").distinct()
     # One row per event and day first: copies of one event must not meet in one task.
     days_of = narrow.select("event_id", millis_to_date("event_timestamp").alias("event_date"))
-    # One row per calendar day, so it is small enough to broadcast at any table size.
-    affected = F.broadcast(
+    affected = (
         days_of.distinct().join(arrived, "event_id", "left_semi").select("event_date").distinct()
     )
     if timestamps_final:
         dated = narrow.withColumn("event_date", millis_to_date("event_timestamp"))
-        narrow = dated.join(affected, "event_date", "left_semi").drop("event_date")
-    cleaned = clean_events(latest_events(narrow)).join(affected, "event_date", "left_semi")
+        cleaned = clean_events(latest_events(_on_days(dated, affected)))
+    else:
+        cleaned = _on_days(clean_events(latest_events(narrow)), affected)
     return _stamped(daily_metrics(cleaned), fv.BATCH_SOURCE)
 
 
@@ -197,7 +209,8 @@ def run_usage_backfill(
     append: bool = False,
 ) -> dict[str, Any]:
     """The range job. A repeat replaces its event days unless `append` is asked for."""
-    metrics = usage_backfill(_raw_events(spark, raw_path), first, last, batch_days)
+    start, end = day_range(first, last)
+    metrics = usage_backfill(_raw_events(spark, raw_path), start, end, batch_days)
     if dry_run:
         return preview_write(metrics)
     return {"rows": write_partitioned(metrics, target_path, "event_date", CLUSTER, append)}

@@ -306,6 +306,21 @@ DAILY = f"WITH {LATEST_EVENTS} SELECT {GRAIN}, {METRICS}, 'spark_batch' AS _sour
 EXPIRED = f"""WITH {EVENTS} SELECT CAST(_loaded_at AS DATE) AS load_date, count(*) AS row_count FROM usage_events
   WHERE CAST(_loaded_at AS DATE) >= DATE '2024-01-21' GROUP BY 1"""
 MERGED = f"""WITH {MERGE} SELECT *, CAST(date_trunc('month', started_at) AS DATE) AS started_month FROM merged"""
+APPLIED = f"""WITH {ACCOUNTS}, {CHANGED}, held AS (
+  SELECT * FROM accounts WHERE industry <> 'BUILDING'
+), seen AS (
+  SELECT * FROM changed WHERE company_size_band <> 'SMB'
+), kept AS (
+  SELECT held.account_id, held.account_tier, held.updated_at,
+         CASE WHEN seen.account_id IS NULL THEN TIMESTAMP '2001-08-15'
+              WHEN seen.updated_at > held.updated_at THEN seen.updated_at END AS dbt_valid_to
+  FROM held LEFT JOIN seen USING (account_id)
+), opened AS (
+  SELECT account_id, account_tier, updated_at, CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM seen
+  WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.account_id = seen.account_id AND held.updated_at >= seen.updated_at)
+)
+SELECT account_id, account_tier, {SCD_ID} AS dbt_scd_id, updated_at AS dbt_updated_at, updated_at AS dbt_valid_from, dbt_valid_to
+FROM (SELECT * FROM kept UNION ALL SELECT * FROM opened)"""
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 SQL: dict[str, str] = {
@@ -323,6 +338,7 @@ SQL: dict[str, str] = {
     "usage_clean": f"WITH {LATEST_EVENTS} SELECT * FROM clean_events",
     "usage_backfill_1d": _backfill(1),
     "usage_backfill_7d": _backfill(7),
+    "usage_backfill_table": _backfill(7),
     "usage_recompute_days": f"""WITH {LATEST_EVENTS} SELECT {GRAIN}, {METRICS}, 'spark_batch' AS _source
   FROM clean_events WHERE event_date IN (
     SELECT CAST(make_timestamp(event_timestamp * 1000) AS DATE) FROM usage_events WHERE event_id IN (
@@ -373,21 +389,8 @@ SQL: dict[str, str] = {
   UNION ALL SELECT s_suppkey, s_name, NULL, s_nationkey FROM supplier""",
     "scd2_history": f"WITH {HISTORY} SELECT * FROM history",
     "scd2_current": f"WITH {HISTORY} SELECT * FROM history WHERE dbt_valid_to IS NULL",
-    "scd2_apply_deletes": f"""WITH {ACCOUNTS}, {CHANGED}, held AS (
-  SELECT * FROM accounts WHERE industry <> 'BUILDING'
-), seen AS (
-  SELECT * FROM changed WHERE company_size_band <> 'SMB'
-), kept AS (
-  SELECT held.account_id, held.account_tier, held.updated_at,
-         CASE WHEN seen.account_id IS NULL THEN TIMESTAMP '2001-08-15'
-              WHEN seen.updated_at > held.updated_at THEN seen.updated_at END AS dbt_valid_to
-  FROM held LEFT JOIN seen USING (account_id)
-), opened AS (
-  SELECT account_id, account_tier, updated_at, CAST(NULL AS TIMESTAMP) AS dbt_valid_to FROM seen
-  WHERE NOT EXISTS (SELECT 1 FROM held WHERE held.account_id = seen.account_id AND held.updated_at >= seen.updated_at)
-)
-SELECT account_id, account_tier, {SCD_ID} AS dbt_scd_id, updated_at AS dbt_updated_at, updated_at AS dbt_valid_from, dbt_valid_to
-FROM (SELECT * FROM kept UNION ALL SELECT * FROM opened)""",
+    "scd2_apply_deletes": APPLIED,
+    "scd2_snapshot_runs": APPLIED,
     "expire_partitions": EXPIRED,
     "expire_partitioned_table": EXPIRED,
     "dq_not_null": f"WITH {EVENTS} SELECT event_id, _loaded_at FROM usage_events WHERE account_id IS NULL",
@@ -451,5 +454,6 @@ FROM (SELECT * FROM kept UNION ALL SELECT * FROM opened)""",
   SELECT * FROM messages WHERE NOT broken QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _kafka_offset DESC) = 1)
   SELECT lower(trim(event_type)) AS event_type, count(*) AS event_count, count(DISTINCT account_id) AS unique_accounts
   FROM latest GROUP BY 1""",
+    "stream_dedup": f"WITH {MESSAGES} SELECT DISTINCT event_id, event_timestamp FROM messages WHERE NOT broken",
     "keyed_messages": f"WITH {LATEST_EVENTS} SELECT account_id AS message_key, event_id, event_timestamp, metadata FROM latest_events",
 }

@@ -28,6 +28,7 @@ from usageledger.operators.lookup import orphan_keys
 from usageledger.operators.merge import merge_upsert, newer_rows, publish_merge, stage_merge
 from usageledger.operators.retention import expire_path, unexpired
 from usageledger.plans import billing, ingest, quality, reports, usage
+from usageledger.plans.billing_run import run_snapshot
 from usageledger.session import scratch_path
 from usageledger.sinks.files import rebuild, write_partitioned
 from usageledger.sources.landed import read_csv
@@ -108,6 +109,16 @@ def usage_daily_table(spark, sf_dir):
     return spark.read.parquet(path).drop(*VOLATILE)
 
 
+@query
+def usage_backfill_table(spark, sf_dir):
+    """The range job on a raw table with load-date folders, read back."""
+    path = scratch_path(spark, "usage-backfill")
+    events = domain.usage_events(spark, sf_dir).withColumn("load_date", F.to_date("_loaded_at"))
+    write_partitioned(events, f"{path}/raw", "load_date", ["event_id"])
+    usage.run_usage_backfill(spark, f"{path}/raw", f"{path}/daily", *map(str, USAGE_RANGE), batch_days=7)
+    return spark.read.parquet(f"{path}/daily").drop(*VOLATILE)
+
+
 @query
 def usage_event_type_mix(spark, sf_dir):
     return usage.event_type_mix(domain.usage_events(spark, sf_dir))
@@ -294,6 +305,16 @@ def scd2_apply_deletes(spark, sf_dir):
     return apply_snapshot(history, extract, "account_id", AS_OF).select(*HISTORY_OUTPUT)
 
 
+@query
+def scd2_snapshot_runs(spark, sf_dir):
+    """The same two extracts as consecutive runs of the stored history."""
+    path = scratch_path(spark, "snap-accounts")
+    first = domain.accounts(spark, sf_dir).where(F.col("industry") != "BUILDING")
+    second = domain.changed_accounts(spark, sf_dir).where(F.col("company_size_band") != "SMB")
+    run_snapshot(spark, first, path, datetime(2001, 1, 1))
+    return run_snapshot(spark, second, path, AS_OF).select(*HISTORY_OUTPUT)
+
+
 @query
 def expire_partitions(spark, sf_dir):
     events = domain.usage_events(spark, sf_dir).withColumn("load_date", F.to_date("_loaded_at"))
@@ -631,6 +652,19 @@ def stream_raw_event_mix(spark, sf_dir):
     return usage.event_type_mix(spark.read.parquet(f"{path}/events"))
 
 
+@query
+def stream_dedup(spark, sf_dir):
+    """Events whose second copy was dropped while streaming."""
+    path, messages = scratch_path(spark, "dedup"), _landed_messages(spark, sf_dir)
+    decoded = decode.decode_messages(decode.read_landed_messages(spark, messages)).where("_decoded")
+    lake.drop_redelivered(decoded).select("event_id", "event_timestamp").writeStream.format(
+        "parquet"
+    ).option("path", f"{path}/out").option("checkpointLocation", f"{path}/_checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
 @query
 def keyed_messages(spark, sf_dir):
     records = decode.keyed_messages(usage.latest_events(domain.usage_events(spark, sf_dir)))
