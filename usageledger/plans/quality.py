@@ -22,7 +22,7 @@ from usageledger.operators.checks import (
     unique_together,
     within,
 )
-from usageledger.sources.tables import parse_day
+from usageledger.sources.tables import loaded_between, parse_day
 
 
 def _required(*columns: str) -> list[Check]:
@@ -111,7 +111,7 @@ def volume_anomaly(
     """Rows loaded on `ds` against the mean of the days before it; absent days don't count."""
     day = parse_day(ds)
     daily = (
-        raw.where(F.col("_loaded_at") >= F.lit(day - timedelta(days=lookback)).cast("timestamp"))
+        loaded_between(raw, day - timedelta(days=lookback), day)
         .groupBy(F.to_date("_loaded_at").alias("d"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -133,7 +133,7 @@ def mrr_reconciliation(staged: DataFrame, facts: DataFrame, ds: str | date | Non
     def layer(rows: DataFrame, name: str) -> DataFrame:
         rows = rows.where(F.col("subscription_status") == "active")
         if ds is not None:
-            rows = rows.where(F.to_date("_loaded_at") == F.lit(parse_day(ds)))
+            rows = loaded_between(rows, ds, ds)
         return rows.select(F.lit(name).alias("layer"), "mrr_amount")
 
     both = layer(staged, "staging").unionByName(layer(facts, "transform"))

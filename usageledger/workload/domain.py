@@ -33,7 +33,8 @@ TABLES = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     pin_utc(spark)
-    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def emit(rows: DataFrame) -> DataFrame:
