@@ -13,13 +13,16 @@ from usageledger import fixed_values as fv
 from usageledger.operators.checks import ChecksFailed, require_passing
 from usageledger.operators.retention import expire_path
 from usageledger.plans import billing_run, ingest, quality, usage
-from usageledger.session import build_session, pin_utc
+from usageledger.session import build_session, pin_utc, size_shuffles
 from usageledger.sources.tables import parse_day
 from usageledger.streaming import decode, lake
 
 
 def _arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="usageledger", description=__doc__)
+    parser.add_argument(
+        "--input-gb", type=float, help="size of the input, to choose the shuffle width"
+    )
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(name: str, *paths: str, summary: str) -> argparse.ArgumentParser:
@@ -94,6 +97,8 @@ def _checks(spark: SparkSession, base: str, day: str | None, as_of: datetime | N
 def run(spark: SparkSession, args: argparse.Namespace) -> object:
     """Run one job and return what it reports."""
     pin_utc(spark)
+    if args.input_gb:
+        size_shuffles(spark, int(args.input_gb * 1024**3))
     match args.job:
         case "usage-daily":
             day = args.date or _day(None) - timedelta(days=1)

@@ -7,6 +7,11 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Aim of one shuffle partition, and bounds that keep schedulers and shuffle files sane.
+SHUFFLE_BYTES = 512 * 1024**2
+MIN_SHUFFLE_PARTITIONS = 200
+MAX_SHUFFLE_PARTITIONS = 100_000
+
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the plans rely on; `conf` keys use `__` for dots."""
@@ -26,6 +31,20 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the shuffle width for an input of this size and return it.
+
+    Spark merges partitions that turn out small but only splits those of some joins and
+    writes, so the width has to follow the data: the default of 200 would make partitions
+    of half a terabyte out of 100 TB. Merging stops at the advisory size instead of at
+    one partition per core.
+    """
+    width = min(MAX_SHUFFLE_PARTITIONS, max(MIN_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_BYTES)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    return width
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Day boundaries are UTC everywhere, whatever zone the caller's session has."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
