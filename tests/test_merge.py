@@ -88,7 +88,7 @@ def test_files_are_sorted_by_cluster_columns(spark, tmp_path):
     path = str(tmp_path / "t")
     shuffled = spark.range(2000).select(
         F.concat(F.lit("k"), F.lpad((F.col("id") * 37 % 2000).cast("string"), 4, "0")).alias("k"),
-        F.lit(JAN).alias("month"),
+        F.add_months(F.lit(JAN), (F.col("id") % 3).cast("int")).alias("month"),
     )
     write_partitioned(shuffled.repartition(5), path, "month", ["k"])
     for file in (tmp_path / "t").rglob("*.parquet"):

@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from usageledger.operators.checks import require_passing
 from usageledger.operators.dedup import duplicated
@@ -16,19 +15,16 @@ from usageledger.operators.lookup import hot_keys
 from usageledger.operators.merge import newer_rows, publish_merge, stage_merge
 from usageledger.plans import billing, quality, reports
 from usageledger.session import pin_utc, scratch_path
-from usageledger.sinks.files import drop_partitions, rebuild, write_partitioned
+from usageledger.sinks.files import drop_partitions, exists, rebuild, write_partitioned
 
 FACT_CLUSTER = ["account_id", "subscription_status"]
 FACT_MONTH = "started_month"
 
 
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    if not exists(spark, path):
+        return None
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def read_history(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:

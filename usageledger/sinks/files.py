@@ -57,13 +57,23 @@ def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and the file system Spark reads it from."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _folder(spark, path)
+    return files.exists(folder)
+
+
 def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable[Any]) -> None:
-    """Delete partition directories through the file system Spark reads them from."""
-    jvm = spark.sparkContext._jvm
+    """Delete partition directories."""
     for value in values:
         name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={name}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, files = _folder(spark, f"{path}/{partition}={name}")
+        files.delete(folder, True)
     spark.catalog.refreshByPath(path)
 
 

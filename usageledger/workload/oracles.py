@@ -446,11 +446,12 @@ SQL: dict[str, str] = {
   rows_affected, message, 'run_' || o_orderkey AS invocation_id, '1.8.0' AS dbt_version
   FROM (SELECT o_orderkey, o_orderstatus, 'stg_' || o_orderkey AS node_name, o_orderkey AS rows_affected, o_orderpriority AS message FROM orders
         UNION ALL SELECT o_orderkey, o_orderstatus, 'fct_' || o_orderkey, 0, '' FROM orders)""",
-    "stream_lake": f"""WITH {MESSAGES} SELECT * EXCLUDE (truncated, broken, _loaded_at), epoch_us(_loaded_at) // 1000 AS _kafka_timestamp
+    "stream_lake": f"""WITH {MESSAGES} SELECT * EXCLUDE (truncated, broken, _loaded_at)
+  REPLACE (CAST(_kafka_offset AS BIGINT) AS _kafka_offset), epoch_us(_loaded_at) // 1000 AS _kafka_timestamp
   FROM messages WHERE NOT broken""",
     "stream_lake_manifest": f"""WITH {MESSAGES} SELECT count(*) AS record_count, min(event_timestamp) AS min_event_timestamp,
   max(event_timestamp) AS max_event_timestamp FROM messages WHERE NOT broken""",
-    "stream_quarantine": f"WITH {MESSAGES} SELECT truncated, _kafka_offset, _kafka_partition FROM messages WHERE broken",
+    "stream_quarantine": f"WITH {MESSAGES} SELECT truncated, CAST(_kafka_offset AS BIGINT) AS _kafka_offset, _kafka_partition FROM messages WHERE broken",
     "stream_raw_event_mix": f"""WITH {MESSAGES}, latest AS (
   SELECT * FROM messages WHERE NOT broken QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _kafka_offset DESC) = 1)
   SELECT lower(trim(event_type)) AS event_type, count(*) AS event_count, count(DISTINCT account_id) AS unique_accounts
