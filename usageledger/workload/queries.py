@@ -610,7 +610,7 @@ def _landed_messages(spark, sf_dir):
         F.when(broken, F.lit(TRUNCATED).cast("binary"))
         .otherwise(decode.record_body())
         .alias("value"),
-        F.lit("product.usage.events").alias("topic"),
+        F.lit("usage").alias("topic"),
         F.col("_kafka_partition").alias("partition"),
         F.col("_kafka_offset").cast("bigint").alias("offset"),
         F.col("_loaded_at").alias("timestamp"),
