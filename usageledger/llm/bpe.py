@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from usageledger.llm.vocabulary import NONE, Encoder, Vocabulary, batches, ragged, vocabulary
+from usageledger.llm.vocabulary import NONE, Vocabulary, batches, encoder, vocabulary
 
 
 def merge_by_index(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,11 +86,11 @@ def encode_decode(docs: DataFrame, vocab_path: str, doc_id: str = "doc_id", text
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(vocab_path)
-        encoder = Encoder(vocab, merge_by_index)
+        coder = encoder(vocab_path, merge_by_index)
         for part in parts:
             texts = [t or "" for t in part.column(1).to_pylist()]
             for a, b in batches(texts):
-                ids = encoder.encode(texts[a:b])
+                ids = coder.encode(texts[a:b])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).slice(a, b - a), pa.array(ids, pa.list_(pa.int64())), pa.array([vocab.decode(x) for x in ids], pa.string())],
                     ["doc_id", "ids", "decoded"],
@@ -105,13 +105,13 @@ def digests(docs: DataFrame, vocab_path: str, doc_id: str = "doc_id", text: str
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(vocab_path)
-        encoder = Encoder(vocab, merge_by_index)
+        coder = encoder(vocab_path, merge_by_index)
         decimal = [str(i) for i in range(len(vocab.token_bytes))]
         for part in parts:
             texts = [t or "" for t in part.column(1).to_pylist()]
             counts, shas, decoded = [], [], []
             for a, b in batches(texts):
-                for ids in encoder.encode(texts[a:b]):
+                for ids in coder.encode(texts[a:b]):
                     counts.append(len(ids))
                     shas.append(hashlib.sha256(",".join([decimal[i] for i in ids.tolist()]).encode()).hexdigest())
                     decoded.append(hashlib.sha256(vocab.decode(ids).encode()).hexdigest())

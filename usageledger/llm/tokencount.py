@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usageledger.llm.vocabulary import NONE, Encoder, Vocabulary, batches, vocabulary
+from usageledger.llm.vocabulary import NONE, Vocabulary, batches, encoder
 
 
 def merge_by_rounds(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -58,13 +58,13 @@ def count_tokens(docs: DataFrame, vocab_path: str, limit: int = 512, doc_id: str
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary(vocab_path), merge_by_rounds)
+        coder = encoder(vocab_path, merge_by_rounds)
         for part in parts:
             texts = [t or "" for t in part.column(1).to_pylist()]
             counts: list[int] = []
             for a, b in batches(texts):
-                pieces = encoder.pieces(texts[a:b])
-                counts += [int(encoder.lengths[p].sum()) for p in pieces]
+                pieces = coder.pieces(texts[a:b])
+                counts += [int(coder.lengths[p].sum()) for p in pieces]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     body = F.coalesce(docs[text], F.lit(""))
