@@ -27,9 +27,13 @@ def merge_by_rounds(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray,
     row = np.repeat(np.arange(len(words)), sizes)
     done_symbols: list[np.ndarray] = []
     done_rows: list[np.ndarray] = []
+    ranks = np.full(len(symbols), NONE, dtype=np.int64)
+    stale = np.arange(len(symbols))
     while len(symbols):
-        ranks = np.full(len(symbols), NONE, dtype=np.int64)
-        inside = np.flatnonzero(row[1:] == row[:-1])
+        # Only pairs next to a merge have changed since the last round.
+        ranks[stale] = NONE
+        inside = stale[stale < len(symbols) - 1]
+        inside = inside[row[inside + 1] == row[inside]]
         ranks[inside] = vocab.ranks(symbols[inside], symbols[inside + 1])
         starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         lowest = np.repeat(np.minimum.reduceat(ranks, starts), np.diff(np.append(starts, len(row))))
@@ -45,7 +49,11 @@ def merge_by_rounds(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray,
         symbols[at] = vocab.merged[ranks[at]]
         stay = ~over
         stay[at + 1] = False
-        symbols, row = symbols[stay], row[stay]
+        place = np.cumsum(stay)[at] - 1
+        symbols, row, ranks = symbols[stay], row[stay], ranks[stay]
+        near = np.zeros(len(symbols) + 1, dtype=bool)
+        near[place] = near[place - 1] = True
+        stale = np.flatnonzero(near[:-1])
     if not done_rows:
         return np.zeros(0, dtype=np.int64), np.zeros(len(words), dtype=np.int64)
     rows = np.concatenate(done_rows)

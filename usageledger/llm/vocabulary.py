@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import regex
@@ -16,7 +17,9 @@ _LOOSE = regex.compile(r"\s (?:\s|\Z)")
 # Characters outside the blocks whose classes all versions of the character tables agree on.
 _VERSIONED = regex.compile(r"[^\u0000-\u0557\u2010-\u2060\u20a0-\u20bf\u2190-\u23ff\u3000-\u9fcc\uac00-\ud7a3]")
 _MIXED = 1 << 17
+_SLOT_BITS = 20
 NONE = np.iinfo(np.int32).max
+_STOPS = (",", ".")
 
 
 def _byte_symbols() -> dict[int, str]:
@@ -26,8 +29,26 @@ def _byte_symbols() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
 
 
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
+def _hashed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Open addressing: keys and their positions by slot, and the longest probe."""
+    slots = np.full((1 << _SLOT_BITS) + 64, -1, dtype=np.int64)
+    values = np.full(len(slots), NONE, dtype=np.int32)
+    longest = 1
+    for i, (key, at) in enumerate(zip(keys.tolist(), _slot(keys).tolist(), strict=True)):
+        step = 0
+        while slots[at + step] >= 0:
+            step += 1
+        slots[at + step], values[at + step] = key, i
+        longest = max(longest, step + 1)
+    return slots, values, longest
+
+
 class Vocabulary:
-    """Merge ranks as sorted arrays, and the bytes of every id."""
+    """Merge ranks in a hash table of arrays, and the bytes of every id."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
@@ -41,9 +62,7 @@ class Vocabulary:
         self.left = np.array([ids[a] for a, _ in merges], dtype=np.int64)
         self.right = np.array([ids[b] for _, b in merges], dtype=np.int64)
         self.merged = np.array([ids[a + b] for a, b in merges], dtype=np.int64)
-        keys = self.left * _MIXED + self.right
-        self._order = np.argsort(keys, kind="stable").astype(np.int32)
-        self._keys = keys[self._order]
+        self._slots, self._slot_ranks, self._probes = _hashed(self.left * _MIXED + self.right)
         self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"] if t.get("special")}
         size = max([*ids.values(), *self.special.values()]) + 1
         self.token_bytes: list[bytes] = [b""] * size
@@ -60,8 +79,16 @@ class Vocabulary:
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, NONE where the pair never merges."""
         keys = left * _MIXED + right
-        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-        return np.where(self._keys[at] == keys, self._order[at], NONE)
+        at = _slot(keys)
+        out = np.where(self._slots[at] == keys, self._slot_ranks[at], NONE)
+        # Few pairs share a slot; only those whose slot holds another one look further.
+        open_ = np.flatnonzero((out == NONE) & (self._slots[at] >= 0))
+        for step in range(1, self._probes):
+            at_next = at[open_] + step
+            hit = self._slots[at_next] == keys[open_]
+            out[open_[hit]] = self._slot_ranks[at_next[hit]]
+            open_ = open_[~hit & (self._slots[at_next] >= 0)]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids, special ones included."""
@@ -69,25 +96,33 @@ class Vocabulary:
         return self._bytes[ragged(self._starts[ids], lengths)].tobytes().decode("utf-8", "replace")
 
     def segments(self, text: str) -> list:
-        """The text cut where no pre-token can span the cut; joined, the pieces are the text.
+        """The text cut where no pre-token can span the cut.
 
-        A piece is a string still to be split by the pattern, or a one-tuple that is a pre-token
-        as it stands, in bytes.
+        A string stands for itself behind a space; a pair holds a piece as it is, as text that is
+        still to be split by the pattern, as the bytes of one pre-token, or as a special token.
         """
         if self._specials and any(s in text for s in self.special):
-            return [p for part in self._specials.split(text) if part for p in ([part] if part in self.special else self._plain(part))]
+            parts = self._specials.split(text)
+            return [p for part in parts if part for p in ([(part, "special")] if part in self.special else self._plain(part))]
         return self._plain(text)
 
     def _plain(self, text: str) -> list:
         if not text.isascii() and _VERSIONED.search(text):
-            return [(bytes(self.byte_of[c] for c in piece),) for piece, _ in _splitter(self.path).pre_tokenize_str(text)]
+            return [(bytes(self.byte_of[c] for c in piece), "whole") for piece, _ in _splitter(self.path).pre_tokenize_str(text)]
         if _LOOSE.search(text):
-            return self._pattern.findall(text)
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + piece for piece in rest]
+            return [(piece, "text") for piece in self._pattern.findall(text)]
+        parts = text.split(" ")
+        if parts[0]:
+            parts[0] = (parts[0], "text")
+            return parts
+        return parts[1:]
 
-    def pretokens(self, segment) -> list[bytes]:
-        return [segment[0]] if isinstance(segment, tuple) else [p.encode("utf-8", "replace") for p in self._pattern.findall(segment)]
+    def pretokens(self, segment) -> list:
+        """The pre-tokens of a segment: strings, or what a pair holds if it is not text."""
+        if isinstance(segment, str):
+            return self._pattern.findall(" " + segment)
+        piece, kind = segment
+        return self._pattern.findall(piece) if kind == "text" else [piece if kind == "whole" else segment]
 
 
 @lru_cache(maxsize=4)
@@ -110,6 +145,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
+class _Numbered(dict):
+    """Numbers new keys as they are looked up."""
+
+    def __missing__(self, key) -> int:
+        self[key] = number = len(self)
+        return number
+
+
 class Encoder:
     """Ids of whole texts; every distinct piece is merged once by `merge`.
 
@@ -124,8 +167,8 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self._index: dict = {}
-        self._words: dict = {}
+        self._index = _Numbered()
+        self._words = _Numbered()
         empty = np.zeros(0, dtype=np.int64)
         self.ids = self.starts = self.lengths = empty
         self._word_ids = self._word_starts = self._word_lengths = empty
@@ -135,43 +178,50 @@ class Encoder:
         if len(self._index) > self.MAX_PIECES:
             self._clear()
         index, before = self._index, len(self._index)
-        out = []
-        for text in texts:
-            found = self.vocab.segments(text)
-            out.append(np.fromiter([index.setdefault(s, len(index)) for s in found], dtype=np.int64, count=len(found)))
+        number = index.__getitem__
+        out = [np.array(list(map(number, self.vocab.segments(text))), dtype=np.int64) for text in texts]
         if len(index) > before:
-            fresh = list(index)[before:] if before else list(index)
-            self._learn(fresh)
+            self._learn(list(islice(index, before, None)))
         return out
 
     def _learn(self, fresh: list) -> None:
         """Ids of new pieces; of their pre-tokens only those never seen are merged."""
-        words, special = self._words, self.vocab.special
+        words, special, split = self._words, self.vocab.special, self.vocab.pretokens
         known = len(words)
-        flat: list[int] = []
+        found: list = []
         sizes: list[int] = []
         for segment in fresh:
-            parts = [segment] if segment in special else self.vocab.pretokens(segment)
-            flat += [words.setdefault(w, len(words)) for w in parts]
+            # Letters alone, or with a comma or full stop behind, need no pattern.
+            if type(segment) is str:
+                if segment.isalpha():
+                    found.append(" " + segment)
+                    sizes.append(1)
+                    continue
+                if segment[-1:] in _STOPS and segment[:-1].isalpha():
+                    found += (" " + segment[:-1], segment[-1])
+                    sizes.append(2)
+                    continue
+            parts = split(segment)
+            found += parts
             sizes.append(len(parts))
-        new = list(words)[known:] if known else list(words)
-        plain = [w for w in new if isinstance(w, bytes)]
+        at = np.array(list(map(words.__getitem__, found)), dtype=np.int64)
+        new = list(islice(words, known, None))
+        plain = [w if isinstance(w, bytes) else w.encode("utf-8", "replace") for w in new if not isinstance(w, tuple)]
         ids, lengths = self.merge(self.vocab, plain)
         if len(plain) < len(new):
-            # The strings among the words are special tokens, of one id each.
-            marked = np.array([isinstance(w, str) for w in new])
+            # The pairs among the words are special tokens, of one id each.
+            marked = np.array([isinstance(w, tuple) for w in new])
             all_lengths = np.ones(len(new), dtype=np.int64)
             all_lengths[~marked] = lengths
             all_ids = np.empty(int(all_lengths.sum()), dtype=np.int64)
             hold = np.repeat(marked, all_lengths)
             all_ids[~hold] = ids
-            all_ids[hold] = [special[w] for w in new if isinstance(w, str)]
+            all_ids[hold] = [special[w[0]] for w in new if isinstance(w, tuple)]
             ids, lengths = all_ids, all_lengths
         self._word_starts = np.concatenate([self._word_starts, len(self._word_ids) + np.cumsum(lengths) - lengths])
         self._word_lengths = np.concatenate([self._word_lengths, lengths])
         self._word_ids = np.concatenate([self._word_ids, ids])
 
-        at = np.array(flat, dtype=np.int64)
         piece_ids = self._word_ids[ragged(self._word_starts[at], self._word_lengths[at])]
         per_word = np.concatenate([[0], np.cumsum(self._word_lengths[at])])
         ends = np.cumsum(np.array(sizes, dtype=np.int64))
