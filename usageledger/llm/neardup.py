@@ -9,8 +9,9 @@ compared:
 
 1. In every table bucket each class is compared with one pivot, the class that meets most others.
 2. Confirmed links are contracted to components.
-3. In the buckets that still hold several components, the classes outside the largest one are
-   compared with all others, in blocks, wherever the signatures allow the wanted similarity.
+3. Candidates, linked or not, form clusters. In those that still hold several components the
+   classes outside the largest one are compared with all others, in blocks, wherever they share
+   a key and their signatures allow the wanted similarity.
 
 No bucket is cut short and none is expanded into all its pairs. The number of bands makes a missed
 link at the threshold a matter of 1 in 3,000 (similarity 0.8) or 1 in 25,000 (0.85).
@@ -93,19 +94,18 @@ def _profiles(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, cid long, sig array<int>")
 
 
-def _tables(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cid, band, k): bands shared with another class; (cid, key): keys of their pairs."""
+def _tables(classes: DataFrame) -> DataFrame:
+    """(cid, key): the tables' keys, from the pairs of bands that other classes share."""
     band = F.transform(
         F.sequence(F.lit(0), F.lit(2 * BANDS - 1)), lambda i: F.struct(i.alias("band"), F.xxhash64(i, F.slice("sig", i * ROWS + 1, ROWS)).alias("k"))
     )
     bands = classes.select("cid", F.inline(band))
     shared = bands.groupBy("k").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high").select("k")
-    live = stored(bands.join(shared, "k", "left_semi").select("cid", "band", "k"), "near-bands")
+    live = bands.join(shared, "k", "left_semi").select("cid", "band", "k")
     gathered = live.groupBy("cid").agg(F.collect_list(F.struct("band", "k")).alias("all"))
     side = lambda first: F.filter("all", lambda b: (b["band"] < BANDS) if first else (b["band"] >= BANDS))
     keys = F.flatten(F.transform(F.col("a"), lambda a: F.transform(F.col("b"), lambda b: F.xxhash64(a["k"], b["k"]))))
-    tensored = gathered.select("cid", side(True).alias("a"), side(False).alias("b")).select("cid", F.explode(keys).alias("key"))
-    return live, tensored
+    return gathered.select("cid", side(True).alias("a"), side(False).alias("b")).select("cid", F.explode(keys).alias("key"))
 
 
 def _pivot_pairs(tensored: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -141,6 +141,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found
 
 
+def _similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * common >= percent * (len(p) + len(q) - common)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("members").alias("set_a"))
@@ -153,8 +158,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             good = []
             for x, y in zip(part.column(2), part.column(3), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(100 * common >= percent * (len(p) + len(q) - common))
+                good.append(_similar(p, q, percent))
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], ["a", "b"])
 
@@ -187,39 +191,57 @@ def components(edges: DataFrame) -> DataFrame:
     return spark.createDataFrame([], "node long, label long") if labels is None else labels
 
 
-def _open_pairs(live: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of classes in different components, by blocks of shared buckets."""
+def _open_links(classes: DataFrame, sets: DataFrame, clusters: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between different components of one cluster of candidates.
+
+    In each cluster the classes outside its largest component meet all others, block by block.
+    A block compares signatures first and full sets only where they allow the similarity; it
+    gives back the links that join components, not the pairs that it has looked at.
+    """
     floor = percent / 100 - SLACK
-    first = live.where(F.col("band") < BANDS)
-    named = first.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select("k", "cid", F.coalesce("label", "cid").alias("label"))
+    named = clusters.select(F.col("node").alias("cid"), F.col("label").alias("k")).join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    named = named.select("k", "cid", F.coalesce("label", "cid").alias("label"))
     per_label = named.groupBy("k", "label").agg(F.count("*").alias("n"))
     mixed = per_label.groupBy("k").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("labels")).where("labels > 1")
     mixed = stored(mixed.select("k", "n", F.col("most.label").alias("major"), (F.col("n") - F.col("most.n")).alias("minors")), "near-mixed")
-    open_rows = named.join(mixed, "k").join(classes.select("cid", "sig"), "cid")
+    rows = named.join(mixed, "k").join(classes.select("cid", "sig"), "cid").join(sets.select("cid", "members"), "cid")
     blocks = lambda n: F.ceil(F.col(n) / CELL).cast("int")
     own = lambda n: F.pmod(F.xxhash64("cid"), blocks(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    # Outsiders meet every block of the bucket; all members meet every block of outsiders.
-    outside = open_rows.where("label <> major").select("k", own("minors").alias("p"), every("n").alias("q"), "cid", "label", "sig", F.lit(True).alias("outside"))
-    inside = open_rows.select("k", every("minors").alias("p"), own("n").alias("q"), "cid", "label", "sig", F.lit(False).alias("outside"))
+    # Outsiders meet every block of the cluster; all members meet every block of outsiders.
+    outside = rows.where("label <> major").select("k", own("minors").alias("p"), every("n").alias("q"), "cid", "label", "sig", "members", F.lit(True).alias("outside"))
+    inside = rows.select("k", every("minors").alias("p"), own("n").alias("q"), "cid", "label", "sig", "members", F.lit(False).alias("outside"))
 
     def search(table: pa.Table) -> pa.Table:
         out = table.column("outside").to_numpy()
-        cids, labels = table.column("cid").to_numpy(), table.column("label").to_numpy()
+        cids, names = table.column("cid").to_numpy(), table.column("label").to_numpy()
         sigs = table.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, HASHES)
+        members = [np.frombuffer(m.as_buffer(), dtype=np.uint64) for m in table.column("members")]
+        sizes = np.array([len(m) for m in members])
         x, y = np.flatnonzero(out), np.flatnonzero(~out)
-        a, b = [], []
+        parent: dict[int, int] = {}
+
+        def find(name: int) -> int:
+            while (up := parent.get(name, name)) != name:
+                name = up
+            return name
+
+        links: list[tuple[int, int]] = []
         for i in x:
             same = sigs[y] == sigs[i]
-            banded = same[:, HASHES // 2 :].reshape(len(y), BANDS, ROWS).all(axis=2).any(axis=1)
-            good = y[(labels[y] != labels[i]) & banded & (same.mean(axis=1) >= floor)]
-            a.append(np.minimum(cids[good], cids[i]))
-            b.append(np.maximum(cids[good], cids[i]))
-        none = np.zeros(0, dtype=np.int64)
-        return pa.table({"a": pa.array(np.concatenate([none, *a])), "b": pa.array(np.concatenate([none, *b]))})
+            bands = same.reshape(len(y), 2 * BANDS, ROWS).all(axis=2)
+            alike = same.mean(axis=1)
+            good = bands[:, :BANDS].any(axis=1) & bands[:, BANDS:].any(axis=1) & (alike >= floor) & (names[y] != names[i])
+            good &= 100 * np.minimum(sizes[y], sizes[i]) >= percent * np.maximum(sizes[y], sizes[i])
+            at = np.flatnonzero(good)
+            for j in y[at[np.argsort(-alike[at], kind="stable")]]:
+                a, b = find(int(names[i])), find(int(names[j]))
+                if a != b and _similar(members[i], members[j], percent):
+                    parent[max(a, b)] = min(a, b)
+                    links.append((int(cids[i]), int(cids[j])))
+        return pa.table({"a": pa.array([min(l) for l in links], pa.int64()), "b": pa.array([max(l) for l in links], pa.int64())})  # noqa: E741
 
-    cells = outside.unionByName(inside).groupBy("k", "p", "q").applyInArrow(search, "a long, b long")
-    return cells.distinct()
+    return outside.unionByName(inside).groupBy("k", "p", "q").applyInArrow(search, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -232,17 +254,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     base = stored(_profiles(narrow, size), "near-profiles")
     known = base.where(F.col("cid").isNotNull() & F.col("doc_id").isNotNull())
     classes = stored(known.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "near-classes")
-    live, tensored = _tables(classes)
-    pairs, wanted = _pivot_pairs(tensored)
+    pairs, wanted = _pivot_pairs(_tables(classes))
     pairs = stored(pairs, "near-pairs")
     wanted = classes.select("cid", "rep").join(wanted, "cid", "left_semi")
     # Rows that repeat an id repeat its set: any one of them will do.
     sets = stored(_sets(narrow, wanted, size), "near-sets").dropDuplicates(["cid"])
     edges = stored(_confirmed(pairs, sets, percent), "near-links")
     labels = components(edges)
-    more = stored(_open_pairs(live, classes, labels, percent), "near-open")
-    late = _confirmed(more, sets, percent)
-    labels = components(edges.unionByName(stored(late, "near-links")))
+    late = stored(_open_links(classes, sets, components(pairs), labels, percent), "near-links")
+    labels = components(edges.unionByName(late))
     named = classes.select("cid", "rep").join(labels.withColumnRenamed("node", "cid"), "cid")
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     found = stored(named.join(smallest, "label").select("cid", "component_id"), "near-components")
