@@ -160,7 +160,7 @@ class Encoder:
     lengths. The memory of pieces is cleared at MAX_PIECES, between calls.
     """
 
-    MAX_PIECES = 1_000_000
+    MAX_PIECES = 250_000
 
     def __init__(self, vocab: Vocabulary, merge: Callable) -> None:
         self.vocab, self.merge = vocab, merge
@@ -241,7 +241,7 @@ def encoder(path: str, merge: Callable) -> Encoder:
     return Encoder(vocabulary(path), merge)
 
 
-def batches(texts: list, chars: int = 4_000_000):
+def batches(texts: list, chars: int = 1_000_000):
     """Ranges of a batch of texts holding about so many characters each."""
     start = size = 0
     for i, text in enumerate(texts):
