@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from usageledger.llm.vocabulary import NONE, Vocabulary, batches, encoder, vocabulary
+from usageledger.llm.vocabulary import NONE, Encoder, Vocabulary, batches, vocabulary
 
 
 def merge_by_index(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +86,7 @@ def encode_decode(docs: DataFrame, vocab_path: str, doc_id: str = "doc_id", text
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(vocab_path)
-        coder = encoder(vocab_path, merge_by_index)
+        coder = Encoder(vocab, merge_by_index)
         for part in parts:
             texts = [t or "" for t in part.column(1).to_pylist()]
             for a, b in batches(texts):
@@ -105,7 +105,7 @@ def digests(docs: DataFrame, vocab_path: str, doc_id: str = "doc_id", text: str
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(vocab_path)
-        coder = encoder(vocab_path, merge_by_index)
+        coder = Encoder(vocab, merge_by_index)
         decimal = [str(i) for i in range(len(vocab.token_bytes))]
         for part in parts:
             texts = [t or "" for t in part.column(1).to_pylist()]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usageledger.llm.vocabulary import NONE, Vocabulary, batches, encoder
+from usageledger.llm.vocabulary import NONE, Encoder, Vocabulary, batches, vocabulary
 
 
 def merge_by_rounds(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -66,7 +66,7 @@ def count_tokens(docs: DataFrame, vocab_path: str, limit: int = 512, doc_id: str
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(vocab_path, merge_by_rounds)
+        coder = Encoder(vocabulary(vocab_path), merge_by_rounds)
         for part in parts:
             texts = [t or "" for t in part.column(1).to_pylist()]
             counts: list[int] = []

@@ -160,7 +160,7 @@ class Encoder:
     lengths. The memory of pieces is cleared at MAX_PIECES, between calls.
     """
 
-    MAX_PIECES = 250_000
+    MAX_PIECES = 500_000
 
     def __init__(self, vocab: Vocabulary, merge: Callable) -> None:
         self.vocab, self.merge = vocab, merge
@@ -235,12 +235,6 @@ class Encoder:
         return [self.ids[ragged(self.starts[p], self.lengths[p])] for p in self.pieces(texts)]
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str, merge: Callable) -> Encoder:
-    """One encoder per Python worker: pieces met by one task are known to the next."""
-    return Encoder(vocabulary(path), merge)
-
-
 def batches(texts: list, chars: int = 1_000_000):
     """Ranges of a batch of texts holding about so many characters each."""
     start = size = 0
