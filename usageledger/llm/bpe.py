@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from usageledger.llm.common import small_batches
 from usageledger.llm.vocabulary import NONE, Encoder, Vocabulary, batches, vocabulary
 
 
@@ -82,6 +83,7 @@ def merge_by_index(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, n
 
 def encode_decode(docs: DataFrame, vocab_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids, decoded): the ids of every text and the text decoded from them."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,6 +103,7 @@ def encode_decode(docs: DataFrame, vocab_path: str, doc_id: str = "doc_id", text
 
 def digests(docs: DataFrame, vocab_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256), digested where the ids are made."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from usageledger.session import scratch_path
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS = 1_000
 # The white space that separates words and is stripped from lines.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -15,6 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python by the thousand at most.
+
+    The default of 10,000 rows a batch is meant for narrow rows; so many long texts are held
+    several times over by the executor and its worker.
+    """
+    rows = int(spark.conf.get(BATCH_ROWS, "10000"))
+    if rows <= 0 or rows > TEXTS:
+        spark.conf.set(BATCH_ROWS, str(TEXTS))
+
+
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back: computed once, lineage cut."""
     path = scratch_path(frame.sparkSession, label)

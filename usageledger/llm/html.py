@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from usageledger.llm.common import small_batches
+
 # Lines on either side that a window takes in.
 REACH = 2
 # Candidates below this share of the heaviest one are noise.
@@ -163,6 +165,7 @@ def main_text(page: str) -> str:
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
+    small_batches(pages.sparkSession)
     narrow = pages.select(pages[page_id].alias("page_id"), pages[url].alias("url"), pages[page].alias("html"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usageledger.llm.common import BLANKS, stored
+from usageledger.llm.common import BLANKS, small_batches, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -126,6 +126,7 @@ def _bitmaps(dropped: DataFrame) -> DataFrame:
 
 def keep_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """(doc_id, body, keep) of the documents that lose lines; body is a hash of the text."""
+    small_batches(docs.sparkSession)
     whole = F.coalesce(docs[text], F.lit(""))
     narrow = docs.where(docs[doc_id].isNotNull()).select(docs[doc_id].cast("long").alias("doc_id"), F.xxhash64(whole).alias("body"), whole.alias("text"))
     order = ["h1", "h2", F.desc("doc_id"), "body", "pos"]

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usageledger.llm.common import stored
+from usageledger.llm.common import small_batches, stored
 
 SHINGLE = 5
 BANDS = 12
@@ -250,6 +250,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     Documents are linked if 100 x intersection >= percent x union of their sets; component_id
     is the smallest id of the component. cid tells the classes of equal sets apart.
     """
+    small_batches(docs.sparkSession)
     narrow = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
     base = stored(_profiles(narrow, size), "near-profiles")
     known = base.where(F.col("cid").isNotNull() & F.col("doc_id").isNotNull())

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from usageledger.llm.common import small_batches
 from usageledger.llm.vocabulary import NONE, Encoder, Vocabulary, batches, vocabulary
 
 
@@ -63,6 +64,7 @@ def merge_by_rounds(vocab: Vocabulary, words: list[bytes]) -> tuple[np.ndarray,
 
 def count_tokens(docs: DataFrame, vocab_path: str, limit: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every whole text."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

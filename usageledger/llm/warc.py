@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usageledger.llm.common import stored
+from usageledger.llm.common import small_batches, stored
 from usageledger.session import scratch_path
 
 MIN_REVISIT = 1_000
@@ -251,6 +251,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """Write all pages as archives in the shared folder and read the records back."""
     spark = pages.sparkSession
+    small_batches(spark)
     folder = scratch_path(spark, "warc-archives")
     if write_archives(with_roles(pages, page_id, url, page), folder).isEmpty():
         return spark.createDataFrame([], RECORD)
