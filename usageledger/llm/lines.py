@@ -138,7 +138,8 @@ def keep_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     # At most two keys per partition of `rows`: small whatever the input.
     late = seen.where(F.col("kind") == OPEN).join(F.broadcast(common), ["h1", "h2"]).where(F.col("doc_id") < F.col("stays"))
     columns = ["doc_id", "body", "pos"]
-    return _bitmaps(seen.where(F.col("kind") == DROP).select(*columns).unionByName(late.select(*columns)))
+    # Stored, so that no task runs the workers of this step and of the next side by side.
+    return stored(_bitmaps(seen.where(F.col("kind") == DROP).select(*columns).unionByName(late.select(*columns))), "line-bitmaps")
 
 
 def kept_lines(text: str, keep: bytes | None) -> list[str]:

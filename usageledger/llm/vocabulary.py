@@ -160,7 +160,7 @@ class Encoder:
     lengths. The memory of pieces is cleared at MAX_PIECES, between calls.
     """
 
-    MAX_PIECES = 500_000
+    MAX_PIECES = 300_000
 
     def __init__(self, vocab: Vocabulary, merge: Callable) -> None:
         self.vocab, self.merge = vocab, merge
