@@ -26,6 +26,8 @@ def test_money(spark):
     assert one(spark, c.cents_to_units("t"), t="14900") == Decimal("149.000000")
     assert one(spark, c.cents_to_units("t"), t="14900.5") == Decimal("149.005000")
     assert one(spark, c.cents_to_units("t"), t="n/a") is None
+    for huge in ("9999999999999", "99999999999999999999"):
+        one(spark, c.annualised(c.cents_to_units("t")), t=huge)  # NULL or a number, never the end of the job
     assert one(spark, c.annualised(c.cents_to_units("t")), t="4999") == Decimal("599.880000")
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
 from usageledger.operators.evolve import append_evolving, schema_drift
+from usageledger.operators import merge
 from usageledger.operators.merge import merge_upsert, newer_rows, publish_merge, stage_merge
 from usageledger.operators.retention import expire_path, expired_days, unexpired
 from usageledger.sinks.files import drop_partitions, dry_run, rebuild, write_partitioned
@@ -66,6 +67,23 @@ def test_partitioned_merge_with_unknown_month(spark, tmp_path):
     assert {(r.k, r.v, r.month) for r in read(spark, path).collect()} == {("a", 5, FEB), ("b", 2, FEB)}
 
 
+def test_a_merge_that_died_is_repaired_by_the_next_run(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "facts")
+    write_partitioned(rows(spark, ("a", 1, JAN, 1), ("b", 2, FEB, 1)), path, "month")
+    moved = rows(spark, ("a", 5, FEB, 2))
+
+    def die(*_, **__):
+        raise RuntimeError("the driver is gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(merge, "write_partitioned", die)
+        with pytest.raises(RuntimeError):
+            publish_merge(spark, stage_merge(spark, path, moved, "k", "month"), path, "month")
+    # the mark has not moved, so the same update comes again
+    publish_merge(spark, stage_merge(spark, path, moved, "k", "month"), path, "month")
+    assert sorted((r.k, r.v, r.month) for r in read(spark, path).collect()) == [("a", 5, FEB), ("b", 2, FEB)]
+
+
 def test_merge_rejects_two_updates_of_one_key(spark, tmp_path):
     path = str(tmp_path / "facts")
     write_partitioned(rows(spark, ("a", 1, JAN, 1)), path, "month")

@@ -157,11 +157,34 @@ def test_recomputed_days_are_whole_and_notice_moved_events(spark):
     assert as_dict(usage.recompute_days(raw, day)) == expected
 
 
-def test_many_affected_days_are_joined(spark, monkeypatch):
+def test_building_the_recomputation_runs_no_job(spark):
     raw = random_events(spark)
-    listed = as_dict(usage.recompute_days(raw, "2024-01-12"))
-    monkeypatch.setattr(usage, "LISTED_DAYS", 1)
-    assert as_dict(usage.recompute_days(raw, "2024-01-12")) == listed
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "no job expected")
+    try:
+        usage.recompute_days(raw, "2024-01-12")
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_day_that_its_events_have_left_is_dropped(spark, tmp_path):
+    raw_path, target = str(tmp_path / "raw"), str(tmp_path / "daily")
+    events(spark, event(1, day=2, load=2)).write.parquet(raw_path)
+    usage.run_usage_daily(spark, raw_path, target, "2024-01-02")
+    events(spark, event(1, day=1, load=3)).write.mode("append").parquet(raw_path)
+    usage.run_usage_daily(spark, raw_path, target, "2024-01-03")
+    table = [(r.event_date, r.event_count) for r in spark.read.parquet(target).collect()]
+    assert table == [(date(2024, 1, 1), 1)]
+
+
+def test_recent_days_drop_what_is_empty_now(spark, tmp_path):
+    raw_path, target = str(tmp_path / "raw"), str(tmp_path / "daily")
+    events(spark, event(1, day=2, load=2), event(2, day=1, load=2)).write.parquet(raw_path)
+    usage.run_recent_days(spark, raw_path, target, "2024-01-03")
+    events(spark, event(1, day=1, load=3)).write.mode("append").parquet(raw_path)
+    usage.run_recent_days(spark, raw_path, target, "2024-01-03")
+    assert {r.event_date for r in spark.read.parquet(target).collect()} == {date(2024, 1, 1)}
 
 
 def test_final_timestamps_give_the_same_result_when_they_are_final(spark):

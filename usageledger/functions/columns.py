@@ -43,13 +43,14 @@ def blank_to_null(value: Column | str) -> Column:
 
 
 def cents_to_units(value: Column | str) -> Column:
-    """Unparsable cents become NULL. The narrow decimal keeps later products exact."""
+    """Unparsable or oversized cents become NULL. The narrow decimal keeps later products exact."""
     cents = _col(value).try_cast("decimal(18,4)")
-    return (cents / F.lit(100)).cast(MONEY)
+    return (cents / F.lit(100)).try_cast(MONEY)
 
 
 def annualised(monthly: Column | str) -> Column:
-    return (_col(monthly) * F.lit(fv.MONTHS_PER_YEAR)).cast(MONEY)
+    """Twelve months; an amount too large for its type becomes NULL instead of ending the job."""
+    return (_col(monthly) * F.lit(fv.MONTHS_PER_YEAR)).try_cast(MONEY)
 
 
 def seconds_to_timestamp(value: Column | str, zero_means_unset: bool = True) -> Column:

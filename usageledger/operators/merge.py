@@ -91,11 +91,12 @@ def publish_merge(
     """Replace the touched partitions by their staged contents; safe to repeat.
 
     The table is never overwritten from a plan that reads it, so a run that dies here
-    is finished by calling this again.
+    is finished by calling this again, or by the next run: partitions that end up empty
+    go first, and all their rows are updated keys, so until the write the high-water
+    mark stays where it was and the same updates are merged once more.
     """
     result = spark.read.parquet(staged.result)
     filled = {r[0] for r in result.select(partition).distinct().collect()}
-    rows = write_partitioned(result, path, partition, cluster) if filled else 0
     # Dynamic overwrite leaves a partition alone that gets no rows any more.
     drop_partitions(spark, path, partition, set(staged.touched) - filled)
-    return rows
+    return write_partitioned(result, path, partition, cluster) if filled else 0

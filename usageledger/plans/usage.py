@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +12,9 @@ from usageledger import fixed_values as fv
 from usageledger.functions.columns import millis_to_date, tidy
 from usageledger.operators.dedup import keep_latest
 from usageledger.schemas import EVENT_METADATA
-from usageledger.session import pin_utc
+from usageledger.session import pin_utc, scratch_path
 from usageledger.sinks.files import dry_run as preview_write
-from usageledger.sinks.files import write_partitioned
+from usageledger.sinks.files import drop_folder, drop_partitions, exists, write_partitioned
 from usageledger.sources.tables import day_range, loaded_between, parse_day, read_events
 
 GRAIN = ["event_date", "account_id", "event_type", "feature_name"]
@@ -113,16 +113,12 @@ def usage_backfill(
     return metrics.withColumns(batch_bounds(F.col("_batch"), start, end, batch_days)).drop("_batch")
 
 
-# More affected days than this are joined instead of listed.
-LISTED_DAYS = 4000
-
-
-def _on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
-    """Rows whose `event_date` is among the days: as a filter if they are few, else a join."""
-    listed = [r[0] for r in days.limit(LISTED_DAYS + 1).collect()]
-    if len(listed) > LISTED_DAYS:
-        return rows.join(days, "event_date", "left_semi")
-    return rows.where(F.col("event_date").isin(listed))
+def affected_days(events: DataFrame, load_day: str | date) -> DataFrame:
+    """The event days of every event loaded on `load_day`, days that it has left included."""
+    arrived = loaded_between(events, load_day, load_day).select("event_id").distinct()
+    # One row per event and day first: copies of one event must not meet in one task.
+    days_of = _needed(events).select("event_id", millis_to_date("event_timestamp").alias("event_date"))
+    return days_of.distinct().join(arrived, "event_id", "left_semi").select("event_date").distinct()
 
 
 def recompute_days(
@@ -137,20 +133,32 @@ def recompute_days(
     shuffle instead of after it.
     """
     narrow = _needed(events)
-    arrived = loaded_between(events, load_day, load_day).select("event_id").distinct()
-    # One row per event and day first: copies of one event must not meet in one task.
-    days_of = narrow.select("event_id", millis_to_date("event_timestamp").alias("event_date"))
-    affected = (
-        days_of.distinct().join(arrived, "event_id", "left_semi").select("event_date").distinct()
-    )
+    affected = affected_days(events, load_day)
     if timestamps_final:
         dated = narrow.withColumn("event_date", millis_to_date("event_timestamp"))
-        cleaned = clean_events(latest_events(_on_days(dated, affected)))
+        cleaned = clean_events(latest_events(dated.join(affected, "event_date", "left_semi")))
     else:
-        cleaned = _on_days(clean_events(latest_events(narrow)), affected)
+        cleaned = clean_events(latest_events(narrow)).join(affected, "event_date", "left_semi")
     return _stamped(daily_metrics(cleaned), fv.BATCH_SOURCE)
 
 
+def _replace_days(spark: SparkSession, metrics: DataFrame, path: str, touched: DataFrame) -> int:
+    """Write the metrics and drop touched days that have no events any more.
+
+    The metrics are staged first, so a run that dies is finished by running it again.
+    One row per calendar day reaches the driver.
+    """
+    staged = scratch_path(spark, "usage-days")
+    metrics.write.parquet(staged)
+    result = spark.read.schema(metrics.schema).parquet(staged)
+    filled = {r[0] for r in result.select("event_date").distinct().collect()}
+    emptied = {r[0] for r in touched.collect()} - filled
+    rows = write_partitioned(result, path, "event_date", CLUSTER) if filled else 0
+    drop_partitions(spark, path, "event_date", emptied)
+    drop_folder(spark, staged)
+    return rows
+
+
 def event_type_mix(events: DataFrame) -> DataFrame:
     """Events and distinct accounts per type."""
     cleaned = clean_events(latest_events(_needed(events)))
@@ -189,13 +197,15 @@ def run_usage_daily(
 ) -> int:
     """The daily job: yesterday by default, one write, rows counted while writing.
 
-    Only event days that get rows are replaced. `recompute=False` writes the metrics of
-    the load day alone, which forgets earlier loads of the same event days.
+    The event days that the load touches are replaced, and a day that all its events
+    have left is dropped. `recompute=False` writes the metrics of the load day alone,
+    which forgets earlier loads of the same event days. Days are UTC, the default too.
     """
-    day = parse_day(processing_date) if processing_date else date.today() - timedelta(days=1)
+    day = parse_day(processing_date) if processing_date else datetime.now(timezone.utc).date() - timedelta(days=1)
     events = _raw_events(spark, raw_path, loaded_since)
-    metrics = recompute_days(events, day, timestamps_final) if recompute else usage_daily(events, day)
-    return write_partitioned(metrics, target_path, "event_date", CLUSTER)
+    if not recompute:
+        return write_partitioned(usage_daily(events, day), target_path, "event_date", CLUSTER)
+    return _replace_days(spark, recompute_days(events, day, timestamps_final), target_path, affected_days(events, day))
 
 
 def run_usage_backfill(
@@ -231,6 +241,10 @@ def run_recent_days(
     days: int = fv.LOOKBACK_DAYS,
     loaded_since: str | date | None = None,
 ) -> int:
-    """Compute the recent event days again and replace them."""
+    """Compute the recent event days again and replace them; days left empty are dropped."""
     metrics = recent_days(_raw_events(spark, raw_path, loaded_since), as_of, days)
-    return write_partitioned(metrics, target_path, "event_date", CLUSTER)
+    oldest = parse_day(as_of) - timedelta(days=days)
+    there = spark.createDataFrame([], "event_date date")
+    if exists(spark, target_path):
+        there = spark.read.parquet(target_path).select(F.col("event_date").cast("date").alias("event_date"))
+    return _replace_days(spark, metrics, target_path, there.where(F.col("event_date") >= F.lit(oldest)).distinct())

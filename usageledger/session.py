@@ -21,6 +21,11 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # State of streaming deduplication outgrows executor heaps.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         # Recording the Python call site of every column costs more than planning it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

@@ -68,6 +68,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that is no longer read."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
 def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable[Any]) -> None:
     """Delete partition directories."""
     for value in values:

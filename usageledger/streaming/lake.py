@@ -92,7 +92,13 @@ def events_to_raw(
     return _start(decoded, land, checkpoint, seconds)
 
 
-def drop_redelivered(decoded: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop copies of an event that arrive within `delay` of each other's event time."""
+def drop_redelivered(decoded: DataFrame) -> DataFrame:
+    """Drop every further copy of an event, however late either of them is.
+
+    A watermark on the event time would drop late events together with late copies, so
+    there is none: the state holds each event id once, for as long as the query lives.
+    Sessions from `build_session` keep it in RocksDB. Where that is too much, land all
+    copies and deduplicate in batch with `keep_latest`.
+    """
     timed = decoded.withColumn("event_time", F.timestamp_millis("event_timestamp"))
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return timed.dropDuplicates(["event_id"])
