@@ -157,7 +157,8 @@ def with_bitmaps(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     maps = keep_bitmaps(docs, doc_id, text, min_docs).select(F.col("doc_id").alias("map_id"), F.col("body").alias("map_body"), "keep")
     whole = F.coalesce(docs[text], F.lit(""))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), whole.alias("body_text"), docs[doc_id].cast("long").alias("own_id"), F.xxhash64(whole).alias("own_body"))
-    joined = rows.join(maps, (F.col("own_id") == F.col("map_id")) & (F.col("own_body") == F.col("map_body")), "left")
+    # Bitmaps grow with the corpus: one merge join at every size, never a broadcast.
+    joined = rows.join(maps.hint("merge"), (F.col("own_id") == F.col("map_id")) & (F.col("own_body") == F.col("map_body")), "left")
     return joined.select("row", "body_text", "keep")
 
 

@@ -168,7 +168,8 @@ def learn(labelled: DataFrame) -> list[Rule]:
     facts = facts.persist()
     try:
         share = [(i + 0.5) / CUTS for i in range(CUTS)]
-        parts = facts.groupBy("bad").agg(*[F.percentile_approx(n, share, 10_000).alias(n) for n in names]).collect()
+        # Exact, so that every run learns the same rules; the sample is bounded.
+        parts = facts.groupBy("bad").agg(*[F.percentile(n, share).alias(n) for n in names]).collect()
         cuts = {n: sorted({x for part in parts for x in (part[n] or [])}) for n in names}
 
         def counts(rows: DataFrame) -> dict[tuple[str, int], tuple[int, int]]:
