@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_point
+from usageledger.workload.queries import REGISTRY
 from compare import plan_text
 
 TABLES = "/root/testdata/sf0.001"
@@ -16,15 +16,15 @@ def columns_read(plan, table):
     return {column.split("#")[0] for column in listed.split(",")}
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_python_rows_and_no_cross_join(spark, name):
-    plan = plan_text(entry_point.queries()[name](spark, TABLES))
+    plan = plan_text(REGISTRY[name](spark, TABLES))
     for word in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition, REPARTITION"):
         assert word not in plan
 
 
 def test_scans_read_only_what_is_used(spark):
-    queries = entry_point.queries()
+    queries = REGISTRY
     assert columns_read(plan_text(queries["usage_daily"](spark, TABLES)), "events") == {"event_id", "ts", "user_id", "event_type"}
     assert columns_read(plan_text(queries["dq_range"](spark, TABLES)), "orders") == {"o_orderkey", "o_totalprice"}
     assert columns_read(plan_text(queries["dq_relationships"](spark, TABLES)), "lineitem") == {"l_orderkey"}
@@ -32,7 +32,7 @@ def test_scans_read_only_what_is_used(spark):
 
 def test_daily_metrics_need_three_shuffles(spark):
     # dedup by event, distinct users and sessions, then the grain
-    plan = plan_text(entry_point.queries()["usage_daily"](spark, TABLES))
+    plan = plan_text(REGISTRY["usage_daily"](spark, TABLES))
     assert plan.count("Exchange hashpartitioning") == 3
 
 
@@ -40,7 +40,7 @@ def test_fact_joins_broadcast_only_the_hot_key_list(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = plan_text(entry_point.queries()["fct_subscriptions"](spark, TABLES))
+        plan = plan_text(REGISTRY["fct_subscriptions"](spark, TABLES))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     # facts and dimension are each marked by the hot-key list and then sort-merge joined
