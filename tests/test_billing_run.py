@@ -7,9 +7,12 @@ from pyspark.testing import assertDataFrameEqual
 from test_billing import accounts, raw_book, raw_subscription
 from usageledger.operators.checks import ChecksFailed
 from usageledger.operators.history import apply_snapshot, open_history
-from usageledger.plans.billing_run import run_billing, run_snapshot
+from usageledger.plans import billing, billing_run
+from usageledger.plans.billing_run import run_billing, run_facts, run_snapshot
 from usageledger.schemas import RAW_SUBSCRIPTIONS
 
+FACTS = ["subscription_id", "account_sk", "subscription_status"]
+
 
 def land(frame, base, table, mode="append"):
     frame.write.mode(mode).parquet(f"{base}/raw/{table}")
@@ -70,3 +73,56 @@ def test_snapshots_version_the_history(spark, tmp_path):
         run_snapshot(spark, accounts(spark).union(accounts(spark)), path, datetime(2024, 10, 7))
     with pytest.raises(ValueError, match="after"):
         run_snapshot(spark, accounts(spark), path, datetime(2024, 9, 9))
+
+
+def test_a_changed_account_moves_its_facts(spark, tmp_path):
+    base = str(tmp_path)
+    land(accounts(spark), base, "raw_accounts")
+    land(raw_book(spark), base, "raw_subscriptions")
+    run_billing(spark, base, datetime(2024, 11, 1, 4))
+    land(accounts(spark, datetime(2024, 11, 1, 12)), base, "raw_accounts", "overwrite")
+    update = [raw_subscription(99, 2, "starter", "active", datetime(2024, 11, 2))]
+    land(spark.createDataFrame(update, RAW_SUBSCRIPTIONS), base, "raw_subscriptions")
+    tables = run_billing(spark, base, datetime(2024, 11, 2, 4))
+    current = {r.account_id: r.dbt_scd_id for r in tables["snap_accounts"].where("dbt_valid_to is null").collect()}
+    facts = tables["fct_subscriptions"].collect()
+    assert len(facts) == 25 and all(r.account_sk == current.get(r.account_id) for r in facts)
+
+
+def test_a_failing_gate_leaves_the_facts_alone(spark, tmp_path):
+    path, history = str(tmp_path / "facts"), open_history(accounts(spark), "account_id")
+    staged = billing.stg_subscriptions(raw_book(spark))
+    before = sorted(run_facts(spark, staged, history, path).collect())
+    extra = spark.createDataFrame([raw_subscription(99, 2, "starter", "active", datetime(2024, 12, 2))], RAW_SUBSCRIPTIONS)
+    grown = billing.stg_subscriptions(raw_book(spark).union(extra))
+    seen = []
+
+    def refuse(facts):
+        seen.append(facts.count())
+        raise ChecksFailed("no")
+
+    with pytest.raises(ChecksFailed):
+        run_facts(spark, grown, history, path, gate=refuse)
+    assert seen == [25] and sorted(spark.read.parquet(path).select(*FACTS).collect()) == sorted(
+        tuple(r[c] for c in FACTS) for r in before
+    )
+
+
+@pytest.mark.parametrize("stop_at", ["closed", "current"])
+def test_an_unfinished_snapshot_leaves_no_versions(spark, tmp_path, monkeypatch, stop_at):
+    path = str(tmp_path / "snap")
+    run_snapshot(spark, accounts(spark), path, datetime(2024, 9, 2))
+    later, whole = accounts(spark, datetime(2024, 10, 1)), billing_run.rebuild
+
+    def die(rows, target, *more):
+        if f"/{stop_at}/" in target:
+            raise RuntimeError("the driver is gone")
+        whole(rows, target, *more)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(billing_run, "rebuild", die)
+        with pytest.raises(RuntimeError):
+            run_snapshot(spark, later, path, datetime(2024, 10, 2))
+    assert billing_run.read_history(spark, path).count() == 20
+    history = run_snapshot(spark, later, path, datetime(2024, 10, 3))
+    assert history.count() == history.select("dbt_scd_id").distinct().count() == 40

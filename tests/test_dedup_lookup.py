@@ -69,7 +69,7 @@ def test_lookup_equals_plain_left_join(spark):
     plain = rows.join(dim, "k", "left")
     assertDataFrameEqual(lookup(rows, dim, "k", ["n"]), plain)
     hot = hot_keys(rows, "k", floor=100, parts=10)
-    assertDataFrameEqual(lookup(rows, dim, "k", ["n"], hot, slices=16), plain)
+    assertDataFrameEqual(lookup(rows, dim, "k", ["n"], hot), plain)
 
 
 def test_lookup_without_broadcast_spreads_the_hot_key(spark):
@@ -88,7 +88,7 @@ def test_lookup_without_broadcast_spreads_the_hot_key(spark):
 
         hot = hot_keys(rows, "k", floor=100, parts=10)
         plain = largest(lookup(rows, dim, "k", ["n"]))
-        split = largest(lookup(rows, dim, "k", ["n"], hot, slices=64))
+        split = largest(lookup(rows, dim, "k", ["n"], hot))
         assert plain >= 3000
         assert split < 1200
     finally:

@@ -113,3 +113,13 @@ def test_log_of_one_hot_key_links_across_buckets(spark):
     assert current_versions(history).count() == 1
     gaps = history.where(F.col("dbt_valid_to") != F.col("dbt_valid_from") + F.expr("interval 7 minutes"))
     assert history.count() == 5000 and gaps.isEmpty()
+
+
+def test_one_busy_hour_of_a_hot_key_is_cut(spark):
+    log = spark.range(7200).select(
+        F.lit("hot").alias("account_id"), F.lit("t").alias("tier"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 500_000).alias("updated_at"),
+    )
+    history = history_from_log(log, "account_id", hot=hot_keys(log, "account_id", floor=1000))
+    assert history.count() == 7200 and current_versions(history).count() == 1
+    assert history.where(F.unix_micros("dbt_valid_to") - F.unix_micros("dbt_valid_from") != 500_000).isEmpty()

@@ -119,3 +119,16 @@ def test_database_reader_reaches_the_driver_lookup(spark):
     # no database here: Spark accepts the options and then finds no driver for the URL
     with pytest.raises(Exception, match="No suitable driver"):
         read_database(spark, "jdbc:nowhere://db", "app.users", "user_id", 0, 10, 4)
+
+
+def test_types_that_drift_between_extracts_stay_readable(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    for n, (amount, note) in enumerate([(None, 1), (14900, 2.5), ("n/a", 3)]):
+        (tmp_path / str(n)).mkdir()
+        record = {**PAYLOAD, "id": f"sub_{n}", "amount": amount, "note": note}
+        (tmp_path / str(n) / "page.json").write_text(json.dumps(record) + "\n")
+        assert ingest.ingest_subscriptions(spark, str(tmp_path / str(n)), raw, "2024-11-01") == 1
+    rows = {r.id: r for r in spark.read.option("mergeSchema", True).parquet(raw).collect()}
+    assert [rows[f"sub_{n}"].amount for n in range(3)] == [None, "14900", "n/a"]
+    assert [rows[f"sub_{n}"].note for n in range(3)] == [1, None, 3]
+    assert json.loads(rows["sub_1"]._unfit) == {"note": "2.5"} and rows["sub_2"]._unfit is None

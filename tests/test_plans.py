@@ -45,4 +45,4 @@ def test_fact_joins_broadcast_only_the_hot_key_list(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     # facts and dimension are each marked by the hot-key list and then sort-merge joined
     assert plan.count("BroadcastHashJoin") == 2
-    assert re.search(r"SortMergeJoin \[account_id#\d+, _slice#\d+\]", plan)
+    assert re.search(r"SortMergeJoin \[account_id#\d+, _slice#\d+L\]", plan)

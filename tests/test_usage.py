@@ -211,15 +211,26 @@ def test_daily_job_keeps_other_days_and_repeats_cleanly(spark, tmp_path):
 def test_backfill_job(spark, tmp_path):
     raw_path, target = str(tmp_path / "raw"), str(tmp_path / "daily")
     random_events(spark).write.parquet(raw_path)
-    shown = usage.run_usage_backfill(spark, raw_path, target, "2024-01-01", "2024-01-31", 7, dry_run=True)
+    shown = usage.run_usage_backfill(spark, raw_path, target, "2024-01-01", "2024-01-31", 7, dry_run=True, recompute=False)
     assert not (tmp_path / "daily").exists() and len(shown["preview"]) == 5
     for _ in range(2):
-        done = usage.run_usage_backfill(spark, raw_path, target, "2024-01-01", "2024-01-31", 7)
+        done = usage.run_usage_backfill(spark, raw_path, target, "2024-01-01", "2024-01-31", 7, recompute=False)
         assert done["rows"] == shown["rows"] == spark.read.parquet(target).count()
     usage.run_usage_backfill(spark, raw_path, target, "2024-01-01", "2024-01-31", 7, append=True)
     assert spark.read.parquet(target).count() == 2 * done["rows"]
 
 
+def test_backfill_and_daily_job_share_a_table(spark, tmp_path):
+    raw_path, target = str(tmp_path / "raw"), str(tmp_path / "daily")
+    events(spark, *[event(n, day=1, load=1 + n % 3) for n in range(10)]).write.parquet(raw_path)
+    usage.run_usage_daily(spark, raw_path, target, "2024-01-01")
+    assert usage.run_usage_backfill(spark, raw_path, target, "2024-01-02", "2024-01-02")["rows"] == 1
+    row = spark.read.parquet(target).first()
+    assert (row.event_count, row._source) == (10, "spark_historical_backfill")
+    with pytest.raises(ValueError, match="own"):
+        usage.run_usage_backfill(spark, raw_path, target, "2024-01-02", "2024-01-02", recompute=False)
+
+
 def test_refresh_of_recent_days(spark, tmp_path):
     raw_path, target = str(tmp_path / "raw"), str(tmp_path / "daily")
     raw = random_events(spark)

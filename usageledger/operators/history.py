@@ -102,41 +102,47 @@ def history_from_log(
     key: str,
     updated_at: str = "updated_at",
     hot: DataFrame | None = None,
-    bucket: str = "hour",
 ) -> DataFrame:
     """Build the whole history from a change log at once.
 
     Equal to applying the log's states one after another when nothing is deleted. Each
     version ends where the next of its key begins. For a hot key (see
-    `lookup.hot_keys`, used unless a list is given) that successor is looked up inside a
-    time bucket of the key; only the last version of a bucket needs the start of the
-    key's next bucket, which comes from one row per bucket. So a key with very many
-    versions is spread over its buckets and never sorted in one task.
+    `lookup.hot_keys`, used unless a list is given) that successor is looked up inside
+    one second of the key; the last version of a second ends where the key's next busy
+    second of that hour begins, and the last of an hour where its next busy hour begins.
+    Times are unique per key by then and have microseconds, so no window holds more than
+    a million versions, 3,600 seconds, or the hours of the key's life.
     """
     if hot is None:
         hot = hot_keys(log.select(key), key)
     marks = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
     bucketed = (
         log.join(marks, key, "left")
-        .withColumn("_bucket", F.when(F.col("_hot"), F.date_trunc(bucket, updated_at)))
+        .withColumn("_second", F.when(F.col("_hot"), F.date_trunc("second", updated_at)))
         .drop("_hot")
     )
-    states = keep_latest(bucketed, [key, "_bucket", updated_at], [])
-    inside = Window.partitionBy(key, "_bucket").orderBy(updated_at)
+    states = keep_latest(bucketed, [key, "_second", updated_at], [])
+    inside = Window.partitionBy(key, "_second").orderBy(updated_at)
     linked = states.withColumn("_next", F.lead(updated_at).over(inside))
-    firsts = (
-        bucketed.where(F.col("_bucket").isNotNull())
-        .groupBy(key, "_bucket")
+
+    hour = F.date_trunc("hour", "_second").alias("_hour")
+    seconds = (
+        bucketed.where(F.col("_second").isNotNull())
+        .groupBy(key, hour, "_second")
         .agg(F.min(updated_at).alias("_first"))
     )
-    along = Window.partitionBy(key).orderBy("_bucket")
-    following = firsts.select(
-        key, "_bucket", F.lead("_first").over(along).alias("_following")
+    hours = seconds.groupBy(key, "_hour").agg(F.min("_first").alias("_first"))
+    next_hour = F.lead("_first").over(Window.partitionBy(key).orderBy("_hour")).alias("_next_hour")
+    next_second = F.lead("_first").over(Window.partitionBy(key, "_hour").orderBy("_second")).alias("_next_second")
+    following = (
+        seconds.select(key, "_hour", "_second", next_second)
+        .join(hours.select(key, "_hour", next_hour), [key, "_hour"])
+        .select(key, "_second", F.coalesce("_next_second", "_next_hour").alias("_following"))
     )
     period = _opened(key, updated_at)
     period["dbt_valid_to"] = F.coalesce("_next", "_following")
     return (
-        linked.join(following, [key, "_bucket"], "left")
+        linked.join(following, [key, "_second"], "left")
         .withColumns(period)
-        .drop("_bucket", "_next", "_following")
+        .drop("_second", "_next", "_following")
     )

@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 HOT_PARTS = 1000
 # Groups below this many rows never hurt a task, whatever their share.
 HOT_FLOOR = 200_000
-# Pieces a hot key is cut into.
-SLICES = 256
 
 
 def hot_keys(rows: DataFrame, key: str, floor: int = HOT_FLOOR, parts: int = HOT_PARTS) -> DataFrame:
-    """Keys holding more than 1/parts of the rows and more than `floor` rows."""
+    """Keys holding more than 1/parts of the rows and more than `floor` rows.
+
+    `_pieces` says into how many pieces of about `floor` rows each has to be cut.
+    """
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))
     return counts.where(
         (F.col("_n") > floor) & (F.col("_n") * parts > total.scalar())
-    ).select(key)
+    ).select(key, F.ceil(F.col("_n") / max(floor, 1)).cast("int").alias("_pieces"))
 
 
 def lookup(
@@ -31,39 +32,39 @@ def lookup(
     key: str,
     spread_by: Sequence[str],
     hot: DataFrame | None = None,
-    slices: int = SLICES,
 ) -> DataFrame:
     """Left join `rows` to a dimension with one row per key.
 
-    Rows of a hot key are dealt over `slices` pieces by a hash of `spread_by`, and the
-    one dimension row of that key is repeated once per piece. Rows without a key match
-    nothing, so they are dealt out the same way instead of meeting in one task. The
-    hash depends on the row alone: a recomputed task deals the same way.
+    `hot` comes from `hot_keys`, which bounds its rows. Rows of a hot key are dealt over
+    its pieces by a hash of `spread_by`, and the one dimension row of that key is
+    repeated once per piece. Rows without a key match nothing, so the whole hash deals
+    them out instead of their meeting in one task. The hash depends on the row alone: a
+    recomputed task deals the same way.
 
     No size is guessed for the dimension; Spark broadcasts it only when its statistics
     or its measured shuffle size are below the session's threshold.
     """
-    piece = F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int")
+    dealt_by = F.xxhash64(*spread_by)
     if hot is None:
-        dealt = rows.withColumn(
-            "_slice", F.when(F.col(key).isNull(), piece).otherwise(F.lit(0))
-        )
-        copies = dimension.withColumn("_slice", F.lit(0))
+        dealt = rows.withColumn("_slice", F.when(F.col(key).isNull(), dealt_by).otherwise(F.lit(0)))
+        copies = dimension.withColumn("_slice", F.lit(0).cast("bigint"))
     else:
-        marks = F.broadcast(hot.select(key).withColumn("_hot", F.lit(True)))
+        marks = F.broadcast(hot.select(key, "_pieces"))
         dealt = (
             rows.join(marks, key, "left")
             .withColumn(
                 "_slice",
-                F.when(F.col(key).isNull() | F.col("_hot"), piece).otherwise(F.lit(0)),
+                F.when(F.col(key).isNull(), dealt_by)
+                .when(F.col("_pieces").isNotNull(), F.pmod(dealt_by, F.col("_pieces")))
+                .otherwise(F.lit(0)),
             )
-            .drop("_hot")
+            .drop("_pieces")
         )
-        all_pieces = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(slices - 1)))
+        last_piece = F.coalesce(F.col("_pieces") - 1, F.lit(0)).cast("bigint")
         copies = (
             dimension.join(marks, key, "left")
-            .withColumn("_slice", F.explode(F.coalesce(all_pieces, F.array(F.lit(0)))))
-            .drop("_hot")
+            .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)))
+            .drop("_pieces")
         )
     return dealt.join(copies, [key, "_slice"], "left").drop("_slice")
 

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from usageledger.operators.dedup import duplicated
 from usageledger.operators.evolve import append_evolving
 from usageledger.session import scratch_path
-from usageledger.sinks.files import drop_partitions, write_partitioned
+from usageledger.sinks.files import drop_folder, drop_partitions, write_partitioned
 
 
 def newer_rows(
@@ -82,9 +82,21 @@ def stage_merge(
 
     result = scratch_path(spark, "merge-result")
     merge_upsert(target.where(in_touched), fresh, key).write.parquet(result)
+    drop_folder(spark, updates_path)
     return StagedMerge(result, tuple(touched))
 
 
+def merged_view(spark: SparkSession, target: DataFrame, staged: StagedMerge, partition: str) -> DataFrame:
+    """The table as it will be once the staged merge is published."""
+    touched = [v for v in staged.touched if v is not None]
+    replaced = F.col(partition).isin(touched)
+    if None in staged.touched:
+        replaced = F.col(partition).isNull() | replaced
+    else:
+        replaced = F.col(partition).isNotNull() & replaced
+    return append_evolving(target.where(~replaced), spark.read.parquet(staged.result))
+
+
 def publish_merge(
     spark: SparkSession, staged: StagedMerge, path: str, partition: str, cluster: Sequence[str] = ()
 ) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usageledger import fixed_values as fv
-from usageledger.sinks.files import drop_partitions
+from usageledger.sinks.files import NO_VALUE, drop_partitions, partition_folders
 
 
 def unexpired(rows: DataFrame, as_of: date, days: int = fv.RAW_RETENTION_DAYS, partition: str = "load_date") -> DataFrame:
@@ -27,7 +27,9 @@ def expired_days(rows: DataFrame, as_of: date, days: int = fv.RAW_RETENTION_DAYS
 
 
 def expire_path(spark: SparkSession, path: str, as_of: date, days: int = fv.RAW_RETENTION_DAYS, partition: str = "load_date") -> list[date]:
-    """Drop the expired partitions of a Parquet table; one row per day reaches the driver."""
-    gone = [r[0] for r in expired_days(spark.read.parquet(path), as_of, days, partition).collect()]
+    """Drop the expired partitions of a Parquet table; its folder names say which, no data is read."""
+    oldest = as_of - timedelta(days=days)
+    named = [v for v in partition_folders(spark, path, partition) if v != NO_VALUE]
+    gone = [day for day in map(date.fromisoformat, named) if day < oldest]
     drop_partitions(spark, path, partition, gone)
-    return sorted(gone)
+    return gone

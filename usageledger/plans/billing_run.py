@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +13,10 @@ from usageledger.operators.dedup import duplicated
 from usageledger.operators.evolve import append_evolving
 from usageledger.operators.history import current_versions, open_history, snapshot_moves
 from usageledger.operators.lookup import hot_keys
-from usageledger.operators.merge import newer_rows, publish_merge, stage_merge
+from usageledger.operators.merge import merged_view, newer_rows, publish_merge, stage_merge
 from usageledger.plans import billing, quality, reports
 from usageledger.session import pin_utc, scratch_path
-from usageledger.sinks.files import drop_partitions, exists, rebuild, write_partitioned
+from usageledger.sinks.files import drop_folder, drop_partitions, exists, partition_folders, rebuild
 
 FACT_CLUSTER = ["account_id", "subscription_status"]
 FACT_MONTH = "started_month"
@@ -27,20 +28,22 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def finished_runs(spark: SparkSession, path: str) -> list[int]:
+    """The runs whose open versions are kept, by the names of their complete folders."""
+    return sorted(int(v) for v in partition_folders(spark, f"{path}/current", "run", complete=True))
+
+
 def read_history(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
     """The account history as of its newest run, or its newest run before a given one.
 
     `current/run=` holds the open versions after a run, `closed/run=` those the run
-    closed. A run counts once its current versions are there; they are written last.
+    closed. A run counts once its current versions are complete; they are written last.
     """
-    versions = read_if_there(spark, f"{path}/current")
-    if versions is None:
-        return None
-    if before is not None:
-        versions = versions.where(F.col("run") < F.lit(before))
-    newest = versions.agg(F.max("run")).first()[0]
-    if newest is None:
+    runs = [r for r in finished_runs(spark, path) if before is None or r < before]
+    if not runs:
         return None
+    newest = max(runs)
+    versions = spark.read.option("mergeSchema", True).parquet(f"{path}/current")
     closed = spark.read.option("mergeSchema", True).parquet(f"{path}/closed")
     open_now = versions.where(F.col("run") == F.lit(newest))
     return append_evolving(open_now, closed.where(F.col("run") <= F.lit(newest))).drop("run")
@@ -53,17 +56,20 @@ def run_snapshot(
 
     Closed versions are written once and never again; each run writes only the open
     ones and what it closed. Repeating a run starts from the run before it and replaces
-    its own folders, so it may die at any point. Open versions of the last `keep_runs`
+    its own folders, and a run at any later time first drops what an unfinished one
+    closed, so it may die at any point. Open versions of the last `keep_runs`
     runs are kept.
     """
     if not duplicated(source, ["account_id"]).isEmpty():
         raise ValueError("the account extract holds an account twice")
     run = int(f"{run_at:%Y%m%d%H%M%S}")
-    stored = read_if_there(spark, f"{path}/current")
-    # One row per kept run.
-    runs = [] if stored is None else [r[0] for r in stored.select("run").distinct().collect()]
+    runs = finished_runs(spark, path)
     if any(other > run for other in runs):
         raise ValueError(f"the history already has a run after {run_at}")
+    newest = max(runs, default=-1)
+    for layer in ("closed", "current"):
+        named = partition_folders(spark, f"{path}/{layer}", "run")
+        drop_partitions(spark, f"{path}/{layer}", "run", [v for v in named if int(v) > newest])
 
     history = read_history(spark, path, before=run)
     if history is None:
@@ -78,29 +84,60 @@ def run_snapshot(
     rebuild(moves.where(is_open), f"{path}/current/run={run}")
     outdated = sorted({*runs, run})[:-keep_runs]
     drop_partitions(spark, f"{path}/current", "run", outdated)
+    drop_folder(spark, staged)
     return read_history(spark, path)
 
 
+def _with_month(facts: DataFrame) -> DataFrame:
+    return facts.withColumn(FACT_MONTH, F.trunc("started_at", "month"))
+
+
+def moved_facts(facts: DataFrame, history: DataFrame) -> DataFrame:
+    """Stored facts whose account has got a new current version, pointing to it.
+
+    Accounts are compared first, one row per account and version, so only the facts of
+    changed accounts are read in full. Facts of an account that is gone keep its last one.
+    """
+    versions = current_versions(history).select("account_id", F.col("dbt_scd_id").alias("_current"))
+    known = facts.where(F.col("account_id").isNotNull()).select("account_id", "account_sk").distinct()
+    outdated = known.join(versions, "account_id").where(~F.col("account_sk").eqNullSafe(F.col("_current")))
+    changed = outdated.select("account_id", "_current").distinct()
+    return facts.join(changed, "account_id").withColumn("account_sk", F.col("_current")).select(*facts.columns)
+
+
 def run_facts(
     spark: SparkSession,
     staged: DataFrame,
     history: DataFrame,
     path: str,
     full_refresh: bool = False,
+    gate: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
-    """Merge new staged subscriptions into the month-partitioned facts."""
+    """Merge new staged subscriptions into the month-partitioned facts.
+
+    Facts of accounts that changed move to the account's current version in the same
+    merge. `gate` gets the facts as they will be and may raise: the table is then as
+    it was.
+    """
     existing = None if full_refresh else read_if_there(spark, path)
     fresh = newer_rows(staged, existing)
-    facts = billing.fct_subscriptions(fresh, history, hot_keys(fresh, "account_id")).withColumn(
-        FACT_MONTH, F.trunc("started_at", "month")
-    )
-    if full_refresh:
+    facts = _with_month(billing.fct_subscriptions(fresh, history, hot_keys(fresh, "account_id")))
+    if existing is None:
+        kept = scratch_path(spark, "facts")
+        facts.write.parquet(kept)
+        facts = spark.read.parquet(kept)
+        if gate:
+            gate(facts)
         rebuild(facts, path, FACT_MONTH, FACT_CLUSTER)
-    elif existing is None:
-        write_partitioned(facts, path, FACT_MONTH, FACT_CLUSTER)
+        drop_folder(spark, kept)
     else:
-        merge = stage_merge(spark, path, facts, "subscription_id", FACT_MONTH)
+        moved = moved_facts(existing, history).join(fresh.select("subscription_id"), "subscription_id", "left_anti")
+        updates = append_evolving(facts, moved)
+        merge = stage_merge(spark, path, updates, "subscription_id", FACT_MONTH, existing.schema)
+        if gate:
+            gate(merged_view(spark, existing, merge, FACT_MONTH))
         publish_merge(spark, merge, path, FACT_MONTH, FACT_CLUSTER)
+        drop_folder(spark, merge.result)
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
@@ -122,17 +159,21 @@ def run_billing(
     }))
 
     history = run_snapshot(spark, raw_accounts, f"{base}/transform/snap_accounts", run_at)
-    facts = run_facts(spark, staged, history, f"{base}/transform/fct_subscriptions", full_refresh)
     # Tested and then read by the report, so built once.
     kept = scratch_path(spark, "account-metrics")
-    rebuild(billing.account_metrics(facts), kept)
+
+    def tested(facts: DataFrame) -> None:
+        billing.account_metrics(facts).write.parquet(kept)
+        require_passing(quality.check_models({
+            "snap_accounts": history,
+            "fct_subscriptions": facts,
+            "int_account_metrics": spark.read.parquet(kept),
+            "int_plan_metrics": billing.plan_metrics(facts),
+        }))
+
+    facts_path = f"{base}/transform/fct_subscriptions"
+    facts = run_facts(spark, staged, history, facts_path, full_refresh, tested)
     per_account, per_plan = spark.read.parquet(kept), billing.plan_metrics(facts)
-    require_passing(quality.check_models({
-        "snap_accounts": history,
-        "fct_subscriptions": facts,
-        "int_account_metrics": per_account,
-        "int_plan_metrics": per_plan,
-    }))
 
     hot = hot_keys(facts, "account_id")
     rebuild(
@@ -148,6 +189,7 @@ def run_billing(
     require_passing(quality.check_models({
         "rpt_subscription_monthly": monthly, "rpt_account_overview": overview,
     }))
+    drop_folder(spark, kept)
     return {
         "stg_subscriptions": staged,
         "snap_accounts": history,

@@ -12,10 +12,13 @@ from pyspark.sql.types import StructType
 from usageledger.functions.columns import last_segment, moment
 from usageledger.functions.nested import flatten
 from usageledger.schemas import SOURCE_TABLES
-from usageledger.sinks.files import append, rebuild
+from usageledger.sinks.files import append, exists, rebuild
 from usageledger.sources.landed import read_csv, read_records, read_run_results
 from usageledger.sources.tables import parse_day
 
+# Values that do not fit the type of their column in the raw table.
+UNFIT = "_unfit"
+
 
 def flatten_payload(
     records: DataFrame, run_date: str | date, loaded_at: datetime | Column | None = None
@@ -39,16 +42,43 @@ def ingest_subscriptions(
 
     Rows are counted while they are written. Without a `schema` Spark reads the extract
     once more to find its fields; new ones become new columns, and readers of the raw
-    table merge the file schemas.
+    table merge the file schemas. A column keeps the type it has in the table: see
+    `fit_table`.
     """
     loaded = Observation()
     rows = flatten_payload(read_records(spark, landed_path, schema), run_date)
+    if exists(spark, raw_path):
+        rows = fit_table(rows, spark.read.option("mergeSchema", True).parquet(raw_path).schema)
     append(rows.observe(loaded, F.count(F.lit(1)).alias("rows")), raw_path)
     if loaded.get["rows"] == 0:
         raise ValueError("no rows were written")
     return loaded.get["rows"]
 
 
+def fit_table(rows: DataFrame, table: StructType) -> DataFrame:
+    """Columns with the types the table already has, so that every reader can merge them.
+
+    A value that the table's type cannot hold becomes NULL there and is kept as text in
+    the JSON column `_unfit`, by column name; the column exists only if some type differs.
+    """
+    kinds = {f.name: f.dataType for f in table.fields}
+    fitted, unfit = {}, []
+    for field in rows.schema.fields:
+        kind = kinds.get(field.name)
+        if kind is None or kind == field.dataType or field.name == UNFIT:
+            continue
+        given = F.col(f"`{field.name}`")
+        value = given.try_cast(kind)
+        # A cast that cannot be undone, such as 1.5 to 1, has lost something too.
+        lost = given.isNotNull() & ~F.coalesce(value.try_cast(field.dataType) == given, F.lit(False))
+        fitted[field.name] = F.when(~lost, value)
+        unfit.append(F.when(lost, given.cast("string")).alias(field.name))
+    if not fitted:
+        return rows
+    kept = F.to_json(F.struct(*unfit))
+    return rows.withColumns({**fitted, UNFIT: F.when(kept != F.lit("{}"), kept)})
+
+
 def run_result_rows(
     documents: DataFrame, run_date: str | date, run_at: datetime | Column | None = None
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from usageledger.operators.dedup import keep_latest
 from usageledger.schemas import EVENT_METADATA
 from usageledger.session import pin_utc, scratch_path
 from usageledger.sinks.files import dry_run as preview_write
-from usageledger.sinks.files import drop_folder, drop_partitions, exists, write_partitioned
+from usageledger.sinks.files import drop_folder, drop_partitions, exists, partition_folders, write_partitioned
 from usageledger.sources.tables import day_range, loaded_between, parse_day, read_events
 
 GRAIN = ["event_date", "account_id", "event_type", "feature_name"]
@@ -23,6 +23,7 @@ MEASURED = [
     "event_id", "account_id", "user_id", "event_type", "feature_name", "session_id",
     "event_timestamp", "_loaded_at",
 ]
+BATCH_FOLDER = "batch_day"
 # Where the broker position is known it settles equal load times.
 POSITION = ["_kafka_partition", "_kafka_offset"]
 
@@ -113,18 +114,22 @@ def usage_backfill(
     return metrics.withColumns(batch_bounds(F.col("_batch"), start, end, batch_days)).drop("_batch")
 
 
-def affected_days(events: DataFrame, load_day: str | date) -> DataFrame:
-    """The event days of every event loaded on `load_day`, days that it has left included."""
-    arrived = loaded_between(events, load_day, load_day).select("event_id").distinct()
+def affected_days(events: DataFrame, load_day: str | date, last: str | date | None = None) -> DataFrame:
+    """The event days of every event loaded on `load_day` (to `last`), days that it has left included."""
+    arrived = loaded_between(events, load_day, last or load_day).select("event_id").distinct()
     # One row per event and day first: copies of one event must not meet in one task.
     days_of = _needed(events).select("event_id", millis_to_date("event_timestamp").alias("event_date"))
     return days_of.distinct().join(arrived, "event_id", "left_semi").select("event_date").distinct()
 
 
 def recompute_days(
-    events: DataFrame, load_day: str | date, timestamps_final: bool = False
+    events: DataFrame,
+    load_day: str | date,
+    timestamps_final: bool = False,
+    last: str | date | None = None,
+    source: str = fv.BATCH_SOURCE,
 ) -> DataFrame:
-    """Full metrics of every event day that an event loaded on `load_day` belongs to.
+    """Full metrics of every event day that an event loaded on `load_day` (to `last`) belongs to.
 
     Distinct counts of two load days cannot be added up, so each affected event day is
     computed again from all of its events. An event whose timestamp was corrected
@@ -133,13 +138,13 @@ def recompute_days(
     shuffle instead of after it.
     """
     narrow = _needed(events)
-    affected = affected_days(events, load_day)
+    affected = affected_days(events, load_day, last)
     if timestamps_final:
         dated = narrow.withColumn("event_date", millis_to_date("event_timestamp"))
         cleaned = clean_events(latest_events(dated.join(affected, "event_date", "left_semi")))
     else:
         cleaned = clean_events(latest_events(narrow)).join(affected, "event_date", "left_semi")
-    return _stamped(daily_metrics(cleaned), fv.BATCH_SOURCE)
+    return _stamped(daily_metrics(cleaned), source)
 
 
 def _replace_days(spark: SparkSession, metrics: DataFrame, path: str, touched: DataFrame) -> int:
@@ -217,13 +222,30 @@ def run_usage_backfill(
     batch_days: int = 1,
     dry_run: bool = False,
     append: bool = False,
+    recompute: bool = True,
 ) -> dict[str, Any]:
-    """The range job. A repeat replaces its event days unless `append` is asked for."""
+    """The range job.
+
+    By default it shares its table with the daily job: the event days that the range's
+    loads touch are computed again from all loads and replaced, so nothing that other
+    loads brought is lost. `recompute=False` or `append` writes the metrics per batch of
+    load days instead, to a table of their own foldered by `batch_day`, the first day of
+    the batch; a repeat replaces its batches unless `append` is asked for.
+    """
     start, end = day_range(first, last)
-    metrics = usage_backfill(_raw_events(spark, raw_path), start, end, batch_days)
+    events = _raw_events(spark, raw_path)
+    if recompute and not append:
+        metrics = recompute_days(events, start, last=end, source=fv.BACKFILL_SOURCE)
+        if dry_run:
+            return preview_write(metrics)
+        return {"rows": _replace_days(spark, metrics, target_path, affected_days(events, start, end))}
+    metrics = usage_backfill(events, start, end, batch_days)
     if dry_run:
         return preview_write(metrics)
-    return {"rows": write_partitioned(metrics, target_path, "event_date", CLUSTER, append)}
+    if partition_folders(spark, target_path, "event_date"):
+        raise ValueError(f"{target_path} holds daily metrics; batches need a table of their own")
+    foldered = metrics.withColumn(BATCH_FOLDER, F.to_date("_batch_start"))
+    return {"rows": write_partitioned(foldered, target_path, BATCH_FOLDER, CLUSTER, append)}
 
 
 def recent_days(events: DataFrame, as_of: str | date, days: int = fv.LOOKBACK_DAYS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from typing import Any
 
@@ -9,6 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+# The folder of rows without a partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def write_partitioned(
     rows: DataFrame,
     path: str,
@@ -38,19 +43,27 @@ def write_partitioned(
 
 
 def rebuild(rows: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = ()) -> None:
-    """Replace a whole table."""
+    """Replace a whole table.
+
+    The new contents are written beside the old ones and take their place when they are
+    complete, so a job that fails while writing leaves the table as it was.
+    """
+    spark = rows.sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    # Readers of the parent folder skip names that begin with an underscore.
+    beside = f"{parent or '.'}/_new-{name.replace('=', '-')}-{uuid.uuid4().hex}"
     if partition is None:
         laid_out = rows.sortWithinPartitions(*cluster) if cluster else rows
-        laid_out.write.mode("overwrite").parquet(path)
+        laid_out.write.parquet(beside)
     else:
-        (
-            rows.hint("rebalance", partition)
-            .sortWithinPartitions(partition, *cluster)
-            .write.partitionBy(partition)
-            .option("partitionOverwriteMode", "static")
-            .mode("overwrite")
-            .parquet(path)
-        )
+        laid_out = rows.hint("rebalance", partition).sortWithinPartitions(partition, *cluster)
+        laid_out.write.partitionBy(partition).parquet(beside)
+    drop_folder(spark, path)
+    written, files = _folder(spark, beside)
+    target, _ = _folder(spark, path)
+    if not files.rename(written, target):
+        raise OSError(f"{beside} could not take the place of {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def append(rows: DataFrame, path: str) -> None:
@@ -69,15 +82,32 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a scratch folder that is no longer read."""
+    """Delete a folder that is no longer read."""
     folder, files = _folder(spark, path)
     files.delete(folder, True)
 
 
+def partition_folders(spark: SparkSession, path: str, partition: str, complete: bool = False) -> list[str]:
+    """The values a table's folders name, without reading data; none if there is no table.
+
+    `complete` leaves out folders whose own write did not reach its end.
+    """
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    found = [entry.getPath() for entry in files.listStatus(folder) if entry.isDirectory()]
+    return sorted(
+        p.getName().split("=", 1)[1]
+        for p in found
+        if p.getName().startswith(f"{partition}=") and (not complete or files.exists(marker(p, "_SUCCESS")))
+    )
+
+
 def drop_partitions(spark: SparkSession, path: str, partition: str, values: Iterable[Any]) -> None:
     """Delete partition directories."""
     for value in values:
-        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        name = NO_VALUE if value is None else str(value)
         folder, files = _folder(spark, f"{path}/{partition}={name}")
         files.delete(folder, True)
     spark.catalog.refreshByPath(path)

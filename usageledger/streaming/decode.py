@@ -19,6 +19,7 @@ MESSAGE_SCHEMA = (
 REGISTRY_HEADER = 5
 # Small caps would mean small files; with the flush interval this one bounds a batch.
 MAX_BATCH_ROWS = 5_000_000
+MAX_BATCH_FILES = 200
 
 
 def read_broker(
@@ -40,12 +41,9 @@ def read_broker(
     )
 
 
-def read_landed_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Broker records that were landed as Parquet, as a stream."""
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+def read_landed_messages(spark: SparkSession, path: str, max_files: int = MAX_BATCH_FILES) -> DataFrame:
+    """Broker records that were landed as Parquet, as a stream of at most `max_files` files a trigger."""
+    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
 def avro_schema() -> str:

@@ -115,8 +115,8 @@ def usage_backfill_table(spark, sf_dir):
     path = scratch_path(spark, "usage-backfill")
     events = domain.usage_events(spark, sf_dir).withColumn("load_date", F.to_date("_loaded_at"))
     write_partitioned(events, f"{path}/raw", "load_date", ["event_id"])
-    usage.run_usage_backfill(spark, f"{path}/raw", f"{path}/daily", *map(str, USAGE_RANGE), batch_days=7)
-    return spark.read.parquet(f"{path}/daily").drop(*VOLATILE)
+    usage.run_usage_backfill(spark, f"{path}/raw", f"{path}/daily", *map(str, USAGE_RANGE), batch_days=7, recompute=False)
+    return spark.read.parquet(f"{path}/daily").drop(*VOLATILE, usage.BATCH_FOLDER)
 
 
 @query
