@@ -306,6 +306,10 @@ DAILY = f"WITH {LATEST_EVENTS} SELECT {GRAIN}, {METRICS}, 'spark_batch' AS _sour
 EXPIRED = f"""WITH {EVENTS} SELECT CAST(_loaded_at AS DATE) AS load_date, count(*) AS row_count FROM usage_events
   WHERE CAST(_loaded_at AS DATE) >= DATE '2024-01-21' GROUP BY 1"""
 MERGED = f"""WITH {MERGE} SELECT *, CAST(date_trunc('month', started_at) AS DATE) AS started_month FROM merged"""
+CHANGED_FACTS = f"""WITH {FACTS}, {CHANGED} SELECT subscription_id, account_id, subscription_status, started_at,
+  CASE WHEN changed.account_id IS NOT NULL
+       THEN md5(account_id || '|' || CAST(changed.updated_at AS VARCHAR)) END AS account_sk
+  FROM staged LEFT JOIN changed USING (account_id)"""
 APPLIED = f"""WITH {ACCOUNTS}, {CHANGED}, held AS (
   SELECT * FROM accounts WHERE industry <> 'BUILDING'
 ), seen AS (
@@ -340,6 +344,41 @@ SQL: dict[str, str] = {
     "usage_backfill_1d": _backfill(1),
     "usage_backfill_7d": _backfill(7),
     "usage_backfill_table": _backfill(7),
+    "usage_daily_two_loads": f"""WITH {EVENTS.replace("usage_events AS", "source_events AS")}, usage_events AS (
+    SELECT * FROM source_events WHERE CAST(_loaded_at AS DATE) <= DATE '2024-01-15'
+    UNION ALL SELECT * REPLACE (event_timestamp - 3456000000 AS event_timestamp, _loaded_at + INTERVAL 1 DAY AS _loaded_at)
+    FROM source_events WHERE CAST(_loaded_at AS DATE) = DATE '2024-01-15'
+  ){LATEST_EVENTS[len(EVENTS):]} SELECT {GRAIN}, {METRICS}, 'spark_batch' AS _source
+  FROM clean_events WHERE event_date IN (
+    SELECT CAST(make_timestamp(event_timestamp * 1000) AS DATE) FROM usage_events WHERE event_id IN (
+      SELECT event_id FROM usage_events WHERE CAST(_loaded_at AS DATE) >= DATE '2024-01-15'))
+  GROUP BY {GRAIN}""",
+    "usage_daily_then_backfill": f"""WITH {LATEST_EVENTS} SELECT {GRAIN}, {METRICS}, 'spark_historical_backfill' AS _source
+  FROM clean_events WHERE event_date IN (
+    SELECT CAST(make_timestamp(event_timestamp * 1000) AS DATE) FROM usage_events WHERE event_id IN (
+      SELECT event_id FROM usage_events WHERE CAST(_loaded_at AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-18'))
+  GROUP BY {GRAIN}""",
+    "usage_dry_run": f"SELECT count(*) AS row_count, CAST(least(5, count(*)) AS INTEGER) AS shown FROM ({_backfill(1)})",
+    "usage_appended_batches": f"SELECT * FROM ({_backfill(7)}) UNION ALL SELECT * FROM ({_backfill(7)})",
+    "usage_view": f"""WITH {EVENTS} SELECT account_id, count(*) AS event_count, max(event_timestamp) AS last_event_ts
+  FROM usage_events GROUP BY 1""",
+    "facts_after_account_changes": CHANGED_FACTS,
+    "facts_full_refresh": CHANGED_FACTS,
+    "lookup_hot_key": """SELECT o_orderkey, key AS c_custkey, c_name FROM (
+    SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS BIGINT) AS key FROM orders)
+  LEFT JOIN customer ON key = c_custkey""",
+    "merge_resumed": MERGED,
+    "snapshot_resumed": APPLIED,
+    "ingest_type_drift": """SELECT 'sub_' || o_orderkey AS id, CASE o_orderkey % 3
+    WHEN 1 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)
+    WHEN 2 THEN 'about ' || CAST(floor(o_totalprice) AS BIGINT) END AS amount FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "gate_stops": f"""WITH {EVENTS}, missing AS (
+    SELECT unnest(['event_id', 'account_id', 'event_type']) AS check_name,
+           unnest([count_if(event_id IS NULL), count_if(account_id IS NULL), count_if(event_type IS NULL)]) AS failures
+    FROM usage_events)
+  SELECT check_name, CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status, failures > 0 AS named FROM missing""",
+    "schema_drift_columns": """SELECT column_name, change, count(*) AS row_count FROM customer,
+  (VALUES ('c_email', 'missing'), ('c_name', 'added')) AS t(column_name, change) GROUP BY 1, 2""",
     "usage_recompute_days": f"""WITH {LATEST_EVENTS} SELECT {GRAIN}, {METRICS}, 'spark_batch' AS _source
   FROM clean_events WHERE event_date IN (
     SELECT CAST(make_timestamp(event_timestamp * 1000) AS DATE) FROM usage_events WHERE event_id IN (
@@ -443,9 +482,10 @@ SQL: dict[str, str] = {
   updated_at + INTERVAL 1 DAY AS _loaded_at FROM account_keys""",
     "run_results_explode": """SELECT DATE '2024-11-01' AS run_date, TIMESTAMP '2024-11-01' AS pipeline_run_at,
   'model.shop.' || node_name AS node_id, node_name, CASE WHEN o_orderstatus = 'F' THEN 'success' ELSE 'error' END AS status,
-  rows_affected, message, 'run_' || o_orderkey AS invocation_id, '1.8.0' AS dbt_version
-  FROM (SELECT o_orderkey, o_orderstatus, 'stg_' || o_orderkey AS node_name, o_orderkey AS rows_affected, o_orderpriority AS message FROM orders
-        UNION ALL SELECT o_orderkey, o_orderstatus, 'fct_' || o_orderkey, 0, '' FROM orders)""",
+  execution_time_s, rows_affected, message, 'run_' || o_orderkey AS invocation_id, '1.8.0' AS dbt_version
+  FROM (SELECT o_orderkey, o_orderstatus, 'stg_' || o_orderkey AS node_name, o_orderkey AS rows_affected, o_orderpriority AS message,
+               round(CAST(o_totalprice AS DOUBLE), 2) AS execution_time_s FROM orders
+        UNION ALL SELECT o_orderkey, o_orderstatus, 'fct_' || o_orderkey, 0, '', 1.5 FROM orders)""",
     "stream_lake": f"""WITH {MESSAGES} SELECT * EXCLUDE (truncated, broken, _loaded_at)
   REPLACE (CAST(_kafka_offset AS BIGINT) AS _kafka_offset), epoch_us(_loaded_at) // 1000 AS _kafka_timestamp
   FROM messages WHERE NOT broken""",

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from usageledger import fixed_values as fv
 from usageledger import schemas
@@ -22,15 +23,15 @@ from usageledger.functions.columns import (
 )
 from usageledger.operators import checks
 from usageledger.operators.dedup import duplicated
-from usageledger.operators.evolve import append_evolving
-from usageledger.operators.history import apply_snapshot, current_versions, history_from_log
-from usageledger.operators.lookup import orphan_keys
+from usageledger.operators.evolve import append_evolving, schema_drift
+from usageledger.operators.history import apply_snapshot, current_versions, history_from_log, snapshot_moves
+from usageledger.operators.lookup import hot_keys, lookup, orphan_keys
 from usageledger.operators.merge import merge_upsert, newer_rows, publish_merge, stage_merge
 from usageledger.operators.retention import expire_path, unexpired
 from usageledger.plans import billing, ingest, quality, reports, usage
-from usageledger.plans.billing_run import run_snapshot
+from usageledger.plans.billing_run import run_facts, run_snapshot
 from usageledger.session import scratch_path
-from usageledger.sinks.files import rebuild, write_partitioned
+from usageledger.sinks.files import as_view, drop_partitions, rebuild, write_partitioned
 from usageledger.sources.landed import read_csv
 from usageledger.sources.tables import loaded_between
 from usageledger.streaming import decode, lake
@@ -119,6 +120,68 @@ def usage_backfill_table(spark, sf_dir):
     return spark.read.parquet(f"{path}/daily").drop(*VOLATILE, usage.BATCH_FOLDER)
 
 
+def _daily_table(spark, sf_dir):
+    """Raw events loaded by the usage day as a raw table, its daily job done, and the later loads."""
+    path = scratch_path(spark, "usage-jobs")
+    events = domain.usage_events(spark, sf_dir).withColumn("load_date", F.to_date("_loaded_at"))
+    write_partitioned(events.where(F.col("load_date") <= F.lit(USAGE_DAY)), f"{path}/raw", "load_date", ["event_id"])
+    usage.run_usage_daily(spark, f"{path}/raw", f"{path}/daily", USAGE_DAY)
+    return path, events
+
+
+@query
+def usage_daily_two_loads(spark, sf_dir):
+    """Two daily runs; the second load moves every event of the first 40 days back."""
+    path, events = _daily_table(spark, sf_dir)
+    moved = events.where(F.col("load_date") == F.lit(USAGE_DAY)).withColumns({
+        "event_timestamp": F.col("event_timestamp") - 40 * 86_400_000,
+        "_loaded_at": F.col("_loaded_at") + F.make_dt_interval(F.lit(1)),
+        "load_date": F.date_add("load_date", 1),
+    })
+    write_partitioned(moved, f"{path}/raw", "load_date", ["event_id"], append=True)
+    usage.run_usage_daily(spark, f"{path}/raw", f"{path}/daily", USAGE_DAY + timedelta(days=1))
+    return spark.read.parquet(f"{path}/daily").drop(*VOLATILE)
+
+
+@query
+def usage_daily_then_backfill(spark, sf_dir):
+    """A daily run, all later loads, then a backfill of some of them into the same table."""
+    path, events = _daily_table(spark, sf_dir)
+    write_partitioned(events.where(F.col("load_date") > F.lit(USAGE_DAY)), f"{path}/raw", "load_date", append=True)
+    first, last = USAGE_DAY, USAGE_DAY + timedelta(days=3)
+    usage.run_usage_backfill(spark, f"{path}/raw", f"{path}/daily", first, last)
+    return spark.read.parquet(f"{path}/daily").drop(*VOLATILE)
+
+
+@query
+def usage_dry_run(spark, sf_dir):
+    """What the range job would write, counted without writing."""
+    path = scratch_path(spark, "usage-dry")
+    write_partitioned(domain.usage_events(spark, sf_dir).withColumn("load_date", F.to_date("_loaded_at")), path, "load_date")
+    shown = usage.run_usage_backfill(spark, path, f"{path}-none", *USAGE_RANGE, dry_run=True, recompute=False)
+    return spark.createDataFrame([(shown["rows"], len(shown["preview"]))], "row_count bigint, shown int")
+
+
+@query
+def usage_appended_batches(spark, sf_dir):
+    """The range job run twice with `append`: every batch is there twice."""
+    path = scratch_path(spark, "usage-append")
+    write_partitioned(domain.usage_events(spark, sf_dir).withColumn("load_date", F.to_date("_loaded_at")), path, "load_date")
+    for _ in range(2):
+        usage.run_usage_backfill(spark, path, f"{path}-daily", *USAGE_RANGE, batch_days=7, append=True)
+    return spark.read.parquet(f"{path}-daily").drop(*VOLATILE, usage.BATCH_FOLDER)
+
+
+@query
+def usage_view(spark, sf_dir):
+    """Plain SQL over a registered view of the raw events."""
+    as_view(domain.usage_events(spark, sf_dir), "usage_events_raw")
+    return spark.sql(
+        "SELECT account_id, count(*) AS event_count, max(event_timestamp) AS last_event_ts"
+        " FROM usage_events_raw GROUP BY account_id"
+    )
+
+
 @query
 def usage_event_type_mix(spark, sf_dir):
     return usage.event_type_mix(domain.usage_events(spark, sf_dir))
@@ -273,6 +336,51 @@ def merge_partitioned_table(spark, sf_dir):
     return spark.read.parquet(path).select(*MERGE_OUTPUT)
 
 
+@query
+def merge_resumed(spark, sf_dir):
+    """The same job, stopped after it dropped emptied partitions and before it wrote, and run again."""
+    path = scratch_path(spark, "fct-resumed")
+    target, updates = _merge_sides(spark, sf_dir)
+    cluster = ["account_id", "subscription_status"]
+    rebuild(target, path, "started_month", cluster)
+    stopped = stage_merge(spark, path, updates, "subscription_id", "started_month")
+    filled = {r[0] for r in spark.read.parquet(stopped.result).select("started_month").distinct().collect()}
+    drop_partitions(spark, path, "started_month", set(stopped.touched) - filled)
+    staged = stage_merge(spark, path, updates, "subscription_id", "started_month")
+    publish_merge(spark, staged, path, "started_month", cluster)
+    return spark.read.parquet(path).select(*MERGE_OUTPUT)
+
+
+def _facts_after_changes(spark, sf_dir, full_refresh):
+    path = scratch_path(spark, "fct-two-runs")
+    staged, history = _staged(spark, sf_dir), domain.account_history(spark, sf_dir)
+    run_facts(spark, staged.where(F.col("_loaded_at") <= moment(LOADED_SPLIT)), history, path)
+    later = apply_snapshot(history, domain.changed_accounts(spark, sf_dir), "account_id", AS_OF)
+    facts = run_facts(spark, staged, later, path, full_refresh)
+    return facts.select("subscription_id", "account_id", "account_sk", "subscription_status", "started_at")
+
+
+@query
+def facts_after_account_changes(spark, sf_dir):
+    """Two fact runs with account changes in between: old facts move to the new versions."""
+    return _facts_after_changes(spark, sf_dir, full_refresh=False)
+
+
+@query
+def facts_full_refresh(spark, sf_dir):
+    """The second run as a full rebuild gives the same facts."""
+    return _facts_after_changes(spark, sf_dir, full_refresh=True)
+
+
+@query
+def lookup_hot_key(spark, sf_dir):
+    """Orders of which a third share one customer, joined through the split path."""
+    hot_customer = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", hot_customer.cast("bigint").alias("c_custkey"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name")
+    return lookup(orders, customers, "c_custkey", ["o_orderkey"], hot_keys(orders, "c_custkey", floor=50))
+
+
 @query
 def schema_evolution_append(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
@@ -315,6 +423,18 @@ def scd2_snapshot_runs(spark, sf_dir):
     return run_snapshot(spark, second, path, AS_OF).select(*HISTORY_OUTPUT)
 
 
+@query
+def snapshot_resumed(spark, sf_dir):
+    """A run between the two that stopped after it stored what it closed."""
+    path = scratch_path(spark, "snap-resumed")
+    first = domain.accounts(spark, sf_dir).where(F.col("industry") != "BUILDING")
+    second = domain.changed_accounts(spark, sf_dir).where(F.col("company_size_band") != "SMB")
+    held = run_snapshot(spark, first, path, datetime(2001, 1, 1))
+    unfinished = snapshot_moves(current_versions(held), second, "account_id", datetime(2001, 8, 14))
+    rebuild(unfinished.where(F.col("dbt_valid_to").isNotNull()), f"{path}/closed/run=20010814000000")
+    return run_snapshot(spark, second, path, AS_OF).select(*HISTORY_OUTPUT)
+
+
 @query
 def expire_partitions(spark, sf_dir):
     events = domain.usage_events(spark, sf_dir).withColumn("load_date", F.to_date("_loaded_at"))
@@ -552,6 +672,46 @@ def ingest_landed_json(spark, sf_dir):
     return spark.read.parquet(f"{path}/raw").drop("_loaded_at")
 
 
+@query
+def ingest_type_drift(spark, sf_dir):
+    """Three extracts in which the amount is unknown, a number, and text."""
+    path = scratch_path(spark, "drift")
+    payload = _payload(spark, sf_dir).drop("items")
+    number = F.regexp_extract("id", "[0-9]+", 0).cast("bigint") % 3
+    amounts = (F.lit(None).cast("string"), F.col("amount"), F.concat(F.lit("about "), F.col("amount").cast("string")))
+    for n, amount in enumerate(amounts):
+        extract = payload.where(number == n).withColumn("amount", amount)
+        extract.write.option("ignoreNullFields", False).json(f"{path}/landed-{n}")
+        ingest.ingest_subscriptions(spark, f"{path}/landed-{n}", f"{path}/raw", "2024-11-01")
+    return spark.read.option("mergeSchema", True).parquet(f"{path}/raw").select("id", "amount")
+
+
+@query
+def gate_stops(spark, sf_dir):
+    """Which checks the gate names when it stops a stage."""
+    raw = domain.usage_events(spark, sf_dir)
+    rules = {name: F.count_if(F.col(name).isNull()) for name in ("event_id", "account_id", "event_type")}
+    counted = raw.agg(*[rule.alias(name) for name, rule in rules.items()])
+    results = counted.unpivot([], list(rules), "check_name", "failures").select(
+        "check_name", F.when(F.col("failures") > 0, "fail").otherwise("pass").alias("status")
+    )
+    try:
+        checks.require_passing(results)
+        stopped = ""
+    except checks.ChecksFailed as reason:
+        stopped = str(reason)
+    return results.withColumn("named", F.lit(stopped).contains(F.concat(F.lit("check_name="), "check_name")))
+
+
+@query
+def schema_drift_columns(spark, sf_dir):
+    """Drift of a landed customer table against its declaration, beside its row count."""
+    customers = table(spark, sf_dir, "customer")
+    declared = StructType([f for f in customers.schema.fields if f.name != "c_name"]).add("c_email", "string")
+    counted = customers.agg(F.count(F.lit(1)))
+    return schema_drift(customers, declared).select("column_name", "change", counted.scalar().alias("row_count"))
+
+
 @query
 def csv_extract(spark, sf_dir):
     """Accounts written as CSV and read by the typed loader."""
@@ -588,7 +748,7 @@ def run_results_explode(spark, sf_dir):
     )
     documents.write.json(path)
     read = spark.read.schema(schemas.RUN_RESULTS).json(path)
-    return ingest.run_result_rows(read, "2024-11-01", datetime(2024, 11, 1)).drop("execution_time_s")
+    return ingest.run_result_rows(read, "2024-11-01", datetime(2024, 11, 1))
 
 
 # --- streaming --------------------------------------------------------------
@@ -619,9 +779,18 @@ def _landed_messages(spark, sf_dir):
 
 
 def _drained(spark, sf_dir, start):
-    path, messages = scratch_path(spark, "lake"), _landed_messages(spark, sf_dir)
-    stream = decode.decode_messages(decode.read_landed_messages(spark, messages))
-    start(stream, path, f"{path}/_checkpoint", None).awaitTermination()
+    """A stream over several triggers with a restart after half of the messages.
+
+    Both copies of an event lie in one file, the way a broker partition delivers them.
+    """
+    path = scratch_path(spark, "lake")
+    messages = spark.read.schema(decode.MESSAGE_SCHEMA).parquet(_landed_messages(spark, sf_dir))
+    pair = F.floor(F.col("offset") / 2)
+    for half in range(2):
+        files = messages.where(pair % 2 == half).repartition(4, "partition", pair)
+        files.write.mode("append").parquet(f"{path}/in")
+        stream = decode.decode_messages(decode.read_landed_messages(spark, f"{path}/in", max_files=2))
+        start(stream, path, f"{path}/_checkpoint", None).awaitTermination()
     return path
 
 
