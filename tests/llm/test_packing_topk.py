@@ -54,6 +54,17 @@ def test_pieces_cover_every_document(which, request):
     assert share > 0.97 or which == "odd_docs"
 
 
+def test_a_row_without_end_is_spread(spark):
+    text = F.lit("the very same words")
+    same = spark.range(6_000).select(F.lit(None).cast("long").alias("doc_id"), text.alias("text")).coalesce(2)
+    made = packing.pieces(same, PATH)
+    # Only the first copy a task meets has no number of its own.
+    assert made.where("copy = 0").count() == 2 and made.select("copy").distinct().count() == 5_999
+    packed = packing.pack(same, PATH)
+    groups = packed.groupBy(F.shiftright("sequence_id", 32)).count().collect()
+    assert len(groups) == 3 and max(g["count"] for g in groups) < 3_000
+
+
 def test_fragments_fill_windows():
     rng = random.Random(1)
     for lengths in ([rng.randint(1, 1023) for _ in range(2000)], [600] * 500, [1] * 50, [1023] * 9, [], [513, 512]):
