@@ -36,6 +36,26 @@ def test_daily_metrics_need_three_shuffles(spark):
     assert plan.count("Exchange hashpartitioning") == 3
 
 
+def below(plan):
+    """Every shuffle of a plan with the lines under it."""
+    lines = plan.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            end = next((k for k in range(i + 1, len(lines)) if depth[k] <= depth[i]), len(lines))
+            yield line, "\n".join(lines[i + 1 : end])
+
+
+@pytest.mark.parametrize("name, bound", [("usage_recompute_days", "LeftSemi, BuildRight"), ("usage_recent_days", "event_timestamp")])
+def test_events_of_other_days_are_shuffled_without_their_columns(spark, name, bound):
+    shuffles = list(below(plan_text(REGISTRY[name](spark, TABLES))))
+    wide = [rest for _, rest in shuffles if "session_id" in rest]
+    narrow = [rest for _, rest in shuffles if "session_id" not in rest]
+    assert wide and len(narrow) >= 2
+    # Only rows of the wanted days carry what the metrics read into a shuffle.
+    assert all(bound in rest for rest in wide)
+
+
 def test_fact_joins_broadcast_only_the_hot_key_list(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -157,6 +157,14 @@ def test_recomputed_days_are_whole_and_notice_moved_events(spark):
     assert as_dict(usage.recompute_days(raw, day)) == expected
 
 
+def test_a_tie_between_days_counts_on_one_of_them(spark):
+    raw = events(spark, event(1, day=2, load=9, account="acc_9"), event(1, day=5, load=9, account="acc_1"), event(2, day=2, load=9))
+    whole = as_dict(usage.usage_daily(raw))
+    assert as_dict(usage.recompute_days(raw, "2024-01-09")) == whole
+    assert as_dict(usage.recent_days(raw, "2024-01-06", 3)) == {k: v for k, v in whole.items() if k[0] >= date(2024, 1, 3)}
+    assert as_dict(usage.recent_days(raw, "2024-01-03", 1)) == whole
+
+
 def test_building_the_recomputation_runs_no_job(spark):
     raw = random_events(spark)
     tracker = spark.sparkContext.statusTracker()

@@ -38,11 +38,31 @@ def latest_events(events: DataFrame, *within: str) -> DataFrame:
 
     Rows without an id go first, they can only end up dropped. Rows without an account
     go after: if the last copy lost its account, the event is dropped, not revived from
-    an older copy.
+    an older copy. Of copies that cannot be told apart otherwise the one with the latest
+    event time counts.
     """
-    position = [c for c in POSITION if c in events.columns]
     identified = events.where(F.col("event_id").isNotNull())
-    return keep_latest(identified, [*within, "event_id"], ["_loaded_at", *position])
+    return keep_latest(identified, [*within, "event_id"], _newest(events))
+
+
+def _newest(events: DataFrame) -> list[str]:
+    position = [c for c in POSITION if c in events.columns]
+    return ["_loaded_at", *position, "event_timestamp"]
+
+
+def latest_inside(inside: DataFrame, outside: DataFrame) -> DataFrame:
+    """The latest copies that are rows of `inside`; `outside` holds the events of all other days.
+
+    A copy outside matters only where it is later than those inside. Outside rows are
+    shuffled without the columns that the metrics read, and only one per event that has
+    a copy inside meets the inside rows.
+    """
+    rivals = latest_events(outside.select("event_id", *_newest(outside)))
+    rivals = rivals.join(inside.select("event_id").distinct(), "event_id", "left_semi")
+    both = inside.withColumn("_inside", F.lit(True)).unionByName(
+        rivals.withColumn("_inside", F.lit(False)), allowMissingColumns=True
+    )
+    return latest_events(both).where("_inside").drop("_inside")
 
 
 def clean_events(events: DataFrame) -> DataFrame:
@@ -134,17 +154,17 @@ def recompute_days(
     Distinct counts of two load days cannot be added up, so each affected event day is
     computed again from all of its events. An event whose timestamp was corrected
     affects the day it left as well. Where copies of an event never differ in their
-    timestamp, say so with `timestamps_final`: other days are then dropped before the
-    shuffle instead of after it.
+    timestamp, say so with `timestamps_final`: other days are then not looked at.
     """
-    narrow = _needed(events)
-    affected = affected_days(events, load_day, last)
+    dated = _needed(events).withColumn("event_date", millis_to_date("event_timestamp"))
+    # One row per calendar day, however large the table.
+    affected = F.broadcast(affected_days(events, load_day, last))
+    latest = inside = dated.join(affected, "event_date", "left_semi")
     if timestamps_final:
-        dated = narrow.withColumn("event_date", millis_to_date("event_timestamp"))
-        cleaned = clean_events(latest_events(dated.join(affected, "event_date", "left_semi")))
+        latest = latest_events(inside)
     else:
-        cleaned = clean_events(latest_events(narrow)).join(affected, "event_date", "left_semi")
-    return _stamped(daily_metrics(cleaned), source)
+        latest = latest_inside(inside, dated.join(affected, "event_date", "left_anti"))
+    return _stamped(daily_metrics(clean_events(latest)), source)
 
 
 def _replace_days(spark: SparkSession, metrics: DataFrame, path: str, touched: DataFrame) -> int:
@@ -251,8 +271,11 @@ def run_usage_backfill(
 def recent_days(events: DataFrame, as_of: str | date, days: int = fv.LOOKBACK_DAYS) -> DataFrame:
     """Metrics of the event days from `days` days before `as_of` on."""
     oldest = parse_day(as_of) - timedelta(days=days)
-    cleaned = clean_events(latest_events(_needed(events)))
-    return _stamped(daily_metrics(cleaned.where(F.col("event_date") >= F.lit(oldest))), fv.BATCH_SOURCE)
+    # Compared with the bare column, so that the bound reaches the scan.
+    opens = int(datetime(oldest.year, oldest.month, oldest.day, tzinfo=timezone.utc).timestamp()) * 1000
+    narrow, recent = _needed(events), F.col("event_timestamp") >= F.lit(opens)
+    latest = latest_inside(narrow.where(recent), narrow.where(~F.coalesce(recent, F.lit(False))))
+    return _stamped(daily_metrics(clean_events(latest)), fv.BATCH_SOURCE)
 
 
 def run_recent_days(
