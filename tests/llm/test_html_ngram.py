@@ -36,6 +36,14 @@ def test_undeclared_main_part_by_line_weights():
     assert text.count("A sentence") == 9 and "Short." in text and "More" not in text
 
 
+def test_a_huge_block_raises_no_limit():
+    blocks = [f"Paragraph {i} says a thing or two. " * 9 for i in range(8)]
+    blocks[4] = "One block that goes on and on. " * 700
+    gap = "".join(f"<p>{i}</p>" for i in range(6))
+    text = html.main_text(page("".join(f"<p>{b}</p>" for b in blocks) + gap + "<p>A short section behind the gap, which still belongs to the text of this very page.</p>"))
+    assert text.split("\n") == [b.strip() for b in blocks] + [str(i) for i in range(6)] + ["A short section behind the gap, which still belongs to the text of this very page."]
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>x"), (3, "u", "plain & text"), (4, "u", "<div><div><p>" * 3_000 + "deep"), (5, "u", "<script>only"), (5, "u", "<!-- no end"), (6, "u", "a < b <p>c")]
     frame = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")

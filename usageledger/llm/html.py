@@ -3,8 +3,8 @@
 Markup is stripped into lines (one per block element). Each line weighs as many characters as it
 holds outside links; lines of menus, forms, notices, comments and the like weigh nothing, and
 where a page declares its main part, so do lines outside it. Weights are summed over sliding
-windows; the text between a surge of the sums and the following dive is a candidate, and the
-heaviest candidates are kept.
+windows; everything between the first surge of the sums and the last dive is kept. The surge limit
+is a fixed number of characters, less on pages of few words, so no long block can raise it.
 
 Defined cases: a NULL or empty page, or one without text, gives the empty text. Unclosed and
 mismatched tags close at the end of what encloses them. Repeated rows are extracted row by row;
@@ -25,7 +25,8 @@ from usageledger.llm.common import small_batches
 
 # Lines on either side that a window takes in.
 REACH = 2
-# Candidates below this share of the heaviest one are noise.
+# Characters in a window that make a surge; on pages of few words this share of the heaviest window.
+SURGE = 80
 LEAST_SHARE = 0.2
 
 _TOKEN = re.compile(
@@ -150,16 +151,10 @@ def main_text(page: str) -> str:
         n = len(weights)
         low, high = np.maximum(np.arange(n) - REACH, 0), np.minimum(np.arange(n) + REACH + 1, n)
         sums = total[high] - total[low]
-        # Surge: the window sum rises to a fair share of the peak; dive: it falls below again.
-        dense = (sums >= max(1, LEAST_SHARE * sums.max())) & (weights > 0)
-        joined = dense | (weights == 0)
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], joined, [False]]).astype(np.int8)))
-        keep = np.zeros(n, dtype=bool)
-        spans = [(a, b, int(weights[a:b].sum())) for a, b in zip(edges[::2], edges[1::2], strict=True)]
-        most = max(w for _, _, w in spans)
-        for a, b, w in spans:
-            if w and w >= LEAST_SHARE * most:
-                keep[a:b] = weights[a:b] > 0
+        # Surge: the window sum reaches the limit; dive: it falls below and stays there.
+        dense = np.flatnonzero((sums >= max(1, min(SURGE, LEAST_SHARE * sums.max()))) & (weights > 0))
+        keep = weights > 0
+        keep[: dense[0]] = keep[dense[-1] + 1 :] = False
     return "\n".join(line[0] for line, kept in zip(lines, keep, strict=True) if kept)
 
 
