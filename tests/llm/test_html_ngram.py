@@ -44,6 +44,26 @@ def test_a_huge_block_raises_no_limit():
     assert text.split("\n") == [b.strip() for b in blocks] + [str(i) for i in range(6)] + ["A short section behind the gap, which still belongs to the text of this very page."]
 
 
+def test_cards_beside_the_story_do_not_replace_it():
+    story = [f"Paragraph {i} of the story says a thing or two about it." for i in range(6)]
+    told = "".join(f"<p>{p}</p>" for p in story)
+    for card in ('<article class="teaser"><p>Another story.</p></article>', "<main><p>Another story.</p></main>"):
+        assert html.main_text(page(f"<nav>Menu</nav><div>{told}</div>{card}")).split("\n") == [*story, "Another story."]
+    # Lines far from any surge go, whether a main part is declared or not.
+    far = "".join("<div>x</div>" for _ in range(9))
+    for tag in ("div", "article", "main"):
+        text = html.main_text(page(f"{far}<{tag}>{told}</{tag}>{far}")).split("\n")
+        assert [t for t in text if t != "x"] == story and len(text) <= len(story) + 4
+
+
+def test_generated_pages_without_article_elements(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(100).collect():
+        plain = re.sub(r"(</?)article\b", r"\1div", r["html"])
+        # Short lines before the first surge are all that the declared part adds.
+        with_part, without = html.main_text(r["html"]), html.main_text(plain)
+        assert without in with_part and len(without) >= 0.99 * len(with_part) - 30
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>x"), (3, "u", "plain & text"), (4, "u", "<div><div><p>" * 3_000 + "deep"), (5, "u", "<script>only"), (5, "u", "<!-- no end"), (6, "u", "a < b <p>c")]
     frame = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")

@@ -1,9 +1,9 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped into lines (one per block element). Each line weighs as many characters as it
-holds outside links; lines of menus, forms, notices, comments and the like weigh nothing, and
-where a page declares its main part, so do lines outside it. Weights are summed over sliding
-windows; everything between the first surge of the sums and the last dive is kept. The surge limit
+holds outside links; lines of menus, forms, notices, comments and the like weigh nothing. Weights
+are summed over sliding windows; a line of a declared main part has SURGE added to its sum, which
+takes nothing from the lines outside. Everything between the first surge of the sums and the last dive is kept. The surge limit
 is a fixed number of characters, less on pages of few words, so no long block can raise it.
 
 Defined cases: a NULL or empty page, or one without text, gives the empty text. Unclosed and
@@ -140,21 +140,19 @@ def main_text(page: str) -> str:
     lines = lines_of(page)
     if not lines:
         return ""
-    declared = any(main and not junk for _, _, main, junk in lines)
-    weights = np.array([0 if junk or (declared and not main) else max(1, len(t) - k) for t, k, main, junk in lines], dtype=np.int64)
+    weights = np.array([0 if junk else max(1, len(t) - k) for t, k, _, junk in lines], dtype=np.int64)
     if not weights.any():
         return ""
-    if declared:
-        keep = weights > 0
-    else:
-        total = np.concatenate([[0], np.cumsum(weights)])
-        n = len(weights)
-        low, high = np.maximum(np.arange(n) - REACH, 0), np.minimum(np.arange(n) + REACH + 1, n)
-        sums = total[high] - total[low]
-        # Surge: the window sum reaches the limit; dive: it falls below and stays there.
-        dense = np.flatnonzero((sums >= max(1, min(SURGE, LEAST_SHARE * sums.max()))) & (weights > 0))
-        keep = weights > 0
-        keep[: dense[0]] = keep[dense[-1] + 1 :] = False
+    declared = np.array([main for _, _, main, _ in lines])
+    total = np.concatenate([[0], np.cumsum(weights)])
+    n = len(weights)
+    low, high = np.maximum(np.arange(n) - REACH, 0), np.minimum(np.arange(n) + REACH + 1, n)
+    sums = total[high] - total[low]
+    # Surge: the window sum reaches the limit; dive: it falls below and stays there.
+    limit = max(1, min(SURGE, LEAST_SHARE * sums.max()))
+    dense = np.flatnonzero((sums + SURGE * declared >= limit) & (weights > 0))
+    keep = weights > 0
+    keep[: dense[0]] = keep[dense[-1] + 1 :] = False
     return "\n".join(line[0] for line, kept in zip(lines, keep, strict=True) if kept)
 
 
