@@ -128,6 +128,56 @@ def test_perplexity_parts_clean_from_noise(spark):
     assert sum(not r["kept"] for r in bad) >= 0.4 * len(bad)
 
 
+def shuffled(rng, text):
+    return " ".join("".join(rng.permutation(list(w))) for w in text.split(" "))
+
+
+def prose(rng, first, n, words=120):
+    """Texts of words of three to seven letters, each from 60 words of 20 letters from code point `first` on."""
+    known = ["".join(chr(first + c) for c in rng.integers(0, 20, rng.integers(3, 8))) for _ in range(60)]
+    return [" ".join(known[i] for i in rng.integers(0, 60, words)) for _ in range(n)]
+
+
+def test_shuffled_letters_beyond_latin_are_no_prose(spark):
+    rng = np.random.default_rng(1)
+    texts = prose(rng, 0x430, 90)
+    texts[60:75] = [shuffled(rng, t) for t in texts[60:75]]
+    docs = spark.createDataFrame([(i, "ru", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    kept = {r["row"]["doc_id"]: r["kept"] for r in ngram.judged(docs, labels).collect()}
+    assert all(kept[i] for i in range(60)) and not any(kept[i] for i in range(60, 75)) and all(kept[i] for i in range(75, 90))
+
+
+def test_raw_model_equals_plain_kneser_ney(spark):
+    from collections import Counter
+
+    texts = ["ёж ёжик жук", "жук 日本 日本語 abc", "ab ab ёж"]
+    grams = Counter(f"   {t} "[i : i + 4] for t in texts for i in range(len(t) + 1))
+    asked = sorted({*grams, "zzzz", "本語ёz", "本語ёж"})
+    counts = spark.createDataFrame([("x", g, n) for g, n in grams.items()], "model string, gram string, n long")
+    got = ngram.probabilities(counts, spark.createDataFrame([("x", g) for g in asked], "model string, gram string")).collect()
+    tables = {4: grams}
+    for k in (3, 2, 1):
+        tables[k] = Counter(g[1:] for g in tables[k + 1])
+
+    def p(gram):
+        if not gram:
+            return 1 / 0x110000
+        c = tables[len(gram)]
+        n = Counter(c.values())
+        y = n[1] / (n[1] + 2 * n[2])
+        off = [min(max(m - (m + 1) * y * n[m + 1] / n[m] if n[m] else 0.5 * m, 0.1 * m), 0.9 * m) for m in (1, 2, 3)]
+        same = {g: v for g, v in c.items() if g[:-1] == gram[:-1]}
+        if not same:
+            return p(gram[1:])
+        rest = sum(off[min(v, 3) - 1] for v in same.values())
+        return (max(c[gram] - off[min(c[gram], 3) - 1], 0) if c[gram] else 0) / sum(same.values()) + rest / sum(same.values()) * p(gram[1:])
+
+    assert len(got) == len(set(asked))
+    for r in got:
+        assert abs(r["logp"] - np.log2(p(r["gram"]))) < 1e-4
+
+
 def test_odd_rows_are_judged(odd_docs, labels):
     for marks in (labels, labels.limit(0)):
         rows = ngram.judged(odd_docs, marks).collect()
