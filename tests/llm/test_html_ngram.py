@@ -148,6 +148,26 @@ def test_shuffled_letters_beyond_latin_are_no_prose(spark):
     assert all(kept[i] for i in range(60)) and not any(kept[i] for i in range(60, 75)) and all(kept[i] for i in range(75, 90))
 
 
+def test_every_language_has_its_model_and_threshold(spark):
+    rng = np.random.default_rng(2)
+    rows, labels = [], []
+    for k in range(18):
+        texts = prose(rng, 0x4E00 + 20 * k, 30 if k < 17 else 5, 200 - 5 * k)
+        for j, t in enumerate([*texts, shuffled(rng, texts[0])]):
+            rows.append((1000 * k + j, f"l{k:02}", t))
+            labels += [(rows[-1][0], 1, 0)] if j < 25 else []
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    out = ngram.judged(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    by_lang = {}
+    for r in out:
+        by_lang.setdefault(r["row"]["lang"], []).append(r)
+    assert len({r["threshold"] for r in out}) == 18
+    for lang, found in by_lang.items():
+        # The language with five trusted documents takes model and threshold from all of them.
+        if lang != "l17":
+            assert [r["row"]["doc_id"] % 1000 for r in found if not r["kept"]] == [30]
+
+
 def test_raw_model_equals_plain_kneser_ney(spark):
     from collections import Counter
 
