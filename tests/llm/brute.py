@@ -94,3 +94,58 @@ def top_k(rows, k):
 
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def fill_in_middle(doc_id, text, seed=7, fim_percent=100, spm_percent=50, sentinels=("<P>", "<S>", "<M>")):
+    """(n, form, prefix_chars, middle_chars, output) by cutting a list of lines."""
+    text = text or ""
+    lines = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = sha(f"{seed}:{'' if doc_id is None else doc_id}")
+    h1, h2, h3, h4 = (int(digest[i : i + 8], 16) for i in (0, 8, 16, 24))
+    n = len(lines)
+    if not text or any(s in text for s in sentinels) or h3 % 100 >= fim_percent:
+        return n, "plain", None, None, text
+    x, y = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = "".join(lines[:x]), "".join(lines[x:y]), "".join(lines[y:])
+    p, s, m = sentinels
+    if h4 % 100 < spm_percent:
+        return n, "spm", len(prefix), len(middle), s + suffix + p + prefix + m + middle
+    return n, "psm", len(prefix), len(middle), p + prefix + s + suffix + m + middle
+
+
+def periodic_runs(words, copies=3, shortest=24):
+    """Every maximal stretch with its smallest period, by trying all lags at all places."""
+    n, found = len(words), {}
+    for q in range(1, n // copies + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(shortest, copies * q) and j > i:
+                found.setdefault((i, j + q - i), q)
+            i = max(j, i) + 1
+    return sorted((start, length, q) for (start, length), q in found.items())
+
+
+def without_runs(words, runs):
+    gone = {i for start, length, q in runs for i in range(start + q, start + length)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def repeated_words(docs, window=13):
+    """{row: places of the words that a window of a smaller doc_id covers} of [(doc_id, text)]."""
+    split = [WORD.findall(t or "") for _, t in docs]
+    firsts = {}
+    for (i, _), words in zip(docs, split):
+        for s in range(len(words) - window + 1 if i is not None else 0):
+            key = tuple(words[s : s + window])
+            firsts[key] = min(i, firsts.get(key, i))
+    out = []
+    for (i, _), words in zip(docs, split):
+        gone = set()
+        for s in range(len(words) - window + 1 if i is not None else 0):
+            if firsts[tuple(words[s : s + window])] < i:
+                gone.update(range(s, s + window))
+        out.append((words, gone))
+    return out

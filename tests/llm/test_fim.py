@@ -1,0 +1,88 @@
+"""Fill-in-middle: the boundary set against a sorted list, the output against a plain version."""
+
+import brute
+import numpy as np
+import pytest
+from conftest import pairs
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from usageledger.llm import fim, queries
+
+
+def test_every_container_kind_selects():
+    rng = np.random.RandomState(3)
+    sparse = np.sort(rng.choice(60_000, 900, replace=False))
+    dense = 65_536 + np.sort(rng.choice(65_536, 30_000, replace=False))
+    runs = 3 * 65_536 + np.concatenate([np.arange(100, 5_000), np.arange(9_000, 9_500), np.arange(65_000, 65_536)])
+    offsets = np.concatenate([sparse, dense, runs, [9 * 65_536]])
+    made = fim.BoundarySet(offsets)
+    assert [type(c) for c in made.containers] == [fim.ArrayContainer, fim.BitmapContainer, fim.RunContainer, fim.ArrayContainer]
+    assert len(made) == len(offsets)
+    assert [made.select(k) for k in range(len(offsets))] == offsets.tolist()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 300_000), unique=True, max_size=300))
+def test_select_equals_a_sorted_list(values):
+    made = fim.BoundarySet(np.array(sorted(values), dtype=np.int64))
+    assert len(made) == len(values)
+    assert [made.select(k) for k in range(len(values))] == sorted(values)
+
+
+@pytest.mark.parametrize("text", ["", "a", "\n", "a\n", "a\nb", "\n\n\nx", "é\n日本\n" * 3, "\n" * 70_000, "x" * 1_100_000 + "\ny", ("z" * 9 + "\n") * 120_000])
+def test_line_ends(text):
+    ends, at = [], 0
+    for line in text.splitlines(keepends=True) if "\r" not in text else []:
+        at += len(line)
+        ends.append(at)
+    made = fim.line_ends(text)
+    assert len(made) == len(ends)
+    for k in {0, 1, len(ends) // 2, len(ends) - 1} & set(range(len(ends))):
+        assert made.select(k) == ends[k]
+
+
+def test_equals_plain_version(spark, odd_docs, documents):
+    for docs in (odd_docs, documents):
+        made = fim.transform(docs)
+        found = made.select("row.doc_id", "row.text", "n", "form", "prefix_chars", "middle_chars", "output", fim.restored(F.col("output"), F.col("form")).alias("back")).collect()
+        assert sorted(str(r[:2]) for r in found) == sorted(str(p) for p in pairs(docs))
+        for r in found:
+            assert tuple(r[2:7]) == brute.fill_in_middle(r["doc_id"], r["text"])
+            assert r["back"] == (r["text"] or "")
+    assert {r["form"] for r in found} == {"psm", "spm"}
+
+
+def test_sentinels_in_the_text_and_rates(spark):
+    rows = [(i, t) for i in range(40) for t in ("a\nb\nc", "a <P>\nb", "<S", "x<M>", "<<P\n>\n<")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"fim_percent": 0}, {"fim_percent": 30, "spm_percent": 100, "seed": 3}, {"sentinels": ("[pre]", "[suf]", "[mid]")}):
+        made = fim.transform(docs, **options)
+        back = fim.restored(F.col("output"), F.col("form"), options.get("sentinels", (fim.PREFIX, fim.SUFFIX, fim.MIDDLE)))
+        for r in made.select("row.doc_id", "row.text", "n", "form", "prefix_chars", "middle_chars", "output", back.alias("back")).collect():
+            assert tuple(r[2:7]) == brute.fill_in_middle(r["doc_id"], r["text"], **options)
+            assert r["back"] == r["text"]
+
+
+@pytest.mark.parametrize("bad", [("a", "a", "b"), ("", "a", "b"), ("ab", "bc", "x"), ("abc", "b", "x"), ("aXa", "q", "r")])
+def test_sentinels_that_could_be_misread_are_refused(spark, bad):
+    with pytest.raises(ValueError):
+        fim.transform(spark.createDataFrame([(1, "a")], "doc_id long, text string"), sentinels=bad)
+
+
+def test_empty_table(spark, odd_docs):
+    made = fim.transform(odd_docs.limit(0))
+    assert made.collect() == [] and made.columns == ["row", "n", "form", "prefix_chars", "middle_chars", "output"]
+
+
+def test_query_is_whole(spark, documents):
+    from conftest import SMALL
+
+    found = queries.REGISTRY["op11_fill_in_middle"](spark, SMALL).collect()
+    texts = {i: t or "" for i, t in pairs(documents)}
+    assert len(found) == documents.count()
+    for r in found:
+        n, form, prefix, middle, output = brute.fill_in_middle(r["doc_id"], texts[r["doc_id"]])
+        assert (r["n"], r["form"], r["prefix_chars"], r["middle_chars"]) == (n, form, prefix, middle)
+        assert (r["output_sha256"], r["restored_sha256"]) == (brute.sha(output), brute.sha(texts[r["doc_id"]]))

@@ -17,6 +17,9 @@ COLUMNS = {
     8: ["doc_id", "n_bytes", "n_tokens", "over_limit"],
     9: ["query_id", "rank", "vec_id", "score"],
     10: ["page_id", "url", "text", "n_chars"],
+    11: ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
+    12: ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    13: ["doc_id", "n_words", "n_removed", "kept_sha256"],
 }
 
 
@@ -27,7 +30,7 @@ def test_query_equals_sql(spark, name):
 
 def test_one_query_per_operator_with_its_columns(spark):
     numbered = {int(name[2:].split("_")[0]): f for name, f in queries.REGISTRY.items()}
-    assert sorted(numbered) == list(range(1, 11))
+    assert sorted(numbered) == list(range(1, 14))
     for n, f in numbered.items():
         frame = f(spark, SMALL)
         assert set(COLUMNS[n]) <= set(frame.columns)

@@ -9,6 +9,7 @@ from usageledger.session import scratch_path
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXTS = 1_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # The white space that separates words and is stripped from lines.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -29,10 +30,19 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back: computed once, lineage cut."""
-    path = scratch_path(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    """The frame written to the shared folder and read back: computed once, lineage cut.
+
+    Nothing reads the shuffles of the write once it is done, so Spark may delete their files.
+    """
+    spark = frame.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def let(value: Column, body) -> Column:

@@ -61,4 +61,42 @@ SQL = {
         ), ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_fill_in_middle": r"""
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS x, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+        ), drawn AS (
+            SELECT *, CASE WHEN x = '' THEN []::VARCHAR[] ELSE regexp_extract_all(x, '[^\n]*\n|[^\n]+') END AS l,
+                   ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[25:32])::BIGINT AS h4
+            FROM hashed
+        ), placed AS (
+            SELECT *, len(l) AS n, least(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS c1, greatest(h1 % (len(l) + 1), h2 % (len(l) + 1)) AS c2,
+                   CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), parts AS (
+            SELECT *, array_to_string(l[1:c1], '') AS p, array_to_string(l[c1 + 1:c2], '') AS m, array_to_string(l[c2 + 1:], '') AS s FROM placed
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(p || m || s) AS restored_sha256
+        FROM parts
+    """,
+    "op13_substring_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM split)
+        ), firsts AS (SELECT g, min(doc_id) AS f FROM windows GROUP BY g),
+        covered AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM windows JOIN firsts USING (g) WHERE doc_id > f
+        ), words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM split),
+        kept AS (
+            SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS t
+            FROM words ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)
+    """,
 }

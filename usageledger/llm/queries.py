@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usageledger.llm import bpe, html, lines, neardup, ngram, packing, rules, tokencount, topk, warc
+from usageledger.llm import bpe, fim, html, lines, neardup, ngram, packing, periodic, repeats, rules, tokencount, topk, warc
 from usageledger.llm.common import table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,29 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        F.col("row.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(table(spark, sf_dir, "documents").select("doc_id", "text"), prepare=periodic.planted)
+    lines_of = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines_of), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
