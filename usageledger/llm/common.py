@@ -30,12 +30,16 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared folder and read back: computed once, lineage cut.
+    """The frame written to the shared folder and read back: computed once, lineage cut."""
+    return stored_at(frame, scratch_path(frame.sparkSession, label))
+
+
+def stored_at(frame: DataFrame, path: str) -> DataFrame:
+    """The same under a given path, which the caller may drop when nothing reads it any more.
 
     Nothing reads the shuffles of the write once it is done, so Spark may delete their files.
     """
     spark = frame.sparkSession
-    path = scratch_path(spark, label)
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:

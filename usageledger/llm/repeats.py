@@ -33,7 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usageledger.llm.common import BLANKS, small_batches, stored
+from usageledger.llm.common import BLANKS, small_batches, stored, stored_at
+from usageledger.session import scratch_path
+from usageledger.sinks.files import drop_folder
 
 WINDOW = 13
 SEED = 5
@@ -154,7 +156,8 @@ def anchors(words: np.ndarray, counts: np.ndarray, window: int, seed: int) -> tu
     begins = np.flatnonzero(np.append(True, (np.diff(chosen) != 0) | (owner[at[1:]] != owner[at[:-1]]))) if len(at) else at
     texts = owner[at[begins]]
     first = np.cumsum(counts) - counts
-    return values[chosen[begins]], texts, at[begins] - first[texts], np.diff(np.append(begins, len(at)))
+    # The smallest hashes lie at one end of all hashes; mixed again they spread over the ranges.
+    return _mixed(values[chosen[begins]]), texts, at[begins] - first[texts], np.diff(np.append(begins, len(at)))
 
 
 def window_keys(words: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -358,14 +361,18 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window:
     size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
 
-    asked = stored(_seeds(narrow, ranges, window, seed), "repeat-seeds")
+    seeds, windows = scratch_path(spark, "repeat-seeds"), scratch_path(spark, "repeat-windows")
+    asked = stored_at(_seeds(narrow, ranges, window, seed), seeds)
     found = _places(asked, stored(_answers(asked, False), "repeat-seed-answers"), _shared_seeds, "doc_id long, body long, starts binary, spans binary")
     # Repeated rows have the same anchors: any one of them will do.
     live = stored(found, "repeat-shared").dropDuplicates(["doc_id", "body"])
+    drop_folder(spark, seeds)
     once = narrow.join(live.hint("merge"), ["doc_id", "body"]).select("doc_id", "body", "text", "starts", "spans")
-    asked = stored(_extensions(once, ranges, window), "repeat-windows")
+    asked = stored_at(_extensions(once, ranges, window), windows)
     found = _places(asked, stored(_answers(asked, True), "repeat-window-answers"), _maximal(window), "doc_id long, body long, begins array<long>, ends array<long>")
-    return stored(found, "repeat-spans").dropDuplicates(["doc_id", "body"])
+    spans = stored(found, "repeat-spans").dropDuplicates(["doc_id", "body"])
+    drop_folder(spark, windows)
+    return spans
 
 
 def with_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
