@@ -12,8 +12,9 @@ from pyspark.sql import SparkSession
 from usageledger import fixed_values as fv
 from usageledger.operators.checks import ChecksFailed, require_passing
 from usageledger.operators.retention import expire_path
-from usageledger.plans import billing_run, ingest, quality, usage
+from usageledger.plans import billing_run, ingest, quality, usage, usage_index
 from usageledger.session import build_session, pin_utc, size_shuffles
+from usageledger.sinks import versions
 from usageledger.sources.tables import parse_day
 from usageledger.streaming import decode, lake
 
@@ -57,6 +58,10 @@ def _arguments() -> argparse.ArgumentParser:
     checks.add_argument("--date")
     checks.add_argument("--as-of", type=datetime.fromisoformat)
 
+    load = job("usage-load", "raw", "state", summary="bring metrics with an event index forward by a load")
+    load.add_argument("--date", help="first load day, default yesterday")
+    load.add_argument("--until", help="last load day, default the first")
+
     payload = job("ingest-subscriptions", "landed", "raw", summary="flatten and append landed records")
     payload.add_argument("--date")
     results = job("run-results", "documents", "table", summary="append run results to monitoring")
@@ -83,10 +88,10 @@ def _day(text: str | None) -> date:
 def _checks(spark: SparkSession, base: str, day: str | None, as_of: datetime | None) -> list[dict]:
     table = {
         name: spark.read.parquet(f"{base}/{name}")
-        for name in ("raw/raw_subscriptions", "staging/stg_subscriptions",
-                     "transform/fct_subscriptions", "reporting/rpt_subscription_monthly")
+        for name in ("raw/raw_subscriptions", "staging/stg_subscriptions", "reporting/rpt_subscription_monthly")
     }
-    raw, staged, facts, monthly = table.values()
+    raw, staged, monthly = table.values()
+    facts = versions.read(spark, f"{base}/transform/fct_subscriptions")
     suite = quality.quality_suite(
         raw, staged, facts, {"rpt_subscription_monthly": (monthly, "_loaded_at")}, _day(day), as_of
     )
@@ -111,6 +116,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> object:
                 spark, args.raw, args.target, args.start_date, args.end_date,
                 args.batch_days, args.dry_run, args.append,
             )
+        case "usage-load":
+            day = args.date or _day(None) - timedelta(days=1)
+            return usage_index.load_days(spark, args.raw, args.state, day, args.until)
         case "usage-recent":
             return usage.run_recent_days(
                 spark, args.raw, args.target, args.as_of, args.days, args.loaded_since

@@ -102,10 +102,10 @@ def publish_merge(
 ) -> int:
     """Replace the touched partitions by their staged contents; safe to repeat.
 
-    The table is never overwritten from a plan that reads it, so a run that dies here
-    is finished by calling this again, or by the next run: partitions that end up empty
-    go first, and all their rows are updated keys, so until the write the high-water
-    mark stays where it was and the same updates are merged once more.
+    The table is never overwritten from a plan that reads it, so a run that dies here is
+    finished by calling this again. Partitions move into place one after another, so a
+    high-water mark read from the rows may be past updates that have not arrived: keep the
+    mark elsewhere, or use `sinks.versions`, where a merge is whole or absent.
     """
     result = spark.read.parquet(staged.result)
     filled = {r[0] for r in result.select(partition).distinct().collect()}

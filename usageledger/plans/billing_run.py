@@ -13,21 +13,15 @@ from usageledger.operators.dedup import duplicated
 from usageledger.operators.evolve import append_evolving
 from usageledger.operators.history import current_versions, open_history, snapshot_moves
 from usageledger.operators.lookup import hot_keys
-from usageledger.operators.merge import merged_view, newer_rows, publish_merge, stage_merge
 from usageledger.plans import billing, quality, reports
 from usageledger.session import pin_utc, scratch_path
+from usageledger.sinks import versions
 from usageledger.sinks.files import drop_folder, drop_partitions, exists, partition_folders, rebuild
 
 FACT_CLUSTER = ["account_id", "subscription_status"]
 FACT_MONTH = "started_month"
 
 
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    if not exists(spark, path):
-        return None
-    return spark.read.option("mergeSchema", True).parquet(path)
-
-
 def finished_runs(spark: SparkSession, path: str) -> list[int]:
     """The runs whose open versions are kept, by the names of their complete folders."""
     return sorted(int(v) for v in partition_folders(spark, f"{path}/current", "run", complete=True))
@@ -105,6 +99,10 @@ def moved_facts(facts: DataFrame, history: DataFrame) -> DataFrame:
     return facts.join(changed, "account_id").withColumn("account_sk", F.col("_current")).select(*facts.columns)
 
 
+def _newest_load(rows: DataFrame) -> int | None:
+    return rows.agg(F.unix_micros(F.max("_loaded_at"))).first()[0]
+
+
 def run_facts(
     spark: SparkSession,
     staged: DataFrame,
@@ -113,32 +111,36 @@ def run_facts(
     full_refresh: bool = False,
     gate: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
-    """Merge new staged subscriptions into the month-partitioned facts.
+    """Merge new staged subscriptions into the month-partitioned facts, as their next version.
 
     Facts of accounts that changed move to the account's current version in the same
-    merge. `gate` gets the facts as they will be and may raise: the table is then as
-    it was.
+    merge, and only files that hold a merged subscription are written anew. The newest load
+    that was merged is kept with the version, so a run that stops anywhere before it publishes
+    is simply done again. `gate` gets the facts as they will be and may raise: the table is
+    then as it was.
     """
-    existing = None if full_refresh else read_if_there(spark, path)
-    fresh = newer_rows(staged, existing)
+    base = versions.version(spark, path)
+    existing = None if full_refresh else versions.read(spark, path, base)
+    mark = None
+    if existing is not None:
+        # A table from before versions has no mark but its rows.
+        mark = base.mark if base.number else _newest_load(existing)
+    fresh = staged if mark is None else staged.where(F.col("_loaded_at") > F.timestamp_micros(F.lit(mark)))
+    reached = max(filter(None, (mark, _newest_load(staged))), default=None)
     facts = _with_month(billing.fct_subscriptions(fresh, history, hot_keys(fresh, "account_id")))
     if existing is None:
-        kept = scratch_path(spark, "facts")
-        facts.write.parquet(kept)
-        facts = spark.read.parquet(kept)
-        if gate:
-            gate(facts)
-        rebuild(facts, path, FACT_MONTH, FACT_CLUSTER)
-        drop_folder(spark, kept)
+        # Nothing of the old files stays: all of them are replaced by the staged rows.
+        merge = versions.stage_merge(spark, path, versions.Version(base.number), facts, "subscription_id")
     else:
         moved = moved_facts(existing, history).join(fresh.select("subscription_id"), "subscription_id", "left_anti")
-        updates = append_evolving(facts, moved)
-        merge = stage_merge(spark, path, updates, "subscription_id", FACT_MONTH, existing.schema)
-        if gate:
-            gate(merged_view(spark, existing, merge, FACT_MONTH))
-        publish_merge(spark, merge, path, FACT_MONTH, FACT_CLUSTER)
-        drop_folder(spark, merge.result)
-    return spark.read.option("mergeSchema", True).parquet(path)
+        merge = versions.stage_merge(spark, path, base, append_evolving(facts, moved), "subscription_id")
+    if gate:
+        gate(versions.merged_view(spark, path, merge))
+    versions.publish_merge(spark, path, merge, FACT_MONTH, FACT_CLUSTER, reached)
+    drop_folder(spark, merge.result)
+    # Without files of older versions the folder can be read as plain Parquet too.
+    versions.clean(spark, path)
+    return versions.read(spark, path)
 
 
 def run_billing(

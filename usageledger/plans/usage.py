@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
 from typing import Any
 
@@ -148,25 +150,40 @@ def recompute_days(
     timestamps_final: bool = False,
     last: str | date | None = None,
     source: str = fv.BATCH_SOURCE,
+    affected: DataFrame | None = None,
 ) -> DataFrame:
     """Full metrics of every event day that an event loaded on `load_day` (to `last`) belongs to.
 
     Distinct counts of two load days cannot be added up, so each affected event day is
     computed again from all of its events. An event whose timestamp was corrected
     affects the day it left as well. Where copies of an event never differ in their
-    timestamp, say so with `timestamps_final`: other days are then not looked at.
+    timestamp, say so with `timestamps_final`: other days are then not looked at. `affected`
+    holds the days where they are known already.
     """
     dated = _needed(events).withColumn("event_date", millis_to_date("event_timestamp"))
-    # One row per calendar day, however large the table.
-    affected = F.broadcast(affected_days(events, load_day, last))
-    latest = inside = dated.join(affected, "event_date", "left_semi")
+    if affected is None:
+        affected = affected_days(events, load_day, last)
+    # One row per calendar day, however large the table. Events without a time have a day too: NULL.
+    days = F.broadcast(affected.select(F.col("event_date").alias("_day")))
+    touched = F.col("event_date").eqNullSafe(F.col("_day"))
+    latest = inside = dated.join(days, touched, "left_semi")
     if timestamps_final:
         latest = latest_events(inside)
     else:
-        latest = latest_inside(inside, dated.join(affected, "event_date", "left_anti"))
+        latest = latest_inside(inside, dated.join(days, touched, "left_anti"))
     return _stamped(daily_metrics(clean_events(latest)), source)
 
 
+@contextmanager
+def _kept_days(days: DataFrame) -> Iterator[DataFrame]:
+    """The days, found once."""
+    spark = days.sparkSession
+    kept = scratch_path(spark, "usage-touched")
+    days.write.parquet(kept)
+    yield spark.read.schema(days.schema).parquet(kept)
+    drop_folder(spark, kept)
+
+
 def _replace_days(spark: SparkSession, metrics: DataFrame, path: str, touched: DataFrame) -> int:
     """Write the metrics and drop touched days that have no events any more.
 
@@ -230,7 +247,9 @@ def run_usage_daily(
     events = _raw_events(spark, raw_path, loaded_since)
     if not recompute:
         return write_partitioned(usage_daily(events, day), target_path, "event_date", CLUSTER)
-    return _replace_days(spark, recompute_days(events, day, timestamps_final), target_path, affected_days(events, day))
+    with _kept_days(affected_days(events, day)) as touched:
+        metrics = recompute_days(events, day, timestamps_final, affected=touched)
+        return _replace_days(spark, metrics, target_path, touched)
 
 
 def run_usage_backfill(
@@ -255,10 +274,11 @@ def run_usage_backfill(
     start, end = day_range(first, last)
     events = _raw_events(spark, raw_path)
     if recompute and not append:
-        metrics = recompute_days(events, start, last=end, source=fv.BACKFILL_SOURCE)
-        if dry_run:
-            return preview_write(metrics)
-        return {"rows": _replace_days(spark, metrics, target_path, affected_days(events, start, end))}
+        with _kept_days(affected_days(events, start, end)) as touched:
+            metrics = recompute_days(events, start, last=end, source=fv.BACKFILL_SOURCE, affected=touched)
+            if dry_run:
+                return preview_write(metrics)
+            return {"rows": _replace_days(spark, metrics, target_path, touched)}
     metrics = usage_backfill(events, start, end, batch_days)
     if dry_run:
         return preview_write(metrics)

@@ -6,6 +6,8 @@ older copy so that cleaning, deduplication and the checks have something to find
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +85,34 @@ def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LOADS = 5
+
+
+def event_number() -> Column:
+    """The source event's number; both copies of an event have it."""
+    return F.floor(F.col("_kafka_offset") / 2)
+
+
+def usage_loads(spark: SparkSession, sf_dir: str, first: date) -> DataFrame:
+    """The events as LOADS daily loads, foldered by load date.
+
+    An event in fifty has no time. The older copy may come in a later load than the other; then
+    it counts. The last load brings every fortieth event again, moved 40 days back.
+    """
+    n, older = event_number(), F.col("event_type") == "stale"
+    load = F.pmod(F.when(older, F.floor(n / 20)).otherwise(n), F.lit(LOADS)).cast("int")
+    events = usage_events(spark, sf_dir).withColumns({
+        "event_timestamp": F.when(n % 50 == 7, None).otherwise(F.col("event_timestamp")),
+        "load_date": F.date_add(F.lit(first), load),
+    })
+    moved = events.where((n % 40 == 0) & ~older).withColumns({
+        "event_timestamp": F.col("event_timestamp") - 40 * 86_400_000,
+        "load_date": F.date_add(F.lit(first), LOADS - 1),
+        "_kafka_offset": F.col("_kafka_offset") + 1_000_000_000,
+    })
+    return events.unionByName(moved).withColumn("_loaded_at", F.col("load_date").cast("timestamp"))
+
+
 STATUS_BY_SLOT = [
     "ACTIVE ", "active", "incomplete", " Unpaid", "Active", " Cancelled", "trialing", "past_due",
 ]

@@ -358,6 +358,27 @@ SQL: dict[str, str] = {
     SELECT CAST(make_timestamp(event_timestamp * 1000) AS DATE) FROM usage_events WHERE event_id IN (
       SELECT event_id FROM usage_events WHERE CAST(_loaded_at AS DATE) BETWEEN DATE '2024-01-15' AND DATE '2024-01-18'))
   GROUP BY {GRAIN}""",
+    "usage_null_times": f"""WITH {EVENTS.replace("usage_events AS", "source_events AS")}, usage_events AS (
+    SELECT * REPLACE (CASE WHEN _kafka_offset // 2 % 3 <> 1 THEN event_timestamp END AS event_timestamp)
+    FROM source_events WHERE CAST(_loaded_at AS DATE) <= DATE '2024-01-16'
+  ){LATEST_EVENTS[len(EVENTS):]}, touched AS (
+    SELECT DISTINCT CAST(make_timestamp(event_timestamp * 1000) AS DATE) AS day FROM usage_events WHERE event_id IN (
+      SELECT event_id FROM usage_events WHERE CAST(_loaded_at AS DATE) >= DATE '2024-01-15'))
+  SELECT {GRAIN}, {METRICS}, 'spark_batch' AS _source
+  FROM clean_events WHERE EXISTS (SELECT 1 FROM touched WHERE day IS NOT DISTINCT FROM event_date) GROUP BY {GRAIN}""",
+    "usage_incremental_loads": f"""WITH {EVENTS.replace("usage_events AS", "source_events AS")}, numbered AS (
+    SELECT *, _kafka_offset // 2 AS n FROM source_events
+  ), usage_events AS (
+    SELECT * EXCLUDE (n) REPLACE (
+      CASE WHEN n % 50 <> 7 THEN event_timestamp END AS event_timestamp,
+      TIMESTAMP '2024-03-01' + to_days(CAST(CASE WHEN event_type = 'stale' THEN n // 20 ELSE n END % 5 AS INTEGER)) AS _loaded_at)
+    FROM numbered
+    UNION ALL SELECT * EXCLUDE (n) REPLACE (
+      CASE WHEN n % 50 <> 7 THEN event_timestamp - 3456000000 END AS event_timestamp,
+      _kafka_offset + 1000000000 AS _kafka_offset, TIMESTAMP '2024-03-05' AS _loaded_at)
+    FROM numbered WHERE n % 40 = 0 AND event_type <> 'stale'
+  ){LATEST_EVENTS[len(EVENTS):].replace("_loaded_at DESC", "_loaded_at DESC, _kafka_partition DESC, _kafka_offset DESC")}
+  SELECT {GRAIN}, {METRICS}, 'spark_batch' AS _source FROM clean_events GROUP BY {GRAIN}""",
     "usage_dry_run": f"SELECT count(*) AS row_count, CAST(least(5, count(*)) AS INTEGER) AS shown FROM ({_backfill(1)})",
     "usage_appended_batches": f"SELECT * FROM ({_backfill(7)}) UNION ALL SELECT * FROM ({_backfill(7)})",
     "usage_view": f"""WITH {EVENTS} SELECT account_id, count(*) AS event_count, max(event_timestamp) AS last_event_ts
@@ -368,6 +389,8 @@ SQL: dict[str, str] = {
     SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS BIGINT) AS key FROM orders)
   LEFT JOIN customer ON key = c_custkey""",
     "merge_resumed": MERGED,
+    "merge_file_level": MERGED,
+    "merge_stopped_midway": CHANGED_FACTS,
     "snapshot_resumed": APPLIED,
     "ingest_type_drift": """SELECT 'sub_' || o_orderkey AS id, CASE o_orderkey % 3
     WHEN 1 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)

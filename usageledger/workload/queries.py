@@ -28,9 +28,10 @@ from usageledger.operators.history import apply_snapshot, current_versions, hist
 from usageledger.operators.lookup import hot_keys, lookup, orphan_keys
 from usageledger.operators.merge import merge_upsert, newer_rows, publish_merge, stage_merge
 from usageledger.operators.retention import expire_path, unexpired
-from usageledger.plans import billing, ingest, quality, reports, usage
-from usageledger.plans.billing_run import run_facts, run_snapshot
+from usageledger.plans import billing, ingest, quality, reports, usage, usage_index
+from usageledger.plans.billing_run import FACT_MONTH, run_facts, run_snapshot
 from usageledger.session import scratch_path
+from usageledger.sinks import versions
 from usageledger.sinks.files import as_view, drop_partitions, rebuild, write_partitioned
 from usageledger.sources.landed import read_csv
 from usageledger.sources.tables import loaded_between
@@ -153,6 +154,32 @@ def usage_daily_then_backfill(spark, sf_dir):
     return spark.read.parquet(f"{path}/daily").drop(*VOLATILE)
 
 
+@query
+def usage_null_times(spark, sf_dir):
+    """Two daily runs over loads in which a third of the events have no time: they share the NULL day."""
+    path, later = scratch_path(spark, "usage-null-times"), USAGE_DAY + timedelta(days=1)
+    events = domain.usage_events(spark, sf_dir).withColumns({
+        "event_timestamp": F.when(domain.event_number() % 3 == 1, None).otherwise(F.col("event_timestamp")),
+        "load_date": F.to_date("_loaded_at"),
+    })
+    write_partitioned(events.where(F.col("load_date") <= F.lit(USAGE_DAY)), f"{path}/raw", "load_date", ["event_id"])
+    usage.run_usage_daily(spark, f"{path}/raw", f"{path}/daily", USAGE_DAY)
+    write_partitioned(events.where(F.col("load_date") == F.lit(later)), f"{path}/raw", "load_date", ["event_id"])
+    usage.run_usage_daily(spark, f"{path}/raw", f"{path}/daily", later)
+    return spark.read.parquet(f"{path}/daily").drop(*VOLATILE)
+
+
+@query
+def usage_incremental_loads(spark, sf_dir):
+    """Five loads through the event index: copies in later loads, events without a time, moved events."""
+    path = scratch_path(spark, "usage-index")
+    first = date(2024, 3, 1)
+    write_partitioned(domain.usage_loads(spark, sf_dir, first), f"{path}/raw", "load_date", ["event_id"])
+    for n in range(domain.LOADS):
+        usage_index.load_days(spark, f"{path}/raw", f"{path}/state", first + timedelta(days=n))
+    return usage_index.usage_metrics(spark, f"{path}/state")
+
+
 @query
 def usage_dry_run(spark, sf_dir):
     """What the range job would write, counted without writing."""
@@ -351,6 +378,19 @@ def merge_resumed(spark, sf_dir):
     return spark.read.parquet(path).select(*MERGE_OUTPUT)
 
 
+@query
+def merge_file_level(spark, sf_dir):
+    """The same merge by files: only those that hold an updated subscription are written anew."""
+    path = scratch_path(spark, "fct-by-file")
+    target, updates = _merge_sides(spark, sf_dir)
+    cluster = ["account_id", "subscription_status"]
+    files = versions.add_files(target, path, "started_month", cluster)
+    base = versions.publish(spark, path, files, target.schema)
+    staged = versions.stage_merge(spark, path, base, updates, "subscription_id")
+    versions.publish_merge(spark, path, staged, "started_month", cluster)
+    return versions.read(spark, path).select(*MERGE_OUTPUT)
+
+
 def _facts_after_changes(spark, sf_dir, full_refresh):
     path = scratch_path(spark, "fct-two-runs")
     staged, history = _staged(spark, sf_dir), domain.account_history(spark, sf_dir)
@@ -372,6 +412,20 @@ def facts_full_refresh(spark, sf_dir):
     return _facts_after_changes(spark, sf_dir, full_refresh=True)
 
 
+@query
+def merge_stopped_midway(spark, sf_dir):
+    """The second run again, after one that stopped when one month of its merge was in its place."""
+    path = scratch_path(spark, "fct-stopped")
+    staged, history = _staged(spark, sf_dir), domain.account_history(spark, sf_dir)
+    run_facts(spark, staged.where(F.col("_loaded_at") <= moment(LOADED_SPLIT)), history, path)
+    later = apply_snapshot(history, domain.changed_accounts(spark, sf_dir), "account_id", AS_OF)
+    fresh = billing.fct_subscriptions(staged.where(F.col("_loaded_at") > moment(LOADED_SPLIT)), later)
+    month = F.trunc("started_at", "month")
+    versions.add_files(fresh.withColumn(FACT_MONTH, month).where(month == F.lit(date(2000, 2, 1))), path, FACT_MONTH)
+    facts = run_facts(spark, staged, later, path)
+    return facts.select("subscription_id", "account_id", "account_sk", "subscription_status", "started_at")
+
+
 @query
 def lookup_hot_key(spark, sf_dir):
     """Orders of which a third share one customer, joined through the split path."""
