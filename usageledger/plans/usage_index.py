@@ -133,9 +133,10 @@ def load_days(spark: SparkSession, raw_path: str, state: str, first: str | date,
         old_days = _days(mine)
         held = versions.read(spark, path["latest"], base["latest"]).where(_in_days(old_days))
         held = held.join(mine.select("event_id"), "event_id", "left_semi")
-        # The same order decides between the held copy and the arriving one as within a load.
-        both = came.withColumn("_arrived", F.lit(1)).unionByName(held.withColumn("_arrived", F.lit(0)), allowMissingColumns=True)
-        won = _stored(latest_events(both).where("_arrived = 1").drop("_arrived"), "usage-won", scratch)
+        # The same order decides between the held copy and the arriving one as within a load;
+        # of copies that are equal in everything the held one stays.
+        both = came.withColumn("_held", F.lit(0)).unionByName(held.withColumn("_held", F.lit(1)), allowMissingColumns=True)
+        won = _stored(latest_events(both).where("_held = 0").drop("_held"), "usage-won", scratch)
         replaced = mine.join(won.select("event_id"), "event_id", "left_semi")
     left = _days(replaced)
     moved = won.join(replaced.select("event_id"), "event_id", "left_semi")
