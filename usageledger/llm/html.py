@@ -1,14 +1,15 @@
 """Main text of web pages by the distribution of text over lines.
 
 Markup is stripped into lines (one per block element). Each line weighs as many characters as it
-holds outside links; lines of menus, forms, notices, comments and the like weigh nothing. Weights
-are summed over sliding windows; a line of a declared main part has SURGE added to its sum, which
+holds outside links; lines of menus, forms, notices, comments and the like weigh nothing, but a name
+never takes away the part that holds most of a page's text. Weights are summed over sliding windows; a line of a declared main part has SURGE added to its sum, which
 takes nothing from the lines outside. Everything between the first surge of the sums and the last dive is kept. The surge limit
 is a fixed number of characters, less on pages of few words, so no long block can raise it.
 
 Defined cases: a NULL or empty page, or one without text, gives the empty text. Unclosed and
 mismatched tags close at the end of what encloses them. Repeated rows are extracted row by row;
-NULL ids and addresses pass through; other columns are ignored.
+NULL ids and addresses pass through; other columns are ignored. An empty table gives no rows; a
+very long page is read in one pass.
 """
 
 from __future__ import annotations
@@ -53,30 +54,40 @@ _JUNK_NAMES = frozenset(
     "newsletter subscribe subscription signup login comment comments commentlist disqus respond reply replies share sharing social "
     "related recommended widget widgets toolbar pagination pager copyright complementary contentinfo search form".split()
 )
+# Reader comments stay out however long they are.
+_COMMENT_NAMES = frozenset("comments commentlist comment-list comments-area disqus disqus_thread respond replies".split())
 # Of closed elements only these are tracked; everything else is inline or cannot hold blocks wrongly.
 _NESTING = _BLOCKS - _VOID - frozenset(("p", "li", "dd", "dt", "option"))
 
 
-def _names(attrs: str) -> set[str]:
+def _names(attrs: str) -> tuple[set[str], set[str]]:
+    """The whole names of an element, and the words they consist of."""
     if "=" not in attrs:
-        return set()
+        return set(), set()
     found = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs)).lower()
-    return set(_WORD.findall(found)) | {found}
+    return set(found.split()), set(_WORD.findall(found))
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters in links, in the main part, in a skipped part) of each line with text."""
-    out: list[tuple[str, int, bool, bool]] = []
+    """(text, characters in links, in the main part, in a skipped part) of each line with text.
+
+    A name of furniture only marks its element. The mark does not count where the element holds
+    most of the page's text or all of its declared main part, as a wrapper does whose name merely
+    speaks of a sidebar; reader comments never count as the page's text.
+    """
+    out: list[tuple[str, int, bool, bool, tuple[int, ...]]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []
-    main = junk = False
-    in_link = 0
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []
+    main = skipped = False
+    marks: tuple[int, ...] = ()
+    comments: set[int] = set()
+    made = in_link = 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append((text, min(len(text), len(" ".join(html.unescape("".join(linked)).split()))), main, junk))
+            out.append((text, min(len(text), len(" ".join(html.unescape("".join(linked)).split()))), main, skipped, marks))
         parts.clear()
         linked.clear()
 
@@ -98,15 +109,16 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             in_link = 0 if found["close"] else 1
         elif tag == "br":
             take(" ")
+        names, words = (set(), set()) if found["close"] else _names(found["attrs"])
         if tag not in _BLOCKS:
             # Inline elements break no line; a marked one hides its text like a block would.
-            if tag in _VOID or tag == "a" or not (found["close"] or _names(found["attrs"]) & _JUNK_NAMES):
+            if tag in _VOID or tag == "a" or not (found["close"] or words & _JUNK_NAMES):
                 continue
             if found["close"]:
-                if any(name == tag for name, _, _ in stack):
+                if any(entry[0] == tag for entry in stack):
                     flush()
                     while stack:
-                        name, main, junk = stack.pop()
+                        name, main, skipped, marks = stack.pop()
                         if name == tag:
                             break
                 continue
@@ -114,26 +126,46 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
         if tag in _VOID:
             continue
         if found["close"]:
-            if any(name == tag for name, _, _ in stack):
+            if any(entry[0] == tag for entry in stack):
                 while stack:
-                    name, main, junk = stack.pop()
+                    name, main, skipped, marks = stack.pop()
                     if name == tag:
                         break
             continue
         if found["attrs"].rstrip().endswith("/"):
             continue
-        names = _names(found["attrs"])
-        starts_main = tag in _MAIN_TAGS or bool(names & _MAIN_NAMES)
-        skipped = tag in _SKIPPED or (tag == "header" and not main)
-        marked = tag not in ("html", "body", "article", "main") and bool(names & _JUNK_NAMES)
+        marked = tag not in ("html", "body", "article", "main") and bool(words & _JUNK_NAMES)
         if tag in _NESTING or tag not in _BLOCKS or marked:
-            stack.append((tag, main, junk))
-            main = main or (starts_main and not junk)
-            junk = junk or skipped or marked
+            stack.append((tag, main, skipped, marks))
+            main = main or ((tag in _MAIN_TAGS or bool((names | words) & _MAIN_NAMES)) and not skipped)
+            skipped = skipped or tag in _SKIPPED or (tag == "header" and not main)
+            if marked:
+                marks = (*marks, made)
+                if names & _COMMENT_NAMES:
+                    comments.add(made)
+                made += 1
     if at < len(page):
         take(page[at:])
     flush()
-    return out
+    return _settled(out, made, comments)
+
+
+def _settled(
+    lines: list[tuple[str, int, bool, bool, tuple[int, ...]]], made: int, comments: set[int]
+) -> list[tuple[str, int, bool, bool]]:
+    """The lines, with the marks that count as skipped parts."""
+    weight, mains = [0] * made, [0] * made
+    total = declared = 0
+    for text, links, main, skipped, marks in lines:
+        if skipped or not comments.isdisjoint(marks):
+            continue
+        total += max(1, len(text) - links)
+        declared += main
+        for m in marks:
+            weight[m] += max(1, len(text) - links)
+            mains[m] += main
+    counts = {m for m in range(made) if m in comments or mains[m] < declared or (not mains[m] and 2 * weight[m] <= total)}
+    return [(text, links, main, skipped or not counts.isdisjoint(marks)) for text, links, main, skipped, marks in lines]
 
 
 def main_text(page: str) -> str:

@@ -75,7 +75,7 @@ def _fingerprint(hashes: np.ndarray) -> int:
 
 
 def _profiles(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, cid, sig) of (doc_id, text); cid is the fingerprint of the set."""
+    """(doc_id, body, n_shingles, cid, sig) of (doc_id, text, body); cid is the fingerprint of the set."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,11 +87,11 @@ def _profiles(docs: DataFrame, size: int) -> DataFrame:
                 cids.append(_fingerprint(found) if len(found) else None)
                 sigs.append(signature(found) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(counts, pa.int64()), pa.array(cids, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))],
-                ["doc_id", "n_shingles", "cid", "sig"],
+                [part.column(0), part.column(2), pa.array(counts, pa.int64()), pa.array(cids, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))],
+                ["doc_id", "body", "n_shingles", "cid", "sig"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, cid long, sig array<int>")
+    return docs.mapInArrow(run, f"doc_id {kind}, body long, n_shingles long, cid long, sig array<int>")
 
 
 def _tables(classes: DataFrame) -> DataFrame:
@@ -244,14 +244,39 @@ def _open_links(classes: DataFrame, sets: DataFrame, clusters: DataFrame, labels
     return outside.unionByName(inside).groupBy("k", "p", "q").applyInArrow(search, "a long, b long")
 
 
+def one_of_each(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+    """The documents, same columns, with one row of every component of near duplicates.
+
+    Rows are told apart by id and text: of a component the smallest id stays, and where that id
+    has several such texts or rows, one of them. Texts without words all stay. Rows with a NULL id
+    take part only in that equal ones become one.
+    """
+    found = stored(near_duplicates(docs, percent, doc_id, text, size).where(F.col("cid").isNotNull()), "near-found")
+    first = found.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("component_id").agg(F.min("body").alias("body"))
+    staying = first.select(F.col("component_id").alias("doc_id"), "body").hint("merge")
+    gone = found.where(F.col("doc_id").isNotNull()).join(staying, ["doc_id", "body"], "left_anti").select("doc_id", "body").distinct()
+    often = found.groupBy("doc_id", "body").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id", "body")
+    listed = gone.select("*", F.lit(True).alias("gone")).unionByName(often.select("*", F.lit(False).alias("gone")))
+    marks = stored(listed.groupBy(F.col("doc_id").alias("mark_id"), F.col("body").alias("mark_body")).agg(F.bool_or("gone").alias("gone")), "near-gone")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[doc_id].alias("own_id"), F.xxhash64(docs[text]).alias("own_body"))
+    same = F.col("own_id").eqNullSafe(F.col("mark_id")) & (F.col("own_body") == F.col("mark_body"))
+    # Marks grow with the corpus: one merge join at every size, never a broadcast.
+    marked = rows.join(marks.hint("merge"), same, "left")
+    unmarked = marked.where(F.col("mark_body").isNull()).select("row.*")
+    if marks.where(~F.col("gone")).isEmpty():
+        return unmarked
+    repeated = marked.where(~F.col("gone")).groupBy("own_id", "own_body").agg(F.min("row").alias("row"))
+    return unmarked.unionByName(repeated.select("row.*"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, cid, component_id, kept) of every document.
+    """(doc_id, body, n_shingles, cid, component_id, kept) of every document; body is a hash of its text.
 
     Documents are linked if 100 x intersection >= percent x union of their sets; component_id
     is the smallest id of the component. cid tells the classes of equal sets apart.
     """
     small_batches(docs.sparkSession)
-    narrow = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
+    narrow = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"), F.xxhash64(docs[text]).alias("body"))
     base = stored(_profiles(narrow, size), "near-profiles")
     known = base.where(F.col("cid").isNotNull() & F.col("doc_id").isNotNull())
     classes = stored(known.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")), "near-classes")
@@ -270,8 +295,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, doc_id: str = "doc_id",
     # Classes without a link to another still hold equal documents.
     alone = classes.join(found, "cid", "left_anti").select("cid", F.col("rep").alias("component_id"))
     of_class = stored(found.unionByName(alone), "near-classes-named")
-    joined = base.select("doc_id", "n_shingles", "cid").join(of_class, "cid", "left")
+    joined = base.select("doc_id", "body", "n_shingles", "cid").join(of_class, "cid", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return joined.select(
-        "doc_id", "n_shingles", "cid", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
+        "doc_id", "body", "n_shingles", "cid", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )

@@ -6,8 +6,9 @@ discounted shares and context weights are tables keyed by (model, gram) and (mod
 the orders are interpolated by joins on them. Documents are dealt into chunks; each chunk asks for
 its distinct grams once, the requests are joined with the probabilities, and what comes back meets
 the chunk's texts again. Every table grows with the text, and none is collected or broadcast but
-those with one row per language. A document is rejected if its perplexity is above its language's
-threshold, which comes from quantiles of the held-out trusted documents' perplexities.
+those with one row per language. A document is rejected if its rate, in bits a symbol, is above its
+language's limit: the QUANTILE of the held-out trusted documents' rates and half the distance
+between their quartiles above it.
 
 Defined cases: a NULL or empty text has no perplexity and is not kept. Every language with
 MIN_TRUSTED trusted documents has its own model and threshold, however many languages there are;
@@ -15,16 +16,11 @@ the others, and NULL, take both from all trusted text together. A document label
 with its lowest quality and highest toxicity. Without held-out trusted documents nothing can be
 judged and every text that is not empty is kept. Repeated rows are judged row by row, and in
 training they count as often as they occur. Extra columns are carried along and cannot clash.
-
-train() builds the model of 32 character classes that judged() used before; nothing but its test,
-which holds the discounts against a plain version, calls it.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +30,6 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from usageledger.llm.common import small_batches, stored
 
-CLASSES = 32
-ORDER = 4
 # Raw grams of the classifier: so many characters, unfolded.
 LENGTH = 4
 CODE_POINTS = 0x110000
@@ -45,50 +39,13 @@ _MIX = np.random.RandomState(7).randint(1, 2**63 - 1, LENGTH, dtype=np.int64).as
 # Languages with so many trusted documents have their own models; the others share one.
 MIN_TRUSTED = 20
 POOLED = ""
-# The threshold lies this many interquartile ranges above the upper quartile.
-SPREAD = 16.0
+# The share of held-out trusted documents whose rate lies below their language's limit.
+QUANTILE = 0.99
 # A text is judged as if it went on for so many average characters: short ones vary more.
 PRIOR_CHARS = 100
 # A task adds up the grams of so many characters at a time.
 FLUSH_CHARS = 2_000_000
 
-SPACE, UPPER, LETTER, DIGIT, STOP, SIGN = 0, 27, 28, 29, 30, 31
-
-
-@lru_cache(maxsize=1)
-def _classes() -> np.ndarray:
-    """Class of every code point below 0x2100; letters a-z are classes 1 to 26."""
-    out = np.full(0x2100, SIGN, dtype=np.uint8)
-    for point in range(len(out)):
-        char = chr(point)
-        base = unicodedata.normalize("NFKD", char)[0]
-        kind = unicodedata.category(char)
-        if char.isspace():
-            out[point] = SPACE
-        elif "a" <= base <= "z":
-            out[point] = ord(base) - 96
-        elif kind in ("Lu", "Lt"):
-            out[point] = UPPER
-        elif kind[0] in "LM":
-            out[point] = LETTER
-        elif kind[0] == "N":
-            out[point] = DIGIT
-        elif char in ".,;:'\"?-()‘’“”–—":
-            out[point] = STOP
-    return out
-
-
-def grams(text: str) -> np.ndarray:
-    """The code of the 4-gram that ends at each character, and one at the end of the text."""
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
-    table = _classes()
-    classes = np.full(len(points) + ORDER, SPACE, dtype=np.int32)
-    classes[ORDER - 1 : -1] = np.where(points < len(table), table[np.minimum(points, len(table) - 1)], LETTER)
-    codes = classes[: len(classes) - ORDER + 1].copy()
-    for k in range(1, ORDER):
-        codes = codes * CLASSES + classes[k : len(classes) - ORDER + 1 + k]
-    return codes
-
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """doc_id of the documents labelled good and not toxic, once each."""
@@ -97,35 +54,6 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return both.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("doc_id")
 
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """(lang, gram, n) over (lang, text); every task adds its texts up before the shuffle."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {}
-        chars = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, codes in held.items():
-                sums = np.bincount(np.concatenate(codes))
-                seen = np.flatnonzero(sums)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(seen), pa.string()), pa.array(seen, pa.int32()), pa.array(sums[seen], pa.int64())], ["lang", "gram", "n"]
-                )
-            held.clear()
-
-        for part in parts:
-            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                held.setdefault(lang or POOLED, []).append(grams(text))
-                chars += len(text)
-                if chars >= FLUSH_CHARS:
-                    yield from flush()
-                    chars = 0
-        yield from flush()
-
-    counted = texts.mapInArrow(run, "lang string, gram int, n long")
-    return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
 def _discounted(counts: DataFrame, ctx: Column) -> tuple[DataFrame, DataFrame]:
     """Modified Kneser-Ney of one order: (lang, gram, share) and (lang, ctx, weight)."""
     keyed = counts.withColumn("ctx", ctx)
@@ -150,45 +78,6 @@ def _discounted(counts: DataFrame, ctx: Column) -> tuple[DataFrame, DataFrame]:
     return shares, contexts.select("lang", "ctx", weight.alias("weight"))
 
 
-def _continuations(counts: DataFrame, order: int) -> DataFrame:
-    """In how many contexts of one more symbol each gram of `order` symbols occurs."""
-    return counts.groupBy("lang", F.col("gram").bitwiseAND(CLASSES**order - 1).alias("gram")).agg(F.count("*").alias("n"))
-
-
-def train(texts: DataFrame) -> dict[str, np.ndarray]:
-    """Log2 probabilities of all 4-grams by language, from (lang, text) of trusted documents."""
-    own = stored(count_grams(texts), "grams")
-    per_lang = own.groupBy("lang").agg(F.sum("n").alias("chars"))
-    named = per_lang.where(F.col("lang") != POOLED).orderBy(F.desc("chars"), "lang")
-    models = [r["lang"] for r in named.collect()]
-    pooled = own.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "gram", "n")
-    counts = stored(own.where(F.col("lang").isin(models)).unionByName(pooled), "gram-counts")
-    tables: list[tuple[DataFrame, DataFrame]] = []
-    for order in range(ORDER, 0, -1):
-        tables.append(_discounted(counts, F.shiftright("gram", 5)))
-        if order > 1:
-            counts = stored(_continuations(counts, order - 1), "gram-continuations")
-    out: dict[str, np.ndarray] = {}
-    names = [POOLED, *models]
-    number = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("lang")).cast("int") - 1
-    # At most CLASSES^k rows per language and order come back, whatever the corpus.
-    found = [tuple(f.withColumn("lang", number).toPandas() for f in pair) for pair in reversed(tables)]
-    for code, lang in enumerate(names):
-        lower = np.full(1, 1.0 / CLASSES)
-        for k, (shares, weights) in enumerate(found, 1):
-            share = np.zeros(CLASSES**k)
-            mine = shares[shares["lang"] == code]
-            share[mine["gram"].to_numpy()] = mine["share"].to_numpy()
-            weight = np.ones(CLASSES ** (k - 1))
-            mine = weights[weights["lang"] == code]
-            weight[mine["ctx"].to_numpy()] = mine["weight"].to_numpy()
-            # The lower order is indexed by the last k - 1 symbols; before order 1 it is uniform.
-            below = np.tile(lower, CLASSES) if k > 1 else np.repeat(lower, CLASSES)
-            lower = share + np.repeat(weight, CLASSES) * below
-        out[lang] = np.log2(lower).astype(np.float32)
-    return out if len(found[-1][0]) else {}
-
-
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of the raw gram that ends at each character and end of the texts; starts; code points."""
     joined = "".join(f"{' ' * (LENGTH - 1)}{t} " for t in texts)
@@ -307,10 +196,11 @@ def limits(rates: DataFrame) -> DataFrame:
 
     Exact to a thousandth of a bit and the same in every run.
     """
-    q = F.percentile(F.floor(F.col("rate") * 1000) / 1000, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    quartiles = rates.groupBy("model").agg(q.alias("q"))
+    q = F.percentile(F.floor(F.col("rate") * 1000) / 1000, F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75, QUANTILE)]))
+    quantiles = rates.groupBy("model").agg(q.alias("q"))
+    # Of a dozen held-out documents the quantile is about the largest rate; others lie above it.
     spread = F.greatest(F.col("q")[2] - F.col("q")[0], F.lit(0.01))
-    return quartiles.select("model", F.col("q")[1].alias("middle"), (F.col("q")[2] + SPREAD * spread).alias("limit"))
+    return quantiles.select("model", F.col("q")[1].alias("middle"), (F.col("q")[3] + spread / 2).alias("limit"))
 
 
 def _dealt(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
