@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept, and returns a frame that
 is written as Parquet and read again as the next one's docs. All but the last return the columns
 of documents.
+
+Defined cases, beyond those of the operators: stages judge rows, so rows that repeat an id are judged
+one by one, but near-dedup leaves one of rows with equal id and text. A NULL text is rejected by the
+classifier. An empty table passes through all stages. Extra columns of documents are carried along.
 """
 
 from __future__ import annotations
@@ -40,11 +44,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates."""
-    found = neardup.near_duplicates(docs, percent=80)
-    # Only the ids that go are joined; a NULL id never does.
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(stored(gone, "near-gone"), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    """One document of every group of near duplicates: the one with the smallest id."""
+    return neardup.one_of_each(docs, percent=80)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
