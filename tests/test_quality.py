@@ -141,3 +141,19 @@ def test_layer_age(spark):
 
     assert [status(m, fv.LAKE_AGE_MINUTES) for m in (14, 15, 60, 61)] == ["healthy", "warning", "warning", "critical"]
     assert [status(m, fv.STAGING_AGE_MINUTES) for m in (59, 60, 240, 241)] == ["healthy", "warning", "warning", "critical"]
+
+
+def test_uniqueness_rules_share_one_shuffle(spark):
+    from compare import plan_text
+    from usageledger.operators import checks
+
+    rows = spark.createDataFrame(
+        [(1, "a", None), (1, "b", None), (2, "a", "x"), (2, "a", "x"), (None, "c", "y"), (None, "c", None), (3, "}", '"a'), (4, '"}', "a")],
+        "k int, s string, t string",
+    )
+    rules = [checks.unique("k"), checks.unique_together("k", "s"), checks.unique_together("s", "t"), checks.unique("t"), checks.not_null("k")]
+    found = {r.check_name: r.failures for r in checks.run_checks(rows, rules, "m").collect()}
+    assert found == {checks_.name: checks.failing(rows, checks_).count() for checks_ in rules}
+    assert checks.run_checks(rows.limit(0), rules, "m").where("failures > 0").isEmpty()
+    plan = plan_text(checks.run_checks(rows, rules[:4], "m").select("failures"))
+    assert plan.count("hashpartitioning") == 1

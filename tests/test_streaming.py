@@ -170,3 +170,24 @@ def test_lag_from_query_progress(spark):
     }]}
     row, = quality.lag_status(decode.progress_offsets(spark, progress)).collect()
     assert (row.topic, row.total_lag, row.status) == ("usage", 1205, "warning")
+
+
+def test_bounded_dedup_forgets_ids_and_keeps_late_events(spark, tmp_path):
+    from usageledger.streaming import lake
+
+    path, day = str(tmp_path), 86_400_000
+    shape = "event_id string, event_timestamp long, _kafka_timestamp long"
+    # Arrival day by day; each batch brings a copy of the day before and an event from 40 days ago.
+    for n in range(6):
+        batch = [(f"e{n}_{k}", n * day, n * day + k) for k in range(50)] + [(f"late{n}", (n - 40) * day, n * day + 60)]
+        batch += [(f"e{n - 1}_{k}", (n - 1) * day, n * day + 70 + k) for k in range(50)] if n else []
+        spark.createDataFrame(batch, shape).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    running = lake.drop_redelivered_within(stream, "36 hours").writeStream.format("parquet").option(
+        "checkpointLocation", f"{path}/c").trigger(availableNow=True).start(f"{path}/out")
+    running.awaitTermination()
+    got = [r.event_id for r in spark.read.parquet(f"{path}/out").collect()]
+    assert sorted(got) == sorted([f"e{n}_{k}" for n in range(6) for k in range(50)] + [f"late{n}" for n in range(6)])
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress if p["stateOperators"]]
+    # Ids of the first days have left the state: without a bound it would hold all 306.
+    assert kept[-1] < 200

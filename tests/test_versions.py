@@ -122,3 +122,27 @@ def test_a_fact_run_may_stop_at_any_step(spark, tmp_path, monkeypatch, stop):
     got = {r.subscription_id: r.subscription_status for r in facts.collect()}
     assert facts.count() == len(got) == 25 and got["sub_0"] == "cancelled" and got["sub_99"] == "active"
     assert spark.read.parquet(path).count() == 25
+
+
+def test_files_of_a_day_hold_ranges_of_accounts(spark, tmp_path):
+    """Eight files a day; an account lies in two of them at most, one that owns a third of the rows in more."""
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "t")
+    account = F.when(F.col("id") % 3 == 0, F.lit("acc_0500")).otherwise(F.concat(F.lit("acc_"), F.lpad((F.col("id") * 37 % 1000).cast("string"), 4, "0")))
+    events = spark.range(24_000).select("id", account.alias("account_id"), (F.col("id") % 5).alias("event_type"), F.lit(JAN).alias("event_date"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert write_partitioned(events.repartition(5), path, "event_date", ["account_id", "event_type"], ranged=True) == 24_000
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    files = [pq.read_table(str(f), columns=["account_id", "id"]) for f in (tmp_path / "t").rglob("*.parquet")]
+    spans = sorted((min(t["account_id"].to_pylist()), max(t["account_id"].to_pylist())) for t in files)
+    assert len(spans) == 8 and max(t.num_rows for t in files) < 2 * 24_000 / 8
+    for n in range(1000):
+        name = f"acc_{n:04}"
+        holding = sum(low <= name <= high for low, high in spans)
+        assert holding <= 2 or name == "acc_0500" and holding <= 5

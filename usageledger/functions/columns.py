@@ -69,6 +69,12 @@ def whole_units_between(unit: str, earlier: Column | str, later: Column | str) -
     return F.timestamp_diff(unit, _col(earlier), _col(later))
 
 
+def strict_day(value: Column | str) -> Column:
+    """The day that a YYYY-MM-DD text names; NULL for any other form and for days that do not exist."""
+    text = _col(value)
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.try_to_date(text, "yyyy-MM-dd"))
+
+
 def month_of(value: Column | str) -> Column:
     return F.trunc(F.to_date(_col(value)), "month")
 

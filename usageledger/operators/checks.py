@@ -61,29 +61,40 @@ def failing(rows: DataFrame, check: Check) -> DataFrame:
     return duplicated(keyed.select(*check.keys), check.keys)
 
 
+def _key_counts(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """How often each key of each uniqueness rule occurs; a single column that is NULL is no key."""
+    keys = []
+    for i, check in enumerate(checks):
+        text = F.to_json(F.struct(*check.keys), {"ignoreNullFields": "false"})
+        entry = F.struct(F.lit(i).alias("_rule"), text.alias("_key"))
+        keys.append(F.when(F.col(check.keys[0]).isNotNull(), entry) if len(check.keys) == 1 else entry)
+    tagged = rows.select(F.inline(F.array_compact(F.array(*keys))))
+    return tagged.groupBy("_rule", "_key").agg(F.count(F.lit(1)).alias("_n"))
+
+
 def run_checks(rows: DataFrame, checks: Sequence[Check], model: str) -> DataFrame:
     """One result row per check: model, check_name, failures, status.
 
-    All row rules of a table share one scan and one aggregate; every uniqueness rule
-    needs its own shuffle of just its keys.
+    All row rules of a table share one scan and one aggregate, all uniqueness rules another
+    scan and one shuffle: every row gives its key once per rule, as text under the rule's
+    number, and Spark counts them before the shuffle.
     """
     parts = []
     per_row = [c for c in checks if c.breaks is not None]
+    per_key = [c for c in checks if c.breaks is None]
     if per_row:
-        counts = rows.agg(*[
-            F.count_if(c.breaks).alias(f"n{i}") for i, c in enumerate(per_row)
-        ])
-        parts.append(counts.select(F.inline(F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.col(f"n{i}").alias("failures"))
-            for i, c in enumerate(per_row)
-        ]))))
-    for check in checks:
-        if check.breaks is None:
-            parts.append(
-                failing(rows, check).agg(F.count(F.lit(1)).alias("failures"))
-                .select(F.lit(check.name).alias("check_name"), "failures")
-            )
-    results = reduce(DataFrame.unionByName, parts)
+        parts.append((per_row, rows.agg(*[F.count_if(c.breaks).alias(f"n{i}") for i, c in enumerate(per_row)])))
+    if per_key:
+        repeats = _key_counts(rows, per_key).where("_n > 1")
+        counts = [F.count_if(F.col("_rule") == i).alias(f"n{i}") for i in range(len(per_key))]
+        parts.append((per_key, repeats.agg(*counts)))
+    summaries = [
+        counts.select(F.inline(F.array(*[
+            F.struct(F.lit(c.name).alias("check_name"), F.col(f"n{i}").alias("failures")) for i, c in enumerate(named)
+        ])))
+        for named, counts in parts
+    ]
+    results = reduce(DataFrame.unionByName, summaries)
     return results.select(
         F.lit(model).alias("model"),
         "check_name",

@@ -98,10 +98,12 @@ def run_result_rows(
     )
 
 
-def record_run_results(spark: SparkSession, documents_path: str, monitoring_path: str, run_date: str | date) -> int:
+def record_run_results(
+    spark: SparkSession, documents_path: str, monitoring_path: str, run_date: str | date, multi_line: bool = True
+) -> int:
     """Append the nodes of landed run documents to the monitoring table."""
     stored = Observation()
-    rows = run_result_rows(read_run_results(spark, documents_path), run_date)
+    rows = run_result_rows(read_run_results(spark, documents_path, multi_line), run_date)
     append(rows.observe(stored, F.count(F.lit(1)).alias("rows")), monitoring_path)
     return stored.get["rows"]
 

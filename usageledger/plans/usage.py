@@ -195,7 +195,7 @@ def _replace_days(spark: SparkSession, metrics: DataFrame, path: str, touched: D
     result = spark.read.schema(metrics.schema).parquet(staged)
     filled = {r[0] for r in result.select("event_date").distinct().collect()}
     emptied = {r[0] for r in touched.collect()} - filled
-    rows = write_partitioned(result, path, "event_date", CLUSTER) if filled else 0
+    rows = write_partitioned(result, path, "event_date", CLUSTER, ranged=True) if filled else 0
     drop_partitions(spark, path, "event_date", emptied)
     drop_folder(spark, staged)
     return rows

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from usageledger.session import scratch_path
-from usageledger.sinks.files import NO_VALUE, _folder, drop_folder
+from usageledger.sinks.files import NO_VALUE, _folder, drop_folder, laid_out
 
 LISTS = "_versions"
 
@@ -108,15 +108,11 @@ def in_partitions(of: Version, partition: str, values: Iterable[Any]) -> list[st
     return [f for f in of.files if f.split("/", 1)[0] in folders]
 
 
-def add_files(rows: DataFrame, path: str, partition: str, cluster: Sequence[str] = ()) -> list[str]:
-    """Write rows beside a table's files and return the new ones, which no version has yet.
-
-    The rebalance hint sizes the files and splits a value that holds most rows over several tasks.
-    """
+def add_files(rows: DataFrame, path: str, partition: str, cluster: Sequence[str] = (), ranged: bool = False) -> list[str]:
+    """Write rows beside a table's files and return the new ones, which no version has yet."""
     batch = f"b{uuid.uuid4().hex}"
-    laid_out = rows.hint("rebalance", partition).sortWithinPartitions(partition, *cluster)
     # The names of the files begin with the batch.
-    laid_out.write.partitionBy(partition).option("mapreduce.output.basename", batch).mode("append").parquet(path)
+    laid_out(rows, partition, cluster, ranged).write.partitionBy(partition).option("mapreduce.output.basename", batch).mode("append").parquet(path)
     return data_files(rows.sparkSession, path, batch)
 
 
@@ -239,7 +235,7 @@ def merged_view(spark: SparkSession, path: str, staged: StagedFiles) -> DataFram
 
 def place_merge(spark: SparkSession, path: str, staged: StagedFiles, partition: str, cluster: Sequence[str] = ()) -> list[str]:
     """Write the staged rows as files of the table and return the files of the merged table."""
-    added = add_files(staged_rows(spark, staged), path, partition, cluster)
+    added = add_files(staged_rows(spark, staged), path, partition, cluster, ranged=True)
     gone = set(staged.replaced)
     return [*(f for f in staged.base.files if f not in gone), *added]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -30,12 +31,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
 def read_records(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Landed JSON records, one per line; an empty extract is an error."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    records = reader.json(path)
+    try:
+        records = reader.json(path)
+    except AnalysisException as reason:
+        # A folder without a single file has no fields to be found.
+        if reason.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            raise ValueError(f"no records under {path}") from None
+        raise
     if not records.columns or records.isEmpty():
         raise ValueError(f"no records under {path}")
     return records
 
 
-def read_run_results(spark: SparkSession, path: str) -> DataFrame:
-    """Whole-file JSON documents, one per run."""
-    return spark.read.schema(RUN_RESULTS).option("multiLine", True).json(path)
+def read_run_results(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Whole-file JSON documents, one per run; many runs may be landed as one document per line instead."""
+    return spark.read.schema(RUN_RESULTS).option("multiLine", multi_line).json(path)

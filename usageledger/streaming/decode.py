@@ -41,9 +41,15 @@ def read_broker(
     )
 
 
-def read_landed_messages(spark: SparkSession, path: str, max_files: int = MAX_BATCH_FILES) -> DataFrame:
-    """Broker records that were landed as Parquet, as a stream of at most `max_files` files a trigger."""
-    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+def read_landed_messages(
+    spark: SparkSession, path: str, max_files: int = MAX_BATCH_FILES, max_bytes: int | None = None
+) -> DataFrame:
+    """Broker records that were landed as Parquet, as a stream.
+
+    A trigger takes at most `max_files` files or, if given, about `max_bytes` of them.
+    """
+    bound = ("maxFilesPerTrigger", max_files) if max_bytes is None else ("maxBytesPerTrigger", max_bytes)
+    return spark.readStream.schema(MESSAGE_SCHEMA).option(*bound).parquet(path)
 
 
 def avro_schema() -> str:

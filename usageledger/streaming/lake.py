@@ -102,3 +102,16 @@ def drop_redelivered(decoded: DataFrame) -> DataFrame:
     """
     timed = decoded.withColumn("event_time", F.timestamp_millis("event_timestamp"))
     return timed.dropDuplicates(["event_id"])
+
+
+def drop_redelivered_within(decoded: DataFrame, horizon: str, arrival: str = "_kafka_timestamp") -> DataFrame:
+    """Drop further copies of an event that arrive within `horizon` of the first, with bounded state.
+
+    The watermark is on the arrival, which does not go back in a broker's log, and not on the
+    event time: an event that happened long ago is kept. An id leaves the state once the horizon
+    has passed, so a copy that a producer sends again later than that stays and is left to
+    `keep_latest` in the batch layer. A record whose arrival lies behind all others by more than the
+    horizon is dropped; choose it above the time that brokers' clocks and partitions differ by.
+    """
+    timed = decoded.withColumn("_arrived", F.timestamp_millis(arrival)).withWatermark("_arrived", horizon)
+    return timed.dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived")

@@ -328,6 +328,17 @@ FROM (SELECT * FROM kept UNION ALL SELECT * FROM opened)"""
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
+# The nodes of the run documents.
+NODES = """'model.shop.' || node_name AS node_id, node_name, CASE WHEN o_orderstatus = 'F' THEN 'success' ELSE 'error' END AS status,
+  execution_time_s, rows_affected, message, 'run_' || o_orderkey AS invocation_id, '1.8.0' AS dbt_version
+  FROM (SELECT o_orderkey, o_orderstatus, 'stg_' || o_orderkey AS node_name, o_orderkey AS rows_affected, o_orderpriority AS message,
+               round(CAST(o_totalprice AS DOUBLE), 2) AS execution_time_s FROM orders
+        UNION ALL SELECT o_orderkey, o_orderstatus, 'fct_' || o_orderkey, 0, '', 1.5 FROM orders)"""
+
+LANDED = f"""WITH {MESSAGES} SELECT * EXCLUDE (truncated, broken, _loaded_at)
+  REPLACE (CAST(_kafka_offset AS BIGINT) AS _kafka_offset), epoch_us(_loaded_at) // 1000 AS _kafka_timestamp
+  FROM messages WHERE NOT broken"""
+
 SQL: dict[str, str] = {
     "usage_daily": DAILY,
     "usage_daily_table": DAILY,
@@ -503,15 +514,24 @@ SQL: dict[str, str] = {
     "ingest_landed_json": PAYLOAD,
     "csv_extract": f"""WITH {ACCOUNTS} SELECT * EXCLUDE (account_sk), CAST(NULL AS VARCHAR) AS _source_system,
   updated_at + INTERVAL 1 DAY AS _loaded_at FROM account_keys""",
-    "run_results_explode": """SELECT DATE '2024-11-01' AS run_date, TIMESTAMP '2024-11-01' AS pipeline_run_at,
-  'model.shop.' || node_name AS node_id, node_name, CASE WHEN o_orderstatus = 'F' THEN 'success' ELSE 'error' END AS status,
-  execution_time_s, rows_affected, message, 'run_' || o_orderkey AS invocation_id, '1.8.0' AS dbt_version
-  FROM (SELECT o_orderkey, o_orderstatus, 'stg_' || o_orderkey AS node_name, o_orderkey AS rows_affected, o_orderpriority AS message,
-               round(CAST(o_totalprice AS DOUBLE), 2) AS execution_time_s FROM orders
-        UNION ALL SELECT o_orderkey, o_orderstatus, 'fct_' || o_orderkey, 0, '', 1.5 FROM orders)""",
-    "stream_lake": f"""WITH {MESSAGES} SELECT * EXCLUDE (truncated, broken, _loaded_at)
-  REPLACE (CAST(_kafka_offset AS BIGINT) AS _kafka_offset), epoch_us(_loaded_at) // 1000 AS _kafka_timestamp
-  FROM messages WHERE NOT broken""",
+    "run_results_explode": f"SELECT DATE '2024-11-01' AS run_date, TIMESTAMP '2024-11-01' AS pipeline_run_at, {NODES}",
+    "run_results_recorded": f"""SELECT DATE '2024-11-01' AS run_date, {NODES}
+  UNION ALL SELECT DATE '2024-11-02' AS run_date, {NODES}""",
+    "ingest_guard": """SELECT count(*) AS row_count, CAST(2 AS INTEGER) AS refused
+  FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "seed_load": f"""WITH {EVENTS}, {SUBSCRIPTIONS}, {ACCOUNTS}
+  SELECT 'accounts' AS table_name, count(*) AS row_count, count(CASE WHEN CAST(substr(account_id, 5) AS BIGINT) % 50 <> 7 THEN 1 END) AS checksum FROM accounts
+  UNION ALL SELECT 'users', count(*), count(account_id) FROM (SELECT DISTINCT user_id, account_id FROM usage_events)
+  UNION ALL SELECT 'subscriptions', count(*), CAST(sum(try_cast(amount AS BIGINT)) AS BIGINT) FROM raw_subscriptions
+  UNION ALL SELECT 'usage_events', count(*), CAST(sum(event_timestamp) AS BIGINT) FROM usage_events
+  UNION ALL SELECT 'invoices', count(*), CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) FROM orders
+  UNION ALL SELECT 'invoice_line_items', count(*), CAST(sum(CAST(floor(l_extendedprice) AS BIGINT)) AS BIGINT) FROM lineitem""",
+    "day_arguments": """WITH told AS (
+    SELECT o_orderkey % 5 AS way, CASE o_orderkey % 5 WHEN 0 THEN CAST(o_orderdate AS DATE)
+      WHEN 3 THEN try_cast(strftime(o_orderdate, '%Y-%m-') || '31' AS DATE) END AS day FROM orders)
+  SELECT way, count(*) AS row_count, count(day) AS days, max(day) AS latest FROM told GROUP BY way""",
+    "stream_lake": LANDED,
+    "stream_lake_timed": LANDED,
     "stream_lake_manifest": f"""WITH {MESSAGES} SELECT count(*) AS record_count, min(event_timestamp) AS min_event_timestamp,
   max(event_timestamp) AS max_event_timestamp FROM messages WHERE NOT broken""",
     "stream_quarantine": f"WITH {MESSAGES} SELECT truncated, CAST(_kafka_offset AS BIGINT) AS _kafka_offset, _kafka_partition FROM messages WHERE broken",
@@ -520,5 +540,6 @@ SQL: dict[str, str] = {
   SELECT lower(trim(event_type)) AS event_type, count(*) AS event_count, count(DISTINCT account_id) AS unique_accounts
   FROM latest GROUP BY 1""",
     "stream_dedup": f"WITH {MESSAGES} SELECT DISTINCT event_id, event_timestamp FROM messages WHERE NOT broken",
+    "stream_dedup_bounded": f"WITH {MESSAGES} SELECT DISTINCT event_id, event_timestamp FROM messages WHERE NOT broken",
     "keyed_messages": f"WITH {LATEST_EVENTS} SELECT account_id AS message_key, event_id, event_timestamp, metadata FROM latest_events",
 }

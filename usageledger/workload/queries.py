@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from usageledger.functions.columns import (
     hour_path,
     last_segment,
     moment,
+    strict_day,
     surrogate_key,
     tidy,
     whole_units_between,
@@ -33,7 +35,7 @@ from usageledger.plans.billing_run import FACT_MONTH, run_facts, run_snapshot
 from usageledger.session import scratch_path
 from usageledger.sinks import versions
 from usageledger.sinks.files import as_view, drop_partitions, rebuild, write_partitioned
-from usageledger.sources.landed import read_csv
+from usageledger.sources.landed import read_csv, read_run_results
 from usageledger.sources.tables import loaded_between
 from usageledger.streaming import decode, lake
 from usageledger.workload import domain
@@ -776,9 +778,8 @@ def csv_extract(spark, sf_dir):
     return read_csv(spark, path, schemas.ACCOUNTS)
 
 
-@query
-def run_results_explode(spark, sf_dir):
-    """One run document per order: two nodes, one of them without a message."""
+def _run_documents(spark, sf_dir):
+    """One run document per order, landed as lines: two nodes, one of them without a message."""
     path = scratch_path(spark, "run-results")
     n = F.col("o_orderkey")
 
@@ -801,10 +802,79 @@ def run_results_explode(spark, sf_dir):
         ).alias("results"),
     )
     documents.write.json(path)
-    read = spark.read.schema(schemas.RUN_RESULTS).json(path)
+    return path
+
+
+@query
+def run_results_explode(spark, sf_dir):
+    read = read_run_results(spark, _run_documents(spark, sf_dir), multi_line=False)
     return ingest.run_result_rows(read, "2024-11-01", datetime(2024, 11, 1))
 
 
+@query
+def run_results_recorded(spark, sf_dir):
+    """The same documents appended to the monitoring table by two runs."""
+    path = _run_documents(spark, sf_dir)
+    for day in ("2024-11-01", "2024-11-02"):
+        ingest.record_run_results(spark, path, f"{path}-monitoring", day, multi_line=False)
+    return spark.read.parquet(f"{path}-monitoring").drop("pipeline_run_at")
+
+
+@query
+def ingest_guard(spark, sf_dir):
+    """An extract without records is refused and leaves the raw table as it was."""
+    path, refused = scratch_path(spark, "guard"), 0
+    payload = _payload(spark, sf_dir)
+    payload.write.json(f"{path}/landed")
+    ingest.ingest_subscriptions(spark, f"{path}/landed", f"{path}/raw", "2024-11-01")
+    payload.limit(0).write.json(f"{path}/none")
+    for schema in (None, payload.schema):
+        try:
+            ingest.ingest_subscriptions(spark, f"{path}/none", f"{path}/raw", "2024-11-02", schema)
+        except ValueError:
+            refused += 1
+    held = spark.read.parquet(f"{path}/raw")
+    return held.agg(F.count(F.lit(1)).alias("row_count"), F.lit(refused).alias("refused"))
+
+
+@query
+def seed_load(spark, sf_dir):
+    """Every source table as a CSV extract, loaded as the typed raw tables."""
+    path = scratch_path(spark, "seeds")
+    events = domain.usage_events(spark, sf_dir)
+    extracts = {
+        "accounts": domain.accounts(spark, sf_dir),
+        "users": events.select("user_id", "account_id").distinct(),
+        "subscriptions": domain.raw_subscriptions(spark, sf_dir).withColumn("amount", F.col("amount").try_cast("int")),
+        "usage_events": events,
+        "invoices": domain.invoices(spark, sf_dir),
+        "invoice_line_items": domain.invoice_line_items(spark, sf_dir),
+    }
+    for name, rows in extracts.items():
+        writer = rows.write.option("header", True).option("escape", '"')
+        writer.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{path}/raw_{name}.csv")
+    ingest.land_extracts(spark, path, f"{path}/base")
+    loaded = {name: spark.read.parquet(f"{path}/base/raw_{name}") for name in extracts}
+    sums = {
+        "accounts": F.count("is_active"), "users": F.count("account_id"), "subscriptions": F.sum("amount"),
+        "usage_events": F.sum("event_timestamp"), "invoices": F.sum("total_cents"), "invoice_line_items": F.sum("total_cents"),
+    }
+    parts = [rows.agg(F.count(F.lit(1)).alias("row_count"), sums[n].cast("bigint").alias("checksum")).withColumn("table_name", F.lit(n)) for n, rows in loaded.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def day_arguments(spark, sf_dir):
+    """Which texts count as a day, among order dates written in five ways."""
+    day, way = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey") % 5
+    text = (
+        F.when(way == 0, day).when(way == 1, F.replace(day, F.lit("-"), F.lit("/"))).when(way == 2, F.concat(day, F.lit(" ")))
+        .when(way == 3, F.concat(F.substring(day, 1, 8), F.lit("31"))).otherwise(F.concat(F.substring(day, 1, 5), F.lit("13-01")))
+    )
+    rows = table(spark, sf_dir, "orders").select(way.alias("way"), strict_day(text).alias("day"))
+    return rows.groupBy("way").agg(F.count(F.lit(1)).alias("row_count"), F.count("day").alias("days"), F.max("day").alias("latest"))
+
+
 # --- streaming --------------------------------------------------------------
 
 
@@ -901,6 +971,39 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{path}/out")
 
 
+@query
+def stream_dedup_bounded(spark, sf_dir):
+    """The same with state that expires: six triggers in the order of arrival, copies a day apart."""
+    path = scratch_path(spark, "dedup-bounded")
+    messages = spark.read.schema(decode.MESSAGE_SCHEMA).parquet(_landed_messages(spark, sf_dir))
+    arrived = F.unix_seconds("timestamp")
+    bounds = messages.agg(F.min(arrived).alias("a"), F.max(arrived).alias("b")).first()
+    slot = F.least(F.floor((arrived - bounds["a"]) * 6 / (bounds["b"] - bounds["a"] + 1)), F.lit(5))
+    for n in range(6):
+        messages.where(slot == n).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    decoded = decode.decode_messages(decode.read_landed_messages(spark, f"{path}/in", max_files=1)).where("_decoded")
+    lake.drop_redelivered_within(decoded, "2 days").select("event_id", "event_timestamp").writeStream.format(
+        "parquet"
+    ).option("path", f"{path}/out").option("checkpointLocation", f"{path}/_checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
+@query
+def stream_lake_timed(spark, sf_dir):
+    """The stream on its time trigger, stopped when it has caught up."""
+    path = scratch_path(spark, "lake-timed")
+    messages = decode.read_landed_messages(spark, _landed_messages(spark, sf_dir), max_bytes=200_000)
+    running = lake.events_to_lake(decode.decode_messages(messages), path, f"{path}/_checkpoint", 1)
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    landed = spark.read.parquet(f"{path}/events")
+    return landed.select(*lake.EVENT_COLUMNS, "_kafka_offset", "_kafka_partition", "_kafka_timestamp")
+
+
 @query
 def keyed_messages(spark, sf_dir):
     records = decode.keyed_messages(usage.latest_events(domain.usage_events(spark, sf_dir)))
