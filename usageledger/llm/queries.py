@@ -40,7 +40,8 @@ def op3_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = ngram.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    judged = ngram.judged(docs, table(spark, sf_dir, "labels"), carry=["doc_id", "lang"])
     return judged.select(F.col("row.doc_id").alias("doc_id"), F.col("row.lang").alias("lang"), "perplexity", "threshold", "kept")
 
 
