@@ -43,6 +43,8 @@ CHUNK_DOCS = 4_000
 CHUNK_BYTES = 16_000_000
 # Chunks of held-out documents that the pooled model judges are numbered from here on.
 HELD_CHUNKS = 1 << 60
+# Chunks meet their answers in so many passes, one after another: a pass's shuffle is deleted before the next.
+PASSES = 4
 # Tables of gram hashes have so many bits of slots.
 TABLE_BITS = 20
 _MIX = np.random.RandomState(7).randint(1, 2**63 - 1, LENGTH, dtype=np.int64).astype(np.uint64) | np.uint64(1)
@@ -350,10 +352,10 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     learned = modelled(texts.where(learns).join(trusted, "score_id", "left_semi"))
     counted = raw_grams(learned).groupBy("model", "gram").agg(F.sum("n").alias("n"))
     rows = modelled(named).select("row", "score_id", "model")
-    chunk_path = scratch_path(spark, "gram-chunks")
-    chunks = stored_at(_chunks(rows, text), chunk_path)
-    counts_path = scratch_path(spark, "gram-counts")
+    counts_path, chunk_path = scratch_path(spark, "gram-counts"), scratch_path(spark, "gram-chunks")
+    # The shuffle of the learned texts is gone before the chunks are written.
     counts = stored_at(counted, counts_path)
+    chunks = stored_at(_chunks(rows, text), chunk_path)
     requests = chunks.where(F.col("rows").isNull()).select("chunk", "model", "gram")
     packed = chunks.where(F.col("rows").isNotNull()).select("chunk", "rows")
     held_rows = None
@@ -368,7 +370,11 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     known = probabilities(counts, stored(requests.select("model", "gram").distinct(), "gram-wanted"))
     found = stored(requests.join(known, ["model", "gram"]).select("chunk", "model", "gram", "logp"), "gram-found")
     drop_folder(spark, counts_path)
-    flat = stored(_scored(packed, found.where(F.col("chunk") < HELD_CHUNKS), rows.schema, text, carry), "gram-scores")
+    places = [scratch_path(spark, "gram-scores") for _ in range(PASSES)]
+    for k, place in enumerate(places):
+        turn = F.pmod(F.xxhash64("chunk"), F.lit(PASSES)) == k
+        scores = stored_at(_scored(packed.where(turn), found.where(turn & (F.col("chunk") < HELD_CHUNKS)), rows.schema, text, carry), place)
+    flat = spark.read.schema(scores.schema).parquet(*places)
     drop_folder(spark, chunk_path)
     rate = (F.col("bits") / F.col("symbols")).alias("rate")
     scored = flat.where(~learns & F.col("bits").isNotNull()).select("score_id", "model", rate).join(trusted, "score_id", "left_semi").select("model", "rate")
