@@ -67,11 +67,13 @@ def test_a_row_without_end_is_spread(spark):
 
 def test_fragments_fill_windows():
     rng = random.Random(1)
-    for lengths in ([rng.randint(1, 1023) for _ in range(2000)], [600] * 500, [1] * 50, [1023] * 9, [], [513, 512]):
+    for lengths in ([rng.randint(1, 1023) for _ in range(2000)], [600] * 500, [1] * 50, [1023] * 9, [], [513, 512], [100] * 700, [300, 1, 2]):
         windows = packing.pack_fragments(lengths)
         taken = defaultdict(list)
-        for held in windows:
-            assert 0 < sum(n for _, _, n in held) <= 1024
+        for tier, held in windows:
+            assert 0 < sum(n for _, _, n in held) <= tier
+            # The fragment that opens a window belongs to its tier, whole or as the rest of a cut.
+            assert 2 * held[0][2] > tier or tier == 128
             for i, at, n in held:
                 taken[i].append((at, n))
         for i, n in enumerate(lengths):
@@ -80,8 +82,47 @@ def test_fragments_fill_windows():
                 assert a == at and m > 0
                 at += m
             assert at == n
+        # Shorter tiers are full but for one window; the longest tier lacks fewer than MIN_CUT ids.
+        lacking = [(tier, tier - sum(n for _, _, n in held)) for tier, held in windows]
+        assert sum(gap > 0 for tier, gap in lacking if tier < 1024) + sum(gap >= packing.MIN_CUT for tier, gap in lacking if tier == 1024) <= 1
         if len(lengths) >= 500:
-            assert sum(lengths) > 0.97 * 1024 * len(windows)
+            used = [sum(n for _, _, n in held) for _, held in windows]
+            assert sum(lengths) > 0.97 * sum(n if n & (n - 1) == 0 else 1024 for n in used)
+
+
+def test_tiers_route_and_longest_fitting_comes_first():
+    assert packing.tiers() == [1024, 512, 256, 128]
+    assert [packing.tiers()[packing.route(n, packing.tiers())] for n in (1, 128, 129, 256, 257, 512, 513, 1024)] == [128, 128, 256, 256, 512, 512, 1024, 1024]
+    # The gap of 324 takes 300 of the 512 tier, then 24 of the 128 tier; 200 and 56 fill a window of 256.
+    assert packing.pack_fragments([700, 300, 200, 56, 24]) == [(1024, [(0, 0, 700), (1, 0, 300), (4, 0, 24)]), (256, [(2, 0, 200), (3, 0, 56)])]
+    # Nothing fits 24: the shortest is cut, its rest is routed again.
+    assert packing.pack_fragments([1000, 140]) == [(1024, [(0, 0, 1000), (1, 0, 24)]), (128, [(1, 24, 116)])]
+
+
+def test_tiers_of_pieces_and_sequences(documents):
+    rows = packing.pack(documents, PATH).collect()
+    of_sequence = defaultdict(list)
+    for r in rows:
+        of_sequence[r["sequence_id"]].append(r)
+    short = [held for held in of_sequence.values() if held[0]["tier"] < 1024]
+    assert short and sum(held[0]["sequence_tokens"] < held[0]["tier"] for held in short) <= 1
+    for held in of_sequence.values():
+        assert len({r["tier"] for r in held}) == 1 and held[0]["sequence_tokens"] <= held[0]["tier"]
+        # A gap is filled from the window's tier or shorter ones, except by the cut of a longer rest.
+        assert all(r["routed_tier"] <= r["tier"] or r["length"] < r["routed_tier"] for r in held)
+
+
+def test_step_groups_share_every_tier():
+    sequences = [(1024, 1024)] * 640 + [(512, 512)] * 200 + [(256, 256)] * 90 + [(128, 128)] * 41
+    groups = packing.step_groups(sequences)
+    loads, kinds = Counter(), Counter()
+    for (tier, n), g in zip(sequences, groups, strict=True):
+        loads[g] += n
+        kinds[tier, g] += 1
+    assert len(loads) == 12 and max(loads.values()) - min(loads.values()) <= 1024
+    for tier in (1024, 512):
+        counts = [kinds[tier, g] for g in loads]
+        assert max(counts) - min(counts) <= 3
 
 
 def test_step_groups_are_balanced(documents):
