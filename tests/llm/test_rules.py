@@ -39,12 +39,23 @@ def test_learned_list_is_ordered_and_readable(spark):
     rows = [(i, "bad $$$ text " * 10 if i % 3 == 0 else f"good plain words number {i} " * 2, 0 if i % 3 == 0 else 1) for i in range(90)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
     learned = rules.fit(frame, frame)
-    assert learned and all(1 <= len(r.literals) <= rules.MAX_LITERALS for r in learned)
+    assert learned and all(r.literals for r in learned)
     case = rules.fired(learned, F.col("s"))
     fired = rules.statistics(frame).select("row.quality", case.alias("rule")).collect()
     assert all((r["rule"] is not None) == (r["quality"] == 0) for r in fired)
 
 
+def test_as_many_rules_as_kinds_of_bad_text(spark):
+    # Five kinds of bad text, each told from the good ones by a statistic of its own.
+    good = lambda i: " ".join(f"plain{chr(97 + (i * 7 + k) % 26)}word" for k in range(30))
+    kinds = [lambda i: good(i) + " ####" * 30, lambda i: good(i).upper(), lambda i: "the same line of words\n" * 9, lambda i: "x y z " * 12, lambda i: "Verylongwordswithoutend" * 9]
+    rows = [(i, kinds[i % 10](i) if i % 10 < 5 else good(i), int(i % 10 >= 5)) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    learned = rules.fit(frame, frame)
+    fired = rules.statistics(frame).select("row.quality", rules.fired(learned, F.col("s")).alias("rule")).collect()
+    assert len(learned) >= 2 and all((r["rule"] is not None) == (r["quality"] == 0) for r in fired)
+
+
 def test_odd_rows_and_no_labels(odd_docs, labels):
     out = rules.judged(odd_docs, labels.limit(0)).collect()
     assert len(out) == odd_docs.count()

@@ -3,11 +3,12 @@
 Sequential covering: a rule is grown literal by literal (a literal compares one statistic with
 one threshold) by FOIL gain on two thirds of the labelled rows, pruned on the other third, and
 kept if it is precise; the rows it covers leave, and the next rule is learned. The list becomes
-one ordered Spark CASE expression. Every step is a DataFrame aggregate of at most
-features x bins rows; there is no Python on the executors.
+one ordered Spark CASE expression. One aggregate counts the labelled rows of every cell of
+binned statistics; its rows, at most MAX_LABELLED, are all that covering looks at. There is no Python
+on the executors.
 
-Defined cases: a NULL or blank text has no words and fails the base rule. Repeated rows get equal
-verdicts, row by row. A document labelled twice counts with its lowest quality; labels without a
+Defined cases: a NULL or blank text has no words and fails the base rule; an empty table gives no
+rows. A very long text is one row's array of words. Repeated rows get equal verdicts, row by row. A document labelled twice counts with its lowest quality; labels without a
 document id or a quality are not used. Without usable labels there are no rules and the base
 rule alone decides. Extra columns are carried along or ignored and cannot clash.
 """
@@ -26,8 +27,6 @@ WINDOW = 8
 # At most this many labelled rows, by a hash of the id, are learned from.
 MAX_LABELLED = 20_000
 CUTS = 16
-MAX_RULES = 8
-MAX_LITERALS = 3
 MIN_COVERED = 4
 MIN_PRECISION = 0.98
 
@@ -159,81 +158,92 @@ def _gain(p: int, n: int, p0: int, n0: int) -> float:
     return p * (math.log2(p / (p + n)) - math.log2(p0 / (p0 + n0))) if p else 0.0
 
 
-def learn(labelled: DataFrame) -> list[Rule]:
-    """Rules for `bad` from labelled statistics (`s`, `bad`, `doc_id`)."""
+def _cells(labelled: DataFrame) -> tuple[dict[str, list[float]], list[dict]]:
+    """The cuts of every feature, and bad and good rows by cell: a bin of each feature, held out or not."""
     ratios = _ratios(F.col("s"))
-    names = list(ratios)
-    # Bins keep a row to a few bytes; it is read once per literal.
-    facts = labelled.select("bad", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) == 0).alias("held"), *[c.alias(n) for n, c in ratios.items()])
-    facts = facts.persist()
+    held = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) == 0
+    facts = labelled.select("bad", held.alias("held"), *[c.alias(n) for n, c in ratios.items()]).persist()
     try:
         share = [(i + 0.5) / CUTS for i in range(CUTS)]
         # Exact, so that every run learns the same rules; the sample is bounded.
-        parts = facts.groupBy("bad").agg(*[F.percentile(n, share).alias(n) for n in names]).collect()
-        cuts = {n: sorted({x for part in parts for x in (part[n] or [])}) for n in names}
-
-        def counts(rows: DataFrame) -> dict[tuple[str, int], tuple[int, int]]:
-            """Bad and good rows by feature and bin: at most features x bins rows."""
-
-            def bin_of(name: str) -> Column:
-                reached = F.filter(F.array(*[F.lit(x) for x in cuts[name]]), lambda x: x <= F.col(name))
-                return F.struct(F.lit(name).alias("f"), F.size(reached).alias("b"))
-
-            entries = [bin_of(n) for n in names]
-            binned = rows.select("bad", F.inline(F.array(*entries)))
-            return {(r["f"], r["b"]): (r["p"], r["n"]) for r in binned.groupBy("f", "b").agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n")).collect()}
-
-        def best(rows: DataFrame) -> tuple[float, Literal | None, int]:
-            table = counts(rows)
-            p0 = sum(p for (f, _), (p, _) in table.items() if f == names[0])
-            n0 = sum(n for (f, _), (_, n) in table.items() if f == names[0])
-            top: tuple[float, Literal | None, int] = (1e-9, None, n0)
-            for name in names if p0 and n0 else ():
-                below_p = below_n = 0
-                for i, cut in enumerate(cuts[name]):
-                    p, n = table.get((name, i), (0, 0))
-                    below_p, below_n = below_p + p, below_n + n
-                    for literal, q, m in ((Literal(name, True, cut), p0 - below_p, n0 - below_n), (Literal(name, False, cut), below_p, below_n)):
-                        if (gain := _gain(q, m, p0, n0)) > top[0]:
-                            top = (gain, literal, m)
-            return top
-
-        columns = {n: F.col(n) for n in names}
-        rules: list[Rule] = []
-        rest = facts
-        while len(rules) < MAX_RULES:
-            literals: list[Literal] = []
-            while len(literals) < MAX_LITERALS:
-                gain, literal, wrong = best(rest.where(~F.col("held")).where(Rule(tuple(literals)).column(columns)))
-                if literal is None:
-                    break
-                literals.append(literal)
-                if wrong == 0:
-                    break
-            if not literals:
-                break
-            prefixes = [Rule(tuple(literals[: k + 1])) for k in range(len(literals))]
-            tally = [
-                F.coalesce(F.sum(F.when(r.column(columns) & where, value)), F.lit(0)).alias(f"{what}{k}")
-                for k, r in enumerate(prefixes)
-                for what, where, value in (
-                    ("hp", F.col("held"), F.col("bad")), ("hn", F.col("held"), 1 - F.col("bad")),
-                    ("p", F.lit(True), F.col("bad")), ("n", F.lit(True), 1 - F.col("bad")),
-                )
-            ]
-            seen = rest.agg(*tally).first()
-            worth = lambda k: (seen[f"hp{k}"] - seen[f"hn{k}"]) / max(1, seen[f"hp{k}"] + seen[f"hn{k}"])
-            k = max(range(len(prefixes)), key=lambda k: (worth(k), -k))
-            p, n = seen[f"p{k}"], seen[f"n{k}"]
-            if p < MIN_COVERED or p < MIN_PRECISION * (p + n):
-                break
-            rules.append(prefixes[k])
-            rest = rest.where(~prefixes[k].column(columns))
-        return rules
+        parts = facts.groupBy("bad").agg(*[F.percentile(n, share).alias(n) for n in ratios]).collect()
+        cuts = {n: sorted({x for part in parts for x in (part[n] or [])}) for n in ratios}
+
+        def bin_of(name: str) -> Column:
+            """The number of cuts that the value reaches."""
+            return F.size(F.filter(F.array(*[F.lit(x) for x in cuts[name]]), lambda x: x <= F.col(name))).alias(name)
+
+        counted = facts.groupBy("held", *[bin_of(n) for n in ratios if cuts[n]]).agg(F.sum("bad").alias("p"), F.sum(1 - F.col("bad")).alias("n"))
+        return cuts, [r.asDict() for r in counted.collect()] if parts else []
     finally:
         facts.unpersist()
 
 
+def _counts(cells: list[dict]) -> tuple[int, int]:
+    return sum(c["p"] for c in cells), sum(c["n"] for c in cells)
+
+
+def learn(labelled: DataFrame) -> list[Rule]:
+    """Rules for `bad` from labelled statistics (`s`, `bad`, `doc_id`).
+
+    No number of rules or literals is set: a rule grows while a literal gains and wrong rows are
+    left, and rules follow while one covers MIN_COVERED bad rows with MIN_PRECISION, in all rows
+    and in the held-out ones, which no literal was chosen by.
+    """
+    cuts, rest = _cells(labelled)
+
+    def holds(literal: Literal, cell: dict) -> bool:
+        reached = cell[literal.feature] > cuts[literal.feature].index(literal.cut)
+        return reached == literal.at_least
+
+    def where(literals: list[Literal], cells: list[dict]) -> list[dict]:
+        for literal in literals:
+            cells = [c for c in cells if holds(literal, c)]
+        return cells
+
+    def best(cells: list[dict]) -> Literal | None:
+        p0, n0 = _counts(cells)
+        top: tuple[float, Literal | None] = (1e-9, None)
+        for name in cuts if p0 and n0 else ():
+            by_bin = [[0, 0] for _ in range(len(cuts[name]) + 1)]
+            for c in cells:
+                by_bin[c[name]][0] += c["p"]
+                by_bin[c[name]][1] += c["n"]
+            below_p = below_n = 0
+            for cut, (p, n) in zip(cuts[name], by_bin[:-1], strict=True):
+                below_p, below_n = below_p + p, below_n + n
+                for literal, q, m in ((Literal(name, True, cut), p0 - below_p, n0 - below_n), (Literal(name, False, cut), below_p, below_n)):
+                    if (gain := _gain(q, m, p0, n0)) > top[0]:
+                        top = (gain, literal)
+        return top[1]
+
+    def worth(literals: list[Literal]) -> float:
+        p, n = _counts(where(literals, [c for c in rest if c["held"]]))
+        return (p - n) / max(1, p + n)
+
+    rules: list[Rule] = []
+    while rest:
+        literals: list[Literal] = []
+        growing = [c for c in rest if not c["held"]]
+        # A literal with a gain leaves out a cell at least, so that growing ends.
+        while (literal := best(growing)) is not None:
+            literals.append(literal)
+            growing = where([literal], growing)
+        if not literals:
+            break
+        k = max(range(1, len(literals) + 1), key=lambda k: (worth(literals[:k]), -k))
+        covered = where(literals[:k], rest)
+        p, n = _counts(covered)
+        held_p, held_n = _counts([c for c in covered if c["held"]])
+        precise = p >= MIN_PRECISION * (p + n) and held_p >= max(1, MIN_PRECISION * (held_p + held_n))
+        if p < MIN_COVERED or not precise:
+            break
+        rules.append(Rule(tuple(literals[:k])))
+        gone = set(map(id, covered))
+        rest = [c for c in rest if id(c) not in gone]
+    return rules
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = MAX_LABELLED) -> list[Rule]:
     """Learn rules from the labelled documents; the sample is bounded, so it may be broadcast."""
     chosen = labelled_sample(labels, limit)
