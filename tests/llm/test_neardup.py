@@ -78,3 +78,13 @@ def test_one_row_of_every_group_stays(spark):
     docs = spark.createDataFrame([(1, base), (1, base + " more"), (1, base), (2, base + " end")], "doc_id long, text string")
     assert [r["doc_id"] for r in neardup.one_of_each(docs).collect()] == [1]
     assert neardup.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_late_links_join_components(spark):
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (7, 7), (8, 7)], "node long, label long")
+    late = spark.createDataFrame([(2, 4), (1, 3), (4, 9), (5, 6)], "a long, b long")
+    found = neardup._relabelled(labels, late).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r["label"], set()).add(r["node"])
+    assert len(found) == 9 and sorted(map(sorted, groups.values())) == [[1, 2, 3, 4, 9], [5, 6], [7, 8]]
