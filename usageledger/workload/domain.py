@@ -40,11 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def emit(rows: DataFrame) -> DataFrame:
-    """Output types that mean the same in any engine: doubles and zone-free timestamps."""
+    """Output types that mean the same in any engine: doubles and zone-free timestamps.
+
+    Whole numbers wider than a bigint stay exact.
+    """
     casts = {T.DecimalType: "double", T.TimestampType: "timestamp_ntz"}
     return rows.select(*[
         F.col(f.name).cast(casts[type(f.dataType)]).alias(f.name)
-        if type(f.dataType) in casts else F.col(f.name)
+        if type(f.dataType) in casts and f.dataType != T.DecimalType(38, 0) else F.col(f.name)
         for f in rows.schema.fields
     ])
 
