@@ -890,6 +890,9 @@ def day_arguments(spark, sf_dir):
 
 
 TRUNCATED = '{"event_id": '
+TRIGGERS = 6
+# One task reads a landed file, so a trigger gets several of about this many messages.
+FILE_MESSAGES = 100_000
 
 
 def _landed_messages(spark, sf_dir):
@@ -913,6 +916,10 @@ def _landed_messages(spark, sf_dir):
     return path
 
 
+def _files_of(messages: int) -> int:
+    return max(1, messages // FILE_MESSAGES)
+
+
 def _drained(spark, sf_dir, start):
     """A stream over several triggers with a restart after half of the messages.
 
@@ -989,10 +996,14 @@ def stream_dedup_bounded(spark, sf_dir):
     messages = spark.read.schema(decode.MESSAGE_SCHEMA).parquet(_landed_messages(spark, sf_dir))
     arrived = F.unix_seconds("timestamp")
     bounds = messages.agg(F.min(arrived).alias("a"), F.max(arrived).alias("b")).first()
-    slot = F.least(F.floor((arrived - bounds["a"]) * 6 / (bounds["b"] - bounds["a"] + 1)), F.lit(5))
-    for n in range(6):
-        messages.where(slot == n).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    decoded = decode.decode_messages(decode.read_landed_messages(spark, f"{path}/in", max_files=1)).where("_decoded")
+    slot = F.least(F.floor((arrived - bounds["a"]) * TRIGGERS / (bounds["b"] - bounds["a"] + 1)), F.lit(TRIGGERS - 1))
+    # Every trigger takes the files of one slot, so all have as many; the smallest fills each of its own.
+    held = {r[0]: r[1] for r in messages.groupBy(slot.cast("int")).count().collect() if r[0] is not None}
+    files = _files_of(min(held.values()))
+    for n in sorted(held):
+        dealt = messages.where(slot == n).repartition(files, F.xxhash64("value", "offset"))
+        dealt.write.mode("append").parquet(f"{path}/in")
+    decoded = decode.decode_messages(decode.read_landed_messages(spark, f"{path}/in", max_files=files)).where("_decoded")
     lake.drop_redelivered_within(decoded, "2 days").select("event_id", "event_timestamp").writeStream.format(
         "parquet"
     ).option("path", f"{path}/out").option("checkpointLocation", f"{path}/_checkpoint").trigger(
