@@ -44,3 +44,8 @@ def _triggers(spark, monkeypatch, name):
 def test_bounded_stream_reads_a_trigger_in_parallel(spark, monkeypatch):
     (files, landed), = _triggers(spark, monkeypatch, "stream_dedup_bounded")
     assert files > 4 and landed == 6 * files
+
+
+def test_stream_reads_a_trigger_in_parallel(spark, monkeypatch):
+    (files, landed), = _triggers(spark, monkeypatch, "stream_dedup")
+    assert files > 4 and landed == 6 * files

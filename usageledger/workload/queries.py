@@ -977,10 +977,11 @@ def stream_raw_event_mix(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """Events whose second copy was dropped while streaming."""
     path, messages = scratch_path(spark, "dedup"), _landed_messages(spark, sf_dir)
-    # Six files in shuffled order, one per trigger: copies and late events meet across batches.
-    shuffled = f"{path}/messages"
-    spark.read.parquet(messages).repartition(6, F.xxhash64("value", "offset")).write.parquet(shuffled)
-    decoded = decode.decode_messages(decode.read_landed_messages(spark, shuffled, max_files=1)).where("_decoded")
+    # Files in shuffled order, as many for each of six triggers: copies and late events meet across batches.
+    shuffled, landed = f"{path}/messages", spark.read.parquet(messages)
+    files = _files_of(landed.count() // TRIGGERS)
+    landed.repartition(TRIGGERS * files, F.xxhash64("value", "offset")).write.parquet(shuffled)
+    decoded = decode.decode_messages(decode.read_landed_messages(spark, shuffled, max_files=files)).where("_decoded")
     lake.drop_redelivered(decoded).select("event_id", "event_timestamp").writeStream.format(
         "parquet"
     ).option("path", f"{path}/out").option("checkpointLocation", f"{path}/_checkpoint").trigger(
