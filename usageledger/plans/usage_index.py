@@ -72,23 +72,26 @@ def member_rows(cleaned: DataFrame) -> DataFrame:
     return cleaned.select(*GRAIN, F.inline(values)).where(F.col("value").isNotNull()).distinct()
 
 
-def brought_forward(daily: DataFrame, members: DataFrame, cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The metrics and the new members after cleaned events that no metrics row counts yet have come."""
+def new_members(members: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """The users and sessions of cleaned events that their metrics rows do not hold yet."""
     both = members.select(*GRAIN, "kind", "value", F.lit(True).alias("known"))
     both = both.unionByName(member_rows(cleaned).withColumn("known", F.lit(False)))
-    fresh = both.groupBy(*GRAIN, "kind", "value").agg(F.bool_or("known").alias("known")).where(~F.col("known")).drop("known")
+    return both.groupBy(*GRAIN, "kind", "value").agg(F.bool_or("known").alias("known")).where(~F.col("known")).drop("known")
+
+
+def brought_forward(daily: DataFrame, fresh: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """The metrics after cleaned events that no metrics row counts yet have come, with their new members."""
     more = fresh.groupBy(*GRAIN).agg(*[F.count_if(F.col("kind") == m).alias(m) for m in MEMBERS])
     counted = cleaned.groupBy(*GRAIN).agg(
         F.count(F.lit(1)).alias("event_count"), F.min("event_timestamp").alias("first_event_ts"), F.max("event_timestamp").alias("last_event_ts")
     )
     parts = daily.select(*GRAIN, *METRICS).unionByName(counted, allowMissingColumns=True).unionByName(more, allowMissingColumns=True)
-    merged = parts.groupBy(*GRAIN).agg(
+    return parts.groupBy(*GRAIN).agg(
         F.sum("event_count").alias("event_count"),
         *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEMBERS],
         F.min("first_event_ts").alias("first_event_ts"),
         F.max("last_event_ts").alias("last_event_ts"),
     )
-    return merged, fresh
 
 
 def _state(spark: SparkSession, state: str) -> dict[str, versions.Version]:
@@ -126,21 +129,26 @@ def load_days(spark: SparkSession, raw_path: str, state: str, first: str | date,
 
     known = versions.read(spark, path["index"], base["index"])
     if known is None:
-        won, replaced = came, came.limit(0).select("event_id", DAY)
+        won, replaced, old = came, came.limit(0).select("event_id", DAY), {}
     else:
-        mine = known.join(came.select("event_id", BUCKET), [BUCKET, "event_id"], "left_semi").select("event_id", DAY)
+        mine = known.select("event_id", DAY, BUCKET, versions.file_path())
+        mine = mine.join(came.select("event_id", BUCKET), [BUCKET, "event_id"], "left_semi").drop(BUCKET)
         mine = _stored(mine, "usage-known", scratch)
-        old_days = _days(mine)
-        held = versions.read(spark, path["latest"], base["latest"]).where(_in_days(old_days))
-        held = held.join(mine.select("event_id"), "event_id", "left_semi")
+        held = versions.read(spark, path["latest"], base["latest"]).select("*", versions.file_path())
+        held = _stored(versions.meet(held.where(_in_days(_days(mine))), mine, "event_id", "left_semi"), "usage-held", scratch)
         # The same order decides between the held copy and the arriving one as within a load;
-        # of copies that are equal in everything the held one stays.
-        both = came.withColumn("_held", F.lit(0)).unionByName(held.withColumn("_held", F.lit(1)), allowMissingColumns=True)
-        won = _stored(latest_events(both).where("_held = 0").drop("_held"), "usage-won", scratch)
-        replaced = mine.join(won.select("event_id"), "event_id", "left_semi")
+        # of copies that are equal in everything the held one stays. Only ids that both have take part.
+        rivals = versions.meet(came, mine, "event_id", "left_semi").withColumn("_held", F.lit(0))
+        rivals = rivals.unionByName(held.drop(versions.FILE).withColumn("_held", F.lit(1)), allowMissingColumns=True)
+        lost = _stored(latest_events(rivals).where("_held = 1").select("event_id"), "usage-lost", scratch)
+        won = versions.meet(came, lost, "event_id", "left_anti")
+        if not versions.few(lost):
+            won = _stored(won, "usage-won", scratch)
+        replaced = _stored(versions.meet(mine, lost, "event_id", "left_anti"), "usage-replaced", scratch)
+        # Where the replaced copies lie, so that neither table is searched again.
+        old = {"index": replaced, "latest": _stored(versions.meet(held.select("event_id", versions.FILE), replaced, "event_id", "left_semi"), "usage-old", scratch)}
     left = _days(replaced)
-    moved = won.join(replaced.select("event_id"), "event_id", "left_semi")
-    again = left | _days(moved)
+    again = left | _days(versions.meet(won.select("event_id", DAY), replaced, "event_id", "left_semi"))
     days = _days(won)
     forward = days - again
     if not days:
@@ -150,11 +158,8 @@ def load_days(spark: SparkSession, raw_path: str, state: str, first: str | date,
 
     # Files of the two tables by event that hold a replaced event are the only ones rewritten.
     files, schemas = {}, {}
-    for name, rows, within in (
-        ("index", won.select("event_id", DAY, BUCKET), None),
-        ("latest", won, versions.in_partitions(base["latest"], DAY, left)),
-    ):
-        merge = versions.stage_merge(spark, path[name], base[name], rows, "event_id", within)
+    for name, rows in (("index", won.select("event_id", DAY, BUCKET)), ("latest", won)):
+        merge = versions.stage_merge(spark, path[name], base[name], rows, "event_id", stored=True, old=old.get(name))
         files[name] = versions.place_merge(spark, path[name], merge, TABLES[name], ["event_id"] if name == "index" else CLUSTER)
         schemas[name] = merge.schema
         drop_folder(spark, merge.result)
@@ -164,20 +169,24 @@ def load_days(spark: SparkSession, raw_path: str, state: str, first: str | date,
     if daily is None:
         daily = daily_metrics(clean_events(won)).limit(0)
         members = member_rows(clean_events(won)).limit(0)
-    metrics, fresh = brought_forward(daily.where(_in_days(forward)), members.where(_in_days(forward)), added)
+    fresh = new_members(members.where(_in_days(forward)), added)
     if again:
         latest = versions.read(spark, path["latest"], versions.Version(0, tuple(files["latest"]), schemas["latest"].json()))
         whole = clean_events(latest.where(_in_days(again)))
-        metrics = metrics.unionByName(daily_metrics(whole).select(*metrics.columns))
         fresh = fresh.unionByName(member_rows(whole))
-    for name, rows, gone in (
-        ("members", fresh, again),
-        ("daily", metrics, again | forward),
-    ):
-        out = versions.in_partitions(base[name], DAY, gone)
-        added_files = versions.add_files(rows, path[name], DAY, CLUSTER)
-        files[name] = [*(f for f in base[name].files if f not in set(out)), *added_files]
+        added = added.unionByName(whole.select(*added.columns))
+
+    def replace_days(name: str, rows: DataFrame, gone: set) -> list[str]:
+        out = set(versions.in_partitions(base[name], DAY, gone))
+        written = versions.add_files(rows, path[name], DAY, CLUSTER)
+        files[name] = [*(f for f in base[name].files if f not in out), *written]
         schemas[name] = rows.schema
+        return written
+
+    # Distinct values are found once; the metrics count them as they were written.
+    written = replace_days("members", fresh, again)
+    fresh = versions.read(spark, path["members"], versions.Version(0, tuple(written), fresh.schema.json()))
+    replace_days("daily", brought_forward(daily.where(_in_days(forward)), fresh, added), again | forward)
 
     _publish(spark, state, base, files, schemas)
     count = won.count()

@@ -15,19 +15,23 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from typing import Any
 from urllib.parse import unquote, urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from usageledger.session import scratch_path
-from usageledger.sinks.files import NO_VALUE, _folder, drop_folder, laid_out
+from usageledger.sinks.files import NO_VALUE, _folder, laid_out
 
 LISTS = "_versions"
+# Names the file of a row.
+FILE = "_file"
+# So many keys are sent to the rows they meet; beyond that rows and keys are shuffled.
+BROADCAST_KEYS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -178,64 +182,117 @@ def delete_files(spark: SparkSession, path: str, names: Iterable[str]) -> None:
 
 @dataclass(frozen=True)
 class StagedFiles:
-    """The rows of a merge that need new files, durable in the shared folder, and the files they replace."""
+    """What a merge changes: the files it replaces and the rows that take their place.
+
+    `fresh` are the updates as stored, `rows` a plan over them and the replaced files that moves no
+    row of a file between tasks; what had to be shuffled for it lies below `result`.
+    """
 
     base: Version
     result: str
     replaced: tuple[str, ...]
     schema: StructType
+    fresh: DataFrame
+    rows: DataFrame
+
+
+def places(spark: SparkSession, path: str, of: Version, keys: DataFrame, key: str, files: Iterable[str] | None = None) -> DataFrame:
+    """The keys that a version holds, each with its file. Only the key column is read."""
+    held = read(spark, path, of, files).select(key, file_path())
+    return held.join(keys.select(key), key, "left_semi")
+
+
+def file_path() -> Column:
+    """The file of a row, directly above its scan."""
+    return F.col("_metadata.file_path").alias(FILE)
+
+
+def file_names(spark: SparkSession, path: str, found: DataFrame) -> list[str]:
+    """The files that the places name, one value per file."""
+    root = _root(spark, path)
+    named = found.select(FILE).distinct().collect()
+    return sorted(unquote(urlparse(r[0]).path)[len(root) + 1 :] for r in named)
 
 
 def holding(spark: SparkSession, path: str, of: Version, keys: DataFrame, key: str, files: Iterable[str] | None = None) -> list[str]:
     """The files of a version that hold any of the keys. Only the key column is read."""
     names = list(of.files if files is None else files)
-    if not names:
-        return []
-    places = read(spark, path, of, names).select(key, F.col("_metadata.file_path").alias("_file"))
-    found = places.join(keys.select(key), key, "left_semi").select("_file").distinct().collect()
-    root = _root(spark, path)
-    return sorted(unquote(urlparse(r[0]).path)[len(root) + 1 :] for r in found)
+    return file_names(spark, path, places(spark, path, of, keys, key, names)) if names else []
+
+
+def few(keys: DataFrame) -> bool:
+    """Whether stored keys are few enough, as counted, to be broadcast."""
+    return keys.count() <= BROADCAST_KEYS
+
+
+def meet(rows: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """Rows with a stored key (`left_semi`) or without one (`left_anti`); few keys go to the rows."""
+    keys = keys.select(key)
+    return rows.join(F.broadcast(keys) if few(keys) else keys, key, how).select(*rows.columns)
 
 
 def stage_merge(
-    spark: SparkSession, path: str, base: Version, updates: DataFrame, key: str, files: Iterable[str] | None = None
+    spark: SparkSession,
+    path: str,
+    base: Version,
+    updates: DataFrame,
+    key: str,
+    files: Iterable[str] | None = None,
+    stored: bool = False,
+    old: DataFrame | None = None,
+    more: Iterable[str] = (),
+    revise: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StagedFiles:
-    """Compute what a merge of keyed updates changes: the rows of the files that hold updated keys, and the updates.
+    """Find what a merge of keyed updates changes: the rows of the files that hold updated keys, and the updates.
 
     All other files go into the next version unread, also those of the same partition. `updates`
     holds one row per key; `files` says where old versions of the keys can be, by default anywhere.
+    With `stored` the updates are a plan over tables that the caller keeps and that give one row per key
+    without a shuffle, and `old` are the `places` of the updated keys, stored, where the caller has met them already.
+    `more` names files that are written anew as well, and `revise` is applied to the rows that stay of all
+    files written anew.
     """
     target = read(spark, path, base)
-    kept = scratch_path(spark, "merge-updates")
-    updates.write.parquet(kept)
-    fresh = spark.read.schema(updates.schema).parquet(kept)
-    if not fresh.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
-        raise ValueError(f"updates hold several rows for one {key}")
-    replaced = holding(spark, path, base, fresh, key, files)
-    merged = fresh
-    if target is not None:
-        untouched = read(spark, path, base, replaced).join(fresh.select(key), key, "left_anti")
-        merged = untouched.unionByName(fresh, allowMissingColumns=True)
     result = scratch_path(spark, "merge-result")
-    merged.write.parquet(result)
-    drop_folder(spark, kept)
-    return StagedFiles(base, result, tuple(replaced), merged.schema)
-
-
-def staged_rows(spark: SparkSession, staged: StagedFiles) -> DataFrame:
-    return spark.read.schema(staged.schema).parquet(staged.result)
+    fresh = updates
+    if not stored:
+        fresh = _kept(updates, f"{result}/updates")
+        if not fresh.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+            raise ValueError(f"updates hold several rows for one {key}")
+    if target is None:
+        return StagedFiles(base, result, (), fresh.schema, fresh, fresh)
+    names = list(base.files if files is None else files)
+    if old is None and names:
+        old = _kept(places(spark, path, base, fresh, key, names), f"{result}/places")
+    replaced = file_names(spark, path, old) if old is not None else []
+    others = sorted(set(more) - set(replaced))
+    rest = read(spark, path, base, others)
+    if replaced:
+        held = read(spark, path, base, replaced)
+        untouched = meet(held, old, key, "left_anti")
+        if not few(old):
+            # The layout runs its last stage twice, and this one would sort whole rows.
+            untouched = _kept(untouched, f"{result}/untouched")
+        rest = rest.unionByName(untouched) if others else untouched
+    merged = (revise(rest) if revise else rest).unionByName(fresh, allowMissingColumns=True)
+    return StagedFiles(base, result, (*replaced, *others), merged.schema, fresh, merged)
+
+
+def _kept(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def merged_view(spark: SparkSession, path: str, staged: StagedFiles) -> DataFrame:
     """The table as it will be once the merge is published."""
-    fresh = staged_rows(spark, staged)
-    others = read(spark, path, staged.base, [f for f in staged.base.files if f not in set(staged.replaced)])
-    return fresh if others is None else others.unionByName(fresh, allowMissingColumns=True)
+    gone = set(staged.replaced)
+    others = read(spark, path, staged.base, [f for f in staged.base.files if f not in gone])
+    return staged.rows if others is None else others.unionByName(staged.rows, allowMissingColumns=True)
 
 
 def place_merge(spark: SparkSession, path: str, staged: StagedFiles, partition: str, cluster: Sequence[str] = ()) -> list[str]:
     """Write the staged rows as files of the table and return the files of the merged table."""
-    added = add_files(staged_rows(spark, staged), path, partition, cluster, ranged=True)
+    added = add_files(staged.rows, path, partition, cluster, ranged=True)
     gone = set(staged.replaced)
     return [*(f for f in staged.base.files if f not in gone), *added]
 
