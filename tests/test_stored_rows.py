@@ -1,12 +1,14 @@
 """What merges and loads store besides their tables: a load's own rows and few of the old ones."""
 
 import uuid
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 
+from test_billing import accounts, raw_book
 from test_usage_index import FIRST, event, land, same
-from usageledger.plans import billing_run, usage_index
+from usageledger.operators.history import apply_snapshot, open_history
+from usageledger.plans import billing, billing_run, usage_index
 from usageledger.sinks import versions
 
 
@@ -49,3 +51,24 @@ def test_keys_too_many_to_broadcast_give_the_same(spark, tmp_path, monkeypatch):
     usage_index.load_days(spark, raw, state, FIRST, FIRST + timedelta(days=1))
     same(spark, raw, state)
     assert usage_index.read_state(spark, state, "latest").count() == 640
+
+
+def test_a_fact_run_stores_its_updates_once(spark, tmp_path, stored):
+    path, staged = str(tmp_path / "facts"), billing.stg_subscriptions(raw_book(spark))
+    history = open_history(accounts(spark), "account_id")
+    facts = billing_run.run_facts(spark, staged, history, path)
+    assert facts.count() == 24 and stored() == 24
+
+
+def test_moved_facts_are_not_stored_beside_the_table(spark, tmp_path, stored):
+    path, staged = str(tmp_path / "facts"), billing.stg_subscriptions(raw_book(spark))
+    history = open_history(accounts(spark), "account_id")
+    billing_run.run_facts(spark, staged, history, path)
+    before, changed = stored(), datetime(2024, 11, 1)
+    history = apply_snapshot(history, accounts(spark, changed), "account_id", changed)
+    facts = billing_run.run_facts(spark, staged, history, path)
+    current = {r.account_id: r.dbt_scd_id for r in history.where("dbt_valid_to is null").collect()}
+    found = facts.collect()
+    assert len(found) == 24 and all(r.account_sk == current.get(r.account_id) for r in found)
+    # The changed accounts with their versions, and no fact.
+    assert stored() - before == len({r.account_id for r in found} & current.keys())

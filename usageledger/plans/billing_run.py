@@ -12,7 +12,7 @@ from usageledger.operators.checks import require_passing
 from usageledger.operators.dedup import duplicated
 from usageledger.operators.evolve import append_evolving
 from usageledger.operators.history import current_versions, open_history, snapshot_moves
-from usageledger.operators.lookup import hot_keys
+from usageledger.operators.lookup import hot_keys, lookup
 from usageledger.plans import billing, quality, reports
 from usageledger.session import pin_utc, scratch_path
 from usageledger.sinks import versions
@@ -86,17 +86,21 @@ def _with_month(facts: DataFrame) -> DataFrame:
     return facts.withColumn(FACT_MONTH, F.trunc("started_at", "month"))
 
 
-def moved_facts(facts: DataFrame, history: DataFrame) -> DataFrame:
-    """Stored facts whose account has got a new current version, pointing to it.
+def changed_accounts(facts: DataFrame, history: DataFrame) -> DataFrame:
+    """Accounts whose stored facts do not point to their current version, with that version.
 
-    Accounts are compared first, one row per account and version, so only the facts of
-    changed accounts are read in full. Facts of an account that is gone keep its last one.
+    Accounts are compared one row per account and version. An account that is gone is not among them.
     """
-    versions = current_versions(history).select("account_id", F.col("dbt_scd_id").alias("_current"))
+    current = current_versions(history).select("account_id", F.col("dbt_scd_id").alias("_current"))
     known = facts.where(F.col("account_id").isNotNull()).select("account_id", "account_sk").distinct()
-    outdated = known.join(versions, "account_id").where(~F.col("account_sk").eqNullSafe(F.col("_current")))
-    changed = outdated.select("account_id", "_current").distinct()
-    return facts.join(changed, "account_id").withColumn("account_sk", F.col("_current")).select(*facts.columns)
+    outdated = known.join(current, "account_id").where(~F.col("account_sk").eqNullSafe(F.col("_current")))
+    return outdated.select("account_id", "_current").distinct()
+
+
+def moved_facts(facts: DataFrame, changed: DataFrame) -> DataFrame:
+    """Facts of changed accounts point to the new version; all others stay as they are."""
+    joined = lookup(facts, changed, "account_id", ["subscription_id"])
+    return joined.withColumn("account_sk", F.coalesce("_current", "account_sk")).select(*facts.columns)
 
 
 def _newest_load(rows: DataFrame) -> int | None:
@@ -114,10 +118,10 @@ def run_facts(
     """Merge new staged subscriptions into the month-partitioned facts, as their next version.
 
     Facts of accounts that changed move to the account's current version in the same
-    merge, and only files that hold a merged subscription are written anew. The newest load
-    that was merged is kept with the version, so a run that stops anywhere before it publishes
-    is simply done again. `gate` gets the facts as they will be and may raise: the table is
-    then as it was.
+    merge, and only files that hold a merged subscription or a changed account are written anew. The
+    newest load that was merged is kept with the version, so a run that stops anywhere before it publishes
+    is simply done again. `gate` gets the facts as they will be, in files that no version has yet, and may
+    raise: those files are deleted and the table is as it was.
     """
     base = versions.version(spark, path)
     existing = None if full_refresh else versions.read(spark, path, base)
@@ -126,18 +130,34 @@ def run_facts(
         # A table from before versions has no mark but its rows.
         mark = base.mark if base.number else _newest_load(existing)
     fresh = staged if mark is None else staged.where(F.col("_loaded_at") > F.timestamp_micros(F.lit(mark)))
-    reached = max(filter(None, (mark, _newest_load(staged))), default=None)
     facts = _with_month(billing.fct_subscriptions(fresh, history, hot_keys(fresh, "account_id")))
+    kept = scratch_path(spark, "changed-accounts")
     if existing is None:
         # Nothing of the old files stays: all of them are replaced by the staged rows.
         merge = versions.stage_merge(spark, path, versions.Version(base.number), facts, "subscription_id")
     else:
-        moved = moved_facts(existing, history).join(fresh.select("subscription_id"), "subscription_id", "left_anti")
-        merge = versions.stage_merge(spark, path, base, append_evolving(facts, moved), "subscription_id")
+        changed_accounts(existing, history).write.parquet(kept)
+        changed = spark.read.parquet(kept)
+        if not duplicated(changed, ["account_id"]).isEmpty():
+            raise ValueError("the history holds several current versions of one account")
+        # Only files that hold a fact of a changed account meet the new versions.
+        outdated = versions.holding(spark, path, base, changed, "account_id")
+        merge = versions.stage_merge(
+            spark, path, base, facts, "subscription_id",
+            more=outdated, revise=(lambda rows: moved_facts(rows, changed)) if outdated else None,
+        )
+    # Older rows are in the mark already, so the stored updates tell the newest load.
+    reached = max(filter(None, (mark, _newest_load(merge.fresh))), default=None)
+    files = versions.place_merge(spark, path, merge, FACT_MONTH, FACT_CLUSTER)
     if gate:
-        gate(versions.merged_view(spark, path, merge))
-    versions.publish_merge(spark, path, merge, FACT_MONTH, FACT_CLUSTER, reached)
+        try:
+            gate(versions.read(spark, path, versions.Version(base.number, tuple(files), merge.schema.json())))
+        except BaseException:
+            versions.delete_files(spark, path, set(files) - set(base.files))
+            raise
+    versions.publish(spark, path, files, merge.schema, reached, after=base.number)
     drop_folder(spark, merge.result)
+    drop_folder(spark, kept)
     # Without files of older versions the folder can be read as plain Parquet too.
     versions.clean(spark, path)
     return versions.read(spark, path)
