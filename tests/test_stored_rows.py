@@ -3,13 +3,18 @@
 import uuid
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
+from compare import plan_text
 from test_billing import accounts, raw_book
 from test_usage_index import FIRST, event, land, same
+from usageledger.functions.columns import surrogate_key
 from usageledger.operators.history import apply_snapshot, open_history
 from usageledger.plans import billing, billing_run, usage_index
 from usageledger.sinks import versions
+from usageledger.workload import queries
 
 
 @pytest.fixture
@@ -72,3 +77,45 @@ def test_moved_facts_are_not_stored_beside_the_table(spark, tmp_path, stored):
     assert len(found) == 24 and all(r.account_sk == current.get(r.account_id) for r in found)
     # The changed accounts with their versions, and no fact.
     assert stored() - before == len({r.account_id for r in found} & current.keys())
+
+
+def test_keys_of_subscriptions_are_made_where_facts_are_written(spark, tmp_path, stored):
+    path, staged = str(tmp_path / "facts"), billing.stg_subscriptions(raw_book(spark))
+    history = open_history(accounts(spark), "account_id")
+    billing_run.run_facts(spark, staged, history, path)
+    # One stored key was made otherwise; it stays.
+    wanted = F.when(F.col("subscription_id") == "sub_3", "x3").otherwise(surrogate_key("subscription_id"))
+    foreign = versions.read(spark, path).withColumn("subscription_sk", wanted)
+    base = versions.version(spark, path)
+    files = versions.add_files(foreign, path, billing_run.FACT_MONTH, billing_run.FACT_CLUSTER)
+    versions.publish(spark, path, files, foreign.schema, base.mark, after=base.number)
+    changed = datetime(2024, 11, 1)
+    history = apply_snapshot(history, accounts(spark, changed), "account_id", changed)
+    found = billing_run.run_facts(spark, staged, history, path)
+    assert found.count() == found.where(F.col("subscription_sk") == wanted).count() == 24
+    updates = [str(p) for p in (tmp_path / "scratch").glob("merge-result-*/updates")]
+    kept = spark.read.parquet(*updates)
+    assert kept.count() == 24 and kept.where("subscription_sk is not null").isEmpty()
+
+
+def test_facts_are_laid_out_with_their_keys_and_compressed(spark, tmp_path):
+    path, staged = str(tmp_path / "facts"), billing.stg_subscriptions(raw_book(spark))
+    billing_run.run_facts(spark, staged, open_history(accounts(spark), "account_id"), path)
+    for name in versions.version(spark, path).files:
+        file = pq.ParquetFile(f"{path}/{name}")
+        order = file.read(columns=billing_run.FACT_CLUSTER).to_pylist()
+        assert [tuple(r.values()) for r in order] == sorted(tuple(r.values()) for r in order)
+        assert {file.metadata.row_group(0).column(c).compression for c in range(file.metadata.num_columns)} == {"ZSTD"}
+
+
+def test_two_fact_runs_stage_the_raw_rows_once(spark, monkeypatch):
+    given, run = [], queries.run_facts
+
+    def seen(spark, staged, *others):
+        given.append(plan_text(staged))
+        return run(spark, staged, *others)
+
+    monkeypatch.setattr(queries, "run_facts", seen)
+    for name in ("facts_after_account_changes", "merge_stopped_midway"):
+        assert queries.REGISTRY[name](spark, "/root/testdata/sf0.001").count() == 1500
+    assert len(given) == 4 and not any("Window" in plan or "orders" in plan for plan in given)

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usageledger.functions.columns import surrogate_key
 from usageledger.operators.checks import require_passing
 from usageledger.operators.dedup import duplicated
 from usageledger.operators.evolve import append_evolving
@@ -103,6 +104,17 @@ def moved_facts(facts: DataFrame, changed: DataFrame) -> DataFrame:
     return joined.withColumn("account_sk", F.coalesce("_current", "account_sk")).select(*facts.columns)
 
 
+def _without_keys(facts: DataFrame) -> DataFrame:
+    """Stored keys that follow from the subscription's id are left out; any other stays."""
+    other = F.col("subscription_sk") != surrogate_key("subscription_id")
+    return facts.withColumn("subscription_sk", F.when(other, F.col("subscription_sk")))
+
+
+def _with_keys(facts: DataFrame) -> DataFrame:
+    """Facts without a key get the one of `fct_subscriptions`."""
+    return facts.withColumn("subscription_sk", F.coalesce("subscription_sk", surrogate_key("subscription_id")))
+
+
 def _newest_load(rows: DataFrame) -> int | None:
     return rows.agg(F.unix_micros(F.max("_loaded_at"))).first()[0]
 
@@ -120,7 +132,8 @@ def run_facts(
     Facts of accounts that changed move to the account's current version in the same
     merge, and only files that hold a merged subscription or a changed account are written anew. The
     newest load that was merged is kept with the version, so a run that stops anywhere before it publishes
-    is simply done again. `gate` gets the facts as they will be, in files that no version has yet, and may
+    is simply done again. Keys of subscriptions are made where the files are written, not stored with the
+    updates or moved with the rows. `gate` gets the facts as they will be, in files that no version has yet, and may
     raise: those files are deleted and the table is as it was.
     """
     base = versions.version(spark, path)
@@ -131,6 +144,7 @@ def run_facts(
         mark = base.mark if base.number else _newest_load(existing)
     fresh = staged if mark is None else staged.where(F.col("_loaded_at") > F.timestamp_micros(F.lit(mark)))
     facts = _with_month(billing.fct_subscriptions(fresh, history, hot_keys(fresh, "account_id")))
+    facts = facts.withColumn("subscription_sk", F.lit(None).cast("string"))
     kept = scratch_path(spark, "changed-accounts")
     if existing is None:
         # Nothing of the old files stays: all of them are replaced by the staged rows.
@@ -142,13 +156,15 @@ def run_facts(
             raise ValueError("the history holds several current versions of one account")
         # Only files that hold a fact of a changed account meet the new versions.
         outdated = versions.holding(spark, path, base, changed, "account_id")
-        merge = versions.stage_merge(
-            spark, path, base, facts, "subscription_id",
-            more=outdated, revise=(lambda rows: moved_facts(rows, changed)) if outdated else None,
-        )
+
+        def revised(rows: DataFrame) -> DataFrame:
+            bare = _without_keys(rows)
+            return moved_facts(bare, changed) if outdated else bare
+
+        merge = versions.stage_merge(spark, path, base, facts, "subscription_id", more=outdated, revise=revised)
     # Older rows are in the mark already, so the stored updates tell the newest load.
     reached = max(filter(None, (mark, _newest_load(merge.fresh))), default=None)
-    files = versions.place_merge(spark, path, merge, FACT_MONTH, FACT_CLUSTER)
+    files = versions.place_merge(spark, path, merge, FACT_MONTH, FACT_CLUSTER, finish=_with_keys)
     if gate:
         try:
             gate(versions.read(spark, path, versions.Version(base.number, tuple(files), merge.schema.json())))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from usageledger.session import scratch_path
-from usageledger.sinks.files import NO_VALUE, _folder, laid_out
+from usageledger.sinks.files import NO_VALUE, PACKED, _folder, laid_out
 
 LISTS = "_versions"
 # Names the file of a row.
@@ -112,11 +112,23 @@ def in_partitions(of: Version, partition: str, values: Iterable[Any]) -> list[st
     return [f for f in of.files if f.split("/", 1)[0] in folders]
 
 
-def add_files(rows: DataFrame, path: str, partition: str, cluster: Sequence[str] = (), ranged: bool = False) -> list[str]:
-    """Write rows beside a table's files and return the new ones, which no version has yet."""
+def add_files(
+    rows: DataFrame,
+    path: str,
+    partition: str,
+    cluster: Sequence[str] = (),
+    ranged: bool = False,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> list[str]:
+    """Write rows beside a table's files and return the new ones, which no version has yet.
+
+    `finish` is applied where the rows are written, so what it computes from a row is not moved between tasks.
+    """
     batch = f"b{uuid.uuid4().hex}"
+    dealt = laid_out(rows, partition, cluster, ranged)
+    writer = (finish(dealt) if finish else dealt).write.partitionBy(partition).options(**PACKED)
     # The names of the files begin with the batch.
-    laid_out(rows, partition, cluster, ranged).write.partitionBy(partition).option("mapreduce.output.basename", batch).mode("append").parquet(path)
+    writer.option("mapreduce.output.basename", batch).mode("append").parquet(path)
     return data_files(rows.sparkSession, path, batch)
 
 
@@ -279,7 +291,7 @@ def stage_merge(
 
 
 def _kept(rows: DataFrame, path: str) -> DataFrame:
-    rows.write.parquet(path)
+    rows.write.options(**PACKED).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
@@ -290,9 +302,16 @@ def merged_view(spark: SparkSession, path: str, staged: StagedFiles) -> DataFram
     return staged.rows if others is None else others.unionByName(staged.rows, allowMissingColumns=True)
 
 
-def place_merge(spark: SparkSession, path: str, staged: StagedFiles, partition: str, cluster: Sequence[str] = ()) -> list[str]:
-    """Write the staged rows as files of the table and return the files of the merged table."""
-    added = add_files(staged.rows, path, partition, cluster, ranged=True)
+def place_merge(
+    spark: SparkSession,
+    path: str,
+    staged: StagedFiles,
+    partition: str,
+    cluster: Sequence[str] = (),
+    finish: Callable[[DataFrame], DataFrame] | None = None,
+) -> list[str]:
+    """Write the staged rows as files of the table and return the files of the merged table; see `add_files`."""
+    added = add_files(staged.rows, path, partition, cluster, ranged=True, finish=finish)
     gone = set(staged.replaced)
     return [*(f for f in staged.base.files if f not in gone), *added]
 

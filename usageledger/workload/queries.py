@@ -244,6 +244,14 @@ def _staged(spark, sf_dir):
     return billing.stg_subscriptions(domain.raw_subscriptions(spark, sf_dir))
 
 
+def _staging_table(spark, sf_dir):
+    """Staging as a table, as the billing run keeps it, for runs that read it one after another."""
+    path = scratch_path(spark, "stg-subscriptions")
+    rows = _staged(spark, sf_dir)
+    rebuild(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _facts(spark, sf_dir):
     return billing.fct_subscriptions(
         _staged(spark, sf_dir), domain.account_history(spark, sf_dir), domain.hot_accounts(spark, sf_dir)
@@ -395,7 +403,7 @@ def merge_file_level(spark, sf_dir):
 
 def _facts_after_changes(spark, sf_dir, full_refresh):
     path = scratch_path(spark, "fct-two-runs")
-    staged, history = _staged(spark, sf_dir), domain.account_history(spark, sf_dir)
+    staged, history = _staging_table(spark, sf_dir), domain.account_history(spark, sf_dir)
     run_facts(spark, staged.where(F.col("_loaded_at") <= moment(LOADED_SPLIT)), history, path)
     later = apply_snapshot(history, domain.changed_accounts(spark, sf_dir), "account_id", AS_OF)
     facts = run_facts(spark, staged, later, path, full_refresh)
@@ -418,7 +426,7 @@ def facts_full_refresh(spark, sf_dir):
 def merge_stopped_midway(spark, sf_dir):
     """The second run again, after one that stopped when one month of its merge was in its place."""
     path = scratch_path(spark, "fct-stopped")
-    staged, history = _staged(spark, sf_dir), domain.account_history(spark, sf_dir)
+    staged, history = _staging_table(spark, sf_dir), domain.account_history(spark, sf_dir)
     run_facts(spark, staged.where(F.col("_loaded_at") <= moment(LOADED_SPLIT)), history, path)
     later = apply_snapshot(history, domain.changed_accounts(spark, sf_dir), "account_id", AS_OF)
     fresh = billing.fct_subscriptions(staged.where(F.col("_loaded_at") > moment(LOADED_SPLIT)), later)
